@@ -6,9 +6,9 @@ operator or job of the pipeline over whole tables and whole texts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
 from plenaria.plans import collect, consolidate as c1, ideology, mart, scoring, status
-from plenaria.sources import bridge, landing
+from plenaria.sources import bridge, landing, stages
 
 # Search terms used on the driver's document texts (the configured Portuguese
 # terms do not occur in them); the same list feeds the oracle.
@@ -67,23 +67,34 @@ def survey_table(spark, d):
     return ideology.survey_scores(_b(spark, d, "survey"))
 
 
-def scored(spark, d):
-    return mart.scored_base(proposals(spark, d), scores_by_seq(spark, d), survey_table(spark, d))
+_TABLES: dict = {}
+
+
+def _materialized(spark: SparkSession, name: str, d: str, build) -> DataFrame:
+    """With ``plenaria.mart.persist`` true, write the table once to the shared
+    checkpoint folder (``spark.checkpoint.dir``) and serve every query from it, as
+    the dashboard serves every view from one loaded base; otherwise a lazy plan."""
+    if spark.conf.get("plenaria.mart.persist", "false") != "true":
+        return build()
+    key = (id(spark), name, d)
+    if key not in _TABLES:
+        root = stages.checkpoint_dir(spark)
+        if not root:
+            raise RuntimeError("plenaria.mart.persist needs spark.checkpoint.dir (a shared folder)")
+        path = f"{root.rstrip('/')}/plenaria-{name}-{uuid.uuid4().hex[:12]}"
+        stages.write_stage(build(), path)
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
-_MART_CACHE: dict = {}
+def scored(spark, d):
+    return _materialized(spark, "scored", d, lambda: mart.scored_base(
+        proposals(spark, d), scores_by_seq(spark, d), survey_table(spark, d)))
 
 
 def mart_table(spark: SparkSession, d: str) -> DataFrame:
-    """The dashboard's base table; persisted once per data dir when
-    ``plenaria.mart.persist`` is true (the dashboard serves every view from it)."""
-    base = mart.mart_base(scored(spark, d))
-    if spark.conf.get("plenaria.mart.persist", "false") != "true":
-        return base
-    key = (id(spark), d)
-    if key not in _MART_CACHE:
-        _MART_CACHE[key] = base.persist(StorageLevel.MEMORY_AND_DISK)
-    return _MART_CACHE[key]
+    """The dashboard's base table (included proposals with derived columns)."""
+    return _materialized(spark, "mart", d, lambda: mart.mart_base(scored(spark, d)))
 
 
 # ---------------------------------------------------------------- queries
@@ -190,9 +201,8 @@ def q_author_enrich(spark, d):
 
 def q_author_parse(spark, d):
     a = _b(spark, d, "autoria_bruta")
-    s = authors.senate_author("autoria", "tipo_doc")
-    return a.select("seq", s["parlamentar"].alias("parlamentar"), s["tipo_autor"].alias("tipo_autor"),
-                    s["uf"].alias("uf"))
+    parsed = a.select("seq", authors.senate_author("autoria", "tipo_doc").alias("_a"))
+    return parsed.select("seq", "_a.parlamentar", "_a.tipo_autor", "_a.uf")
 
 
 def q_party_extract(spark, d):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions.text import strip_ws, tokens
-from plenaria.functions.util import any_contains, col, in_list, lookup
+from plenaria.functions.util import any_contains, col, in_list, let, lookup
 
 _MEMBER_RAW_TYPES = [k for k, v in vocab.AUTHOR_TYPE_MAP.items() if v is None]
 _MAPPED_RAW_TYPES = {k: v for k, v in vocab.AUTHOR_TYPE_MAP.items() if v is not None}
@@ -27,7 +27,11 @@ def senate_author(autoria, tipo_doc) -> Column:
     'Senador(a) Name (PARTY/UF)' is parsed by the pattern; otherwise ordered keyword
     tests choose the body; a popular-suggestion document short-circuits.
     """
-    raw = F.coalesce(col(autoria), F.lit(""))
+    return let(F.struct(F.coalesce(col(autoria), F.lit("")).alias("raw"), col(tipo_doc).alias("doc")),
+               lambda v: _senate_author(v["raw"], v["doc"]))
+
+
+def _senate_author(raw: Column, tipo_doc: Column) -> Column:
     stripped = strip_ws(raw)
     pattern = "(?U)" + vocab.SENATE_AUTHOR_PATTERN
     matched = stripped.rlike(pattern)
@@ -38,7 +42,7 @@ def senate_author(autoria, tipo_doc) -> Column:
                 .when(any_contains(lower, vocab.PROSECUTION_KEYWORDS), F.lit("Ministério Público"))
                 .when(any_contains(lower, vocab.LEGISLATURE_KEYWORDS), F.lit("Senado Federal"))
                 .otherwise(F.lit("Órgão")))
-    is_suggestion = F.coalesce(col(tipo_doc) == "Sugestão", F.lit(False))
+    is_suggestion = F.coalesce(tipo_doc == "Sugestão", F.lit(False))
     name = (F.when(is_suggestion, raw)
             .when(matched, F.regexp_extract(stripped, pattern, 1))
             .otherwise(raw))
@@ -51,16 +55,19 @@ def senate_author(autoria, tipo_doc) -> Column:
 
 def normalise_party(c, dashboard: bool = False) -> Column:
     """Party text -> canonical party code, or null for institutions and non-parties."""
-    p = strip_ws(F.replace(strip_ws(col(c)), F.lit("*"), F.lit("")))
     no_party = vocab.NO_PARTY_ALIASES_DASHBOARD if dashboard else vocab.NO_PARTY_ALIASES
     popular = vocab.POPULAR_ALIASES_DASHBOARD if dashboard else vocab.POPULAR_ALIASES
-    return (F.when((p == "") | in_list(p, vocab.INSTITUTIONAL), F.lit(None).cast("string"))
-            .when(in_list(p, no_party), F.lit(vocab.NO_PARTY_CODE))
-            .when(in_list(p, popular), F.lit(vocab.POPULAR_CODE))
-            .when(in_list(p, list(vocab.PARTY_RENAMES)), lookup(vocab.PARTY_RENAMES, p))
-            .when(any_contains(p, vocab.PARTY_DROP_MARKERS), F.lit(None).cast("string"))
-            .when(F.length(p) > vocab.MAX_PARTY_LEN, F.lit(None).cast("string"))
-            .otherwise(p))
+
+    def rules(p: Column) -> Column:
+        return (F.when((p == "") | in_list(p, vocab.INSTITUTIONAL), F.lit(None).cast("string"))
+                .when(in_list(p, no_party), F.lit(vocab.NO_PARTY_CODE))
+                .when(in_list(p, popular), F.lit(vocab.POPULAR_CODE))
+                .when(in_list(p, list(vocab.PARTY_RENAMES)), lookup(vocab.PARTY_RENAMES, p))
+                .when(any_contains(p, vocab.PARTY_DROP_MARKERS), F.lit(None).cast("string"))
+                .when(F.length(p) > vocab.MAX_PARTY_LEN, F.lit(None).cast("string"))
+                .otherwise(p))
+
+    return let(strip_ws(F.replace(strip_ws(col(c)), F.lit("*"), F.lit(""))), rules)
 
 
 def _eligible(t: Column) -> Column:

@@ -6,15 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from plenaria import vocab
-from plenaria.functions.util import col
+from plenaria.functions.util import col, let
 
 
 def quantise_score(x, step: float = vocab.SCORE_STEP,
                    lo: float = vocab.SCORE_MIN, hi: float = vocab.SCORE_MAX) -> Column:
     """Round to a multiple of ``step`` (half to even), clamp to [lo, hi]; NaN/inf -> null."""
-    x = col(x)
-    q = F.least(F.lit(hi), F.greatest(F.lit(lo), F.bround(x / F.lit(step), 0) * F.lit(step)))
-    return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), q)
+    def rule(x: Column) -> Column:
+        q = F.least(F.lit(hi), F.greatest(F.lit(lo), F.bround(x / F.lit(step), 0) * F.lit(step)))
+        return F.when(~F.isnan(x) & (F.abs(x) != float("inf")), q)
+
+    return let(col(x), rule)
 
 
 def response_fields(raw, cutoff: float = vocab.SCORE_CUTOFF) -> Column:
@@ -23,18 +25,23 @@ def response_fields(raw, cutoff: float = vocab.SCORE_CUTOFF) -> Column:
     Not a JSON object, a null or non-numeric score -> null score and empty texts;
     a missing score key counts as 0.  Numeric text ("7.3") is accepted.
     """
-    raw = col(raw)
-    keys = F.json_object_keys(raw)
-    has_score = F.array_contains(keys, "nota")
-    value = F.when(has_score, F.get_json_object(raw, "$.nota").try_cast("double")).otherwise(F.lit(0.0))
-    nota = F.when(keys.isNotNull(), quantise_score(value))
+    # One parse: the top-level object as a map (null when not a JSON object;
+    # a JSON null value stays a null entry; on a repeated key the last one wins).
+    def fields(obj: Column) -> Column:
+        value = F.when(F.map_contains_key(obj, "nota"), obj["nota"].try_cast("double")).otherwise(F.lit(0.0))
+        return let(F.when(obj.isNotNull(), quantise_score(value)), lambda nota: _result(obj, nota, cutoff))
+
+    return let(F.from_json(col(raw), "map<string,string>"), fields)
+
+
+def _result(obj: Column, nota: Column, cutoff: float) -> Column:
     ok = nota.isNotNull()
-    text = lambda path: F.when(ok, F.coalesce(F.get_json_object(raw, path), F.lit(""))).otherwise(F.lit(""))
+    text = lambda key: F.when(ok, F.coalesce(obj[key], F.lit(""))).otherwise(F.lit(""))
     decision = (F.when(~ok, F.lit(""))
                 .when(nota >= F.lit(cutoff), F.lit(vocab.DECISION_INCLUDE))
                 .otherwise(F.lit(vocab.DECISION_EXCLUDE)))
-    return F.struct(nota.alias("llm_nota"), text("$.categoria").alias("llm_categoria"),
-                    decision.alias("llm_decisao"), text("$.justificativa").alias("llm_justificativa"))
+    return F.struct(nota.alias("llm_nota"), text("categoria").alias("llm_categoria"),
+                    decision.alias("llm_decisao"), text("justificativa").alias("llm_justificativa"))
 
 
 def as_array(json_text: Column, element_ddl: str) -> Column:

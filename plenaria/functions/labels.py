@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions.text import strip_ws
-from plenaria.functions.util import any_contains, col, lookup
+from plenaria.functions.util import any_contains, col, let, lookup
 
 
 def status_label(c, rules=vocab.STATUS_RULES) -> Column:
     """Free status text -> one of five labels; rules are tested in order."""
-    raw = col(c)
-    u = strip_ws(F.upper(raw))
-    out = F.when(raw.isNull() | (u == "") | (u == "NAN"), F.lit(vocab.STATUS_MISSING))
-    for label, needles in rules:
-        out = out.when(any_contains(u, needles), F.lit(label))
-    return out.otherwise(F.lit(vocab.STATUS_OTHER))
+    def classify(u: Column) -> Column:
+        out = F.when(u.isNull() | (u == "") | (u == "NAN"), F.lit(vocab.STATUS_MISSING))
+        for label, needles in rules:
+            out = out.when(any_contains(u, needles), F.lit(label))
+        return out.otherwise(F.lit(vocab.STATUS_OTHER))
+
+    return let(strip_ws(F.upper(col(c))), classify)
 
 
 def ideology_band(score) -> Column:

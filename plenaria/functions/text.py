@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from plenaria import vocab
 from plenaria.functions.util import col, in_list, lit_array
 
-_WS = r"(?U)^\s+|\s+$"
+# Every Unicode whitespace character (the set ``str.strip()`` removes), by rule.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 _WS_RUN = r"(?U)\s+"
 
 
 def strip_ws(c) -> Column:
     """Strip leading/trailing whitespace of any kind (``trim`` strips spaces only)."""
-    return F.regexp_replace(col(c), _WS, "")
+    return F.btrim(col(c), F.lit(WHITESPACE))
 
 
 def year_prefix(c) -> Column:

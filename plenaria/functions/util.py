@@ -37,3 +37,13 @@ def lookup(mapping: dict, key, default=None) -> Column:
 def any_contains(c: Column, needles) -> Column:
     """True when any needle is a substring of ``c``."""
     return reduce(lambda a, b: a | b, [col(c).contains(n) for n in needles])
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a Column -> Column function).
+
+    Subexpression elimination does not reach into ``CASE WHEN`` branches, so a
+    costly value tested by many branches would be recomputed per branch; binding
+    it to a lambda variable computes it once per row.
+    """
+    return F.get(F.transform(F.array(value), body), 0)

@@ -9,6 +9,7 @@ spelled ``[\\p{L}\\p{N}_]``; sums are cast back to BIGINT (DuckDB widens them).
 from __future__ import annotations
 
 from plenaria import vocab
+from plenaria.functions.text import WHITESPACE
 from plenaria.catalog import CAPTURE_DOC_TYPES, DOCUMENT_TERMS, FACETS, FACETS_PEOPLE
 from plenaria.operators.term_match import alternation
 from plenaria.plans.prompt_text import PROMPT_PARTS, PROMPT_SLOTS
@@ -34,7 +35,7 @@ def case_map(x: str, mapping: dict, default: str = "NULL") -> str:
 
 
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, {q(WHITESPACE)})"
 
 
 def any_contains(x: str, needles) -> str:

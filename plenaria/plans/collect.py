@@ -69,9 +69,8 @@ def collect_senate(processes: DataFrame, details: DataFrame, terms=vocab.SEARCH_
     ``details``: (id_processo, indexacao, assunto_geral, assunto_especifico).
     """
     procs = landing.senate_processes(processes)
-    a = senate_author(F.col("autoria"), F.col("tipo_doc"))
-    procs = (procs.withColumn("parlamentar", a["parlamentar"]).withColumn("tipo_autor", a["tipo_autor"])
-             .withColumn("uf", a["uf"]).drop("autoria"))
+    procs = (procs.withColumn("_a", senate_author(F.col("autoria"), F.col("tipo_doc")))
+             .select("*", "_a.parlamentar", "_a.tipo_autor", "_a.uf").drop("_a", "autoria"))
     det = details.select("id_processo", "indexacao", "assunto_geral", "assunto_especifico")
     captured = two_route_capture(procs, det, terms, doc_types, content_types, detail_key="id_processo")
     return (captured

@@ -39,13 +39,19 @@ def enrich_ideology(df: DataFrame, scores: DataFrame, proxies: DataFrame | None
                     author: str = "tipo_autor", year: str = "ano") -> DataFrame:
     """Add partido_bls, score_lr and espectro to every row.
 
-    Scores are computed once per distinct (party, year) and joined back.
+    Party extraction and the as-of rule run once per distinct (author text,
+    year) pair, not per row; rows get their result through one equi-join on the
+    pair (AQE broadcasts the pair table when it is small at run time, and splits
+    skewed keys otherwise).
     """
     spark = df.sparkSession
     proxies = proxies if proxies is not None else proxy_table(spark)
-    rows = (df.withColumn("partido_bls", party_of_author(author))
-            .withColumn("_ano_int", to_int(year)))
-    req = rows.select("partido_bls", F.col("_ano_int"))
-    scored = nearest_wave_scores(req, scores, proxies, party="partido_bls", year="_ano_int")
-    out = rows.join(scored, ["partido_bls", "_ano_int"], "left").drop("_ano_int")
+    pairs = (df.select(author, year).distinct()
+             .withColumn("partido_bls", party_of_author(author))
+             .withColumn("_ano_int", to_int(year)))
+    scored = nearest_wave_scores(pairs, scores, proxies, party="partido_bls", year="_ano_int")
+    per_pair = (pairs.join(scored, ["partido_bls", "_ano_int"], "left")
+                .select(F.col(author).alias("_a"), F.col(year).alias("_y"), "partido_bls", "score_lr"))
+    out = (df.join(per_pair, (df[author] == F.col("_a")) & (df[year] == F.col("_y")), "left")
+           .drop("_a", "_y"))
     return out.withColumn("espectro", ideology_band("score_lr"))

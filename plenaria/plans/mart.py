@@ -90,9 +90,16 @@ def by_year_house(d: DataFrame) -> DataFrame:
 
 
 def type_mix(d: DataFrame, k: int = 5) -> DataFrame:
-    """D3: top-k types (others relabelled) per legislature, with percent within legislature."""
-    relabelled = ranking.relabel_outside_top(d, "tipo", k, "tp")
-    counts = relabelled.groupBy("legislatura", "tp").agg(F.count(F.lit(1)).alias("n"))
+    """D3: top-k types (others relabelled) per legislature, with percent within legislature.
+
+    One aggregate over the base; the top-k and the relabelling run on it.
+    """
+    cells = d.groupBy("legislatura", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    top = (cells.groupBy("tipo").agg(F.sum("n").alias("_t"))
+           .orderBy(F.desc("_t"), F.asc("tipo")).limit(k).select(F.col("tipo").alias("_top")))
+    tp = F.when(F.col("_top").isNotNull(), F.col("tipo")).otherwise(F.lit(vocab.OTHERS))
+    relabelled = cells.join(F.broadcast(top), F.col("tipo") == F.col("_top"), "left")
+    counts = relabelled.groupBy("legislatura", tp.alias("tp")).agg(F.sum("n").cast("bigint").alias("n"))
     return grouping.share_within(counts, ["legislatura"])
 
 
@@ -107,10 +114,11 @@ def members(d: DataFrame) -> DataFrame:
 
 def party_author_tree(d: DataFrame, n_groups: int = 10, n_items: int = 10) -> DataFrame:
     """Party -> author counts, top-N with a remainder on both levels."""
-    party = authors.normalise_party(text.first_token("tipo_autor"), dashboard=True)
-    counts = (members(d).withColumn("partido", party)
+    raw = (members(d).groupBy(text.first_token("tipo_autor").alias("_tok"), "parlamentar")
+           .agg(F.count(F.lit(1)).alias("n")))
+    counts = (raw.withColumn("partido", authors.normalise_party("_tok", dashboard=True))
               .filter(F.col("partido").isNotNull())
-              .groupBy("partido", "parlamentar").agg(F.count(F.lit(1)).alias("n")))
+              .groupBy("partido", "parlamentar").agg(F.sum("n").cast("bigint").alias("n")))
     counts = exclude_institutional(counts, "partido")
     counts = counts.withColumn("parlamentar", text.person_name("parlamentar", drop_parentheses=False))
     return ranking.tree_top_n(counts, "partido", "parlamentar", "n", n_groups, n_items)
@@ -130,38 +138,53 @@ def term_mix(d: DataFrame) -> DataFrame:
 
 def top_authors(d: DataFrame, k: int = 15) -> DataFrame:
     """Most frequent authors (upper-cased, stripped), display-normalised."""
-    keyed = members(d).withColumn("_k", text.strip_ws(F.upper(F.col("parlamentar"))))
-    top = ranking.top_k(keyed, "_k", k)
+    per_name = members(d).groupBy("parlamentar").agg(F.count(F.lit(1)).alias("n"))
+    keyed = (per_name.groupBy(text.strip_ws(F.upper(F.col("parlamentar"))).alias("_k"))
+             .agg(F.sum("n").cast("bigint").alias("n")))
+    top = keyed.orderBy(F.desc("n"), F.asc("_k")).limit(k)
     return top.select(text.person_name("_k", drop_parentheses=False).alias("parlamentar"), "n")
 
 
-def _top_tokens(d: DataFrame, k: int) -> DataFrame:
-    toks = d.select(F.explode(text.tokens("tipo_autor")).alias("_tok"))
-    top = ranking.top_k(toks, "_tok", k)
-    return exclude_institutional(top, "_tok").select("_tok")
+def _author_cells(d: DataFrame, other: str) -> DataFrame:
+    """Members' rows counted per (author text, ``other``): the one scan of the base."""
+    return members(d).groupBy("tipo_autor", other).agg(F.count(F.lit(1)).alias("n"))
 
 
 def party_term_matrix(d: DataFrame, k: int = 12, terms=vocab.SEARCH_TERMS) -> DataFrame:
-    """First author token x search term counts for the top-k tokens (institutions removed after the cut)."""
-    dm = members(d)
-    top = _top_tokens(dm, k)
-    d9 = (dm.withColumn("p_plot", text.first_token("tipo_autor"))
-          .join(F.broadcast(top), F.col("p_plot") == F.col("_tok"), "left_semi"))
-    return grouping.pivot_counts(d9, "p_plot", "termo_busca", list(terms))
+    """First author token x search term counts for the top-k tokens (institutions removed after the cut).
+
+    Token ranking counts every token of the author text; rows go to their first
+    token.  Both come from one aggregate over the base.
+    """
+    cells = _author_cells(d, "termo_busca")
+    tok = (cells.select(F.explode(text.tokens("tipo_autor")).alias("_tok"), "n")
+           .groupBy("_tok").agg(F.sum("n").alias("_t")))
+    top = exclude_institutional(tok.orderBy(F.desc("_t"), F.asc("_tok")).limit(k), "_tok").select("_tok")
+    rows = (cells.withColumn("p_plot", text.first_token("tipo_autor"))
+            .join(F.broadcast(top), F.col("p_plot") == F.col("_tok"), "left_semi"))
+    sums = [F.sum(F.when(F.col("termo_busca") == t, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias(t)
+            for t in terms]
+    wide = rows.groupBy("p_plot").agg(*sums)
+    total = sum((F.col(f"`{t}`") for t in terms[1:]), F.col(f"`{terms[0]}`"))
+    return wide.withColumn("row_total", total)
 
 
 def party_type_flow(d: DataFrame, k_parties: int = 8, k_types: int = 6) -> DataFrame:
     """Party -> type edges among the top parties (institutions removed after the cut) and top types."""
-    dm = members(d).withColumn("p_sk", text.first_token("tipo_autor"))
-    top_p = exclude_institutional(ranking.top_k(dm, "p_sk", k_parties), "p_sk")
-    top_p = top_p.select("p_sk", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("p_sk"))) - 1)
+    cells = (_author_cells(d, "tipo").groupBy(text.first_token("tipo_autor").alias("p_sk"), "tipo")
+             .agg(F.sum("n").cast("bigint").alias("n")))
+    top_p = exclude_institutional(
+        cells.groupBy("p_sk").agg(F.sum("n").alias("_t")).orderBy(F.desc("_t"), F.asc("p_sk")).limit(k_parties),
+        "p_sk")
+    top_p = top_p.select("p_sk", (F.row_number().over(Window.orderBy(F.desc("_t"), F.asc("p_sk"))) - 1)
                          .alias("source"))
     n_sources = top_p.select(F.count(F.lit(1))).scalar()
-    top_t = ranking.top_k_ranked(dm, "tipo", k_types, "_t").select("tipo", "_t")
-    edges = (dm.join(F.broadcast(top_p), "p_sk").join(F.broadcast(top_t), "tipo")
-             .groupBy("p_sk", "tipo", "source", "_t").agg(F.count(F.lit(1)).alias("n")))
+    top_t = (cells.groupBy("tipo").agg(F.sum("n").alias("_t")).orderBy(F.desc("_t"), F.asc("tipo"))
+             .limit(k_types))
+    top_t = top_t.select("tipo", (F.row_number().over(Window.orderBy(F.desc("_t"), F.asc("tipo"))) - 1).alias("_r"))
+    edges = cells.join(F.broadcast(top_p), "p_sk").join(F.broadcast(top_t), "tipo")
     return edges.select("p_sk", "tipo", labels.type_label("tipo").alias("tipo_label"), "n", "source",
-                        (F.col("_t") + n_sources).cast("int").alias("target"))
+                        (F.col("_r") + n_sources).cast("int").alias("target"))
 
 
 LATEST_COLUMNS = ["ano", "tipo", "numero", "parlamentar", "ementa", "llm_categoria"]
@@ -205,45 +228,54 @@ def ideology_by_state(d: DataFrame) -> DataFrame:
 
 
 def facet_options(d: DataFrame) -> DataFrame:
-    """Sorted distinct option lists of every facet, in long form (faceta, valor, rotulo)."""
-    def opt(name, value, label=None, frame=d):
-        label = value if label is None else label
-        return frame.select(F.lit(name).alias("faceta"), value.alias("valor"), label.alias("rotulo"))
-
-    years = opt("ano", F.col("ano_int").cast("string"))
-    houses = opt("origem", F.col("origem_extenso"))
-    types = opt("tipo", F.col("tipo_extenso"))
-    uf_tok = d.select(F.explode(text.tokens("uf")).alias("t"))
-    ufs = opt("uf", F.col("t"), frame=uf_tok.filter(~in_list(F.col("t"), ["", vocab.PLACEHOLDER])
-                                                     & (F.length("t") == 2)))
-    party_tok = d.select(F.explode(F.split("tipo_autor", ";")).alias("t"))
-    parties = opt("partido", authors.normalise_party(F.col("t"), dashboard=True), frame=party_tok)
-    name_tok = d.select(F.explode(F.split("parlamentar", "[;,]")).alias("t"))
-    names = (opt("politico", text.person_name(F.col("t")),
-                 frame=name_tok.filter(text.is_present(text.strip_ws(F.col("t"))))))
-    names = names.filter(F.length("valor") > 2)
-    terms = opt("termo", F.col("termo_busca"), text.title_term("termo_busca"))
-    out = years
-    for part in (houses, types, ufs, parties, names, terms):
-        out = out.unionByName(part)
-    return out.filter(F.col("valor").isNotNull()).distinct()
+    """Sorted distinct option lists of every facet, in long form (faceta, valor, rotulo).
+
+    One pass emits the raw option values of every facet; they are de-duplicated
+    (partial aggregation) before any normalisation, which then runs on distinct
+    values only.
+    """
+    def opt(name, value):
+        return F.struct(F.lit(name).alias("faceta"), value.cast("string").alias("raw"))
+
+    def each(name, arr):
+        return F.coalesce(F.transform(arr, lambda t: opt(name, t)),
+                          F.array().cast("array<struct<faceta:string,raw:string>>"))
+
+    options = F.concat(
+        F.array(opt("ano", F.col("ano_int")), opt("origem", F.col("origem_extenso")),
+                opt("tipo", F.col("tipo_extenso")), opt("termo", F.col("termo_busca"))),
+        each("uf", F.split("uf", ";")),
+        each("partido", F.split("tipo_autor", ";")),
+        each("politico", F.split("parlamentar", "[;,]")))
+    raw = d.select(F.explode(options).alias("o")).select("o.faceta", "o.raw").distinct()
+    f, r = F.col("faceta"), F.col("raw")
+    valor = (F.when(f == "uf", F.when(~in_list(text.strip_ws(r), ["", vocab.PLACEHOLDER])
+                                      & (F.length(text.strip_ws(r)) == 2), text.strip_ws(r)))
+             .when(f == "partido", authors.normalise_party(r, dashboard=True))
+             .when(f == "politico", F.when(text.is_present(text.strip_ws(r)), text.person_name(r)))
+             .otherwise(r))
+    rotulo = F.when(f == "termo", text.title_term(r)).otherwise(F.col("valor"))
+    out = raw.withColumn("valor", valor).withColumn("rotulo", rotulo)
+    out = out.filter(F.col("valor").isNotNull() & ((f != "politico") | (F.length("valor") > 2)))
+    return out.select("faceta", "valor", "rotulo").distinct()
 
 
 def stage_summary(scored: DataFrame) -> DataFrame:
-    """Stage summaries in long form (resumo, chave, n)."""
-    def counts(name, c):
-        return scored.groupBy(F.coalesce(c.cast("string"), F.lit("")).alias("chave")).agg(
-            F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("resumo"), "chave", "n")
-
-    coverage = scored.agg(F.count("score_lr").alias("n")).select(
-        F.lit("cobertura").alias("resumo"), F.lit("com_score").alias("chave"), "n")
-    scored_n = scored.agg(F.count("llm_nota").alias("n")).select(
-        F.lit("avaliacao").alias("resumo"), F.lit("com_nota").alias("chave"), "n")
-    parts = [counts("situacao_norm", F.col("situacao_norm")),
-             counts("llm_decisao", F.col("llm_decisao")),
-             counts("llm_categoria", F.col("llm_categoria")),
-             counts("espectro", F.col("espectro")), coverage, scored_n]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Stage summaries in long form (resumo, chave, n).
+
+    Value counts of status label, decision, category and band in one pass
+    (explode of (summary, key) pairs, partial aggregation), plus score coverage.
+    """
+    def pair(name, c):
+        return F.struct(F.lit(name).alias("resumo"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("chave"))
+
+    pairs = F.array(pair("situacao_norm", "situacao_norm"), pair("llm_decisao", "llm_decisao"),
+                    pair("llm_categoria", "llm_categoria"), pair("espectro", "espectro"))
+    counts = (scored.select(F.explode(pairs).alias("p"))
+              .groupBy("p.resumo", "p.chave").agg(F.count(F.lit(1)).alias("n")))
+    coverage = scored.agg(F.count("score_lr").alias("a"), F.count("llm_nota").alias("b"))
+    coverage = coverage.select(F.explode(F.array(
+        F.struct(F.lit("cobertura").alias("resumo"), F.lit("com_score").alias("chave"), F.col("a").alias("n")),
+        F.struct(F.lit("avaliacao").alias("resumo"), F.lit("com_nota").alias("chave"), F.col("b").alias("n")))
+    ).alias("c")).select("c.*")
+    return counts.unionByName(coverage)

@@ -64,8 +64,8 @@ def prompt_table(stage: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
 def parse_attempts(attempts: DataFrame, cutoff: float = vocab.SCORE_CUTOFF,
                    key: str = "seq", attempt: str = "attempt", raw: str = "raw") -> DataFrame:
     """One parsed result per (key, attempt)."""
-    f = response_fields(raw, cutoff)
-    return attempts.select(key, attempt, *[f[c].alias(c) for c in SCORE_COLUMNS])
+    parsed = attempts.select(key, attempt, response_fields(raw, cutoff).alias("_r"))
+    return parsed.select(key, attempt, *[F.col(f"_r.{c}").alias(c) for c in SCORE_COLUMNS])
 
 
 def first_scored(parsed: DataFrame, key: str = "seq", attempt: str = "attempt",

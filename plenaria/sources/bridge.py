@@ -176,9 +176,29 @@ def _prefix(data_dir: str) -> str:
     return "plenaria_" + hashlib.sha1(data_dir.rstrip("/").encode()).hexdigest()[:10]
 
 
+# Fixed-size dimensions (never worth spreading).
+FIXED_DIMS = {"region", "nation"}
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Give a scan at least the default parallelism.
+
+    A scan gets one task per file split; a table stored as a few large row
+    groups would otherwise run every per-row expression on a few cores.  When the
+    scan already has enough partitions (any large input) this is a no-op, so no
+    shuffle is added at scale.  Hash partitioning on the key keeps the rows of a
+    key together for a later join or aggregate on it.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key or df.columns[0])
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One driver table (Parquet); Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    return df if name in FIXED_DIMS else spread(df)
 
 
 def register_tables(spark: SparkSession, data_dir: str) -> str:

@@ -68,8 +68,8 @@ def senate_detail(details: DataFrame, raw: str = "raw", keep=("seq",)) -> DataFr
 
 def senate_status(responses: DataFrame, raw: str = "raw", keep=("seq",), **paths) -> DataFrame:
     """Senate status (object-or-array at each level) -> (situacao, data_situacao)."""
-    s = status_fields(F.col(raw), **paths)
-    return responses.select(*keep, s["situacao"].alias("situacao"), s["data_situacao"].alias("data_situacao"))
+    parsed = responses.select(*keep, status_fields(F.col(raw), **paths).alias("_s"))
+    return parsed.select(*keep, "_s.situacao", "_s.data_situacao")
 
 
 def chamber_status(responses: DataFrame, raw: str = "raw", keep=("id_interno",)) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions.util import col, in_list, lit_array
+from plenaria.functions.util import let as util_let
 
 # Every Unicode whitespace character (the set ``str.strip()`` removes), by rule.
 WHITESPACE = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
@@ -98,6 +99,31 @@ def round_half_even(c, digits: int = 2) -> Column:
     return F.bround(col(c) * F.lit(scale), 0) / F.lit(scale)
 
 
+def round_exact(c, digits: int = 2) -> Column:
+    """Python's ``round(x, digits)``: half-to-even on the exact binary value of ``x``.
+
+    ``x * 10**digits`` is rounded to the nearest double, which can turn a value
+    just below a midpoint (5.335 is stored as 5.33499...) into an exact .5.  The
+    rounding error of that product is recovered exactly (Dekker's split), and
+    only when the product lands exactly on .5 does its sign decide the direction.
+    """
+    scale = float(10 ** digits)
+    split = float(2 ** 27 + 1)
+
+    def rule(x: Column) -> Column:
+        p = x * F.lit(scale)
+        t = x * F.lit(split)
+        hi = t - (t - x)
+        err = (hi * F.lit(scale) - p) + (x - hi) * F.lit(scale)
+        at_half = (p - F.floor(p)) == F.lit(0.5)
+        r = (F.when(at_half & (err > 0), F.ceil(p).cast("double"))
+             .when(at_half & (err < 0), F.floor(p).cast("double"))
+             .otherwise(F.bround(p, 0)))
+        return r / F.lit(scale)
+
+    return util_let(col(c), rule)
+
+
 def nullif_blank(c, blanks=("", vocab.PLACEHOLDER)) -> Column:
     c = col(c)
     return F.when(~in_list(c, list(blanks)), c)
@@ -138,10 +164,10 @@ def thousands_br(c) -> Column:
 def decimal_br(c, digits: int = 1) -> Column:
     """Decimal display with ',' as decimal mark (no grouping)."""
     pattern = "0." + "0" * digits if digits else "0"
-    return F.translate(F.format_number(col(c), pattern), ".", ",")
+    return F.translate(F.call_function("format_number", col(c), F.lit(pattern)), ".", ",")
 
 
 def percent_text(c, digits: int = 1) -> Column:
     """Share in [0,1] -> 'xx.x%'."""
     pattern = "0." + "0" * digits if digits else "0"
-    return F.concat(F.format_number(col(c) * F.lit(100.0), pattern), F.lit("%"))
+    return F.concat(F.call_function("format_number", col(c) * F.lit(100.0), F.lit(pattern)), F.lit("%"))

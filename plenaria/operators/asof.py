@@ -5,7 +5,7 @@ explicit empty entry gets no score).  ``g`` is the smallest distance from the
 year to any survey wave.  Each stand-in contributes every score it has at
 distance ``g`` (two when two waves tie); with none, the score of its nearest
 wave with data, the earlier wave on a distance tie.  The result is the plain
-mean of all contributions, rounded half-to-even to 2 decimals.
+mean of all contributions, rounded like Python's ``round(x, 2)``.
 
 Spark plan: the rule runs on the *distinct* (party, year) requests only, never
 per row; the wave list is a scalar subquery (one small array, no join); the
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plenaria import vocab
-from plenaria.functions.text import round_half_even
+from plenaria.functions.text import round_exact
 
 
 def proxy_table(spark, proxies: dict = vocab.PARTY_PROXIES) -> DataFrame:
@@ -62,5 +62,5 @@ def nearest_wave_scores(requests: DataFrame, scores: DataFrame, proxies: DataFra
     contrib_n = F.when(F.col("_near_n") > 0, F.col("_near_n")).otherwise(F.lit(1))
     scored = (per_proxy.groupBy(party, year)
               .agg(F.sum(contrib_sum).alias("_sum"), F.sum(contrib_n).alias("_n"))
-              .select(party, year, round_half_even(F.col("_sum") / F.col("_n"), 2).alias("score_lr")))
+              .select(party, year, round_exact(F.col("_sum") / F.col("_n"), 2).alias("score_lr")))
     return req.select(party, year).join(scored, [party, year], "left")

@@ -19,14 +19,14 @@ def apply_profiles(authors: DataFrame, profiles: DataFrame) -> DataFrame:
     need = ((F.coalesce(F.col("partido"), F.lit("")) == "")
             & (F.coalesce(F.col("uri"), F.lit("")) != "")
             & in_list(F.col("tipo"), vocab.MEMBER_TYPES))
-    joined = authors.join(profiles, "uri", "left")
     found = F.col("perfil_partido").isNotNull() | F.col("perfil_uf").isNotNull()
+    joined = authors.join(profiles, "uri", "left").withColumn("_use", need & found)
     return (joined
-            .withColumn("partido", F.when(need & found, F.coalesce(F.col("perfil_partido"), F.lit("")))
+            .withColumn("partido", F.when(F.col("_use"), F.coalesce(F.col("perfil_partido"), F.lit("")))
                         .otherwise(F.col("partido")))
-            .withColumn("uf", F.when(need & found, F.coalesce(F.col("perfil_uf"), F.col("uf")))
+            .withColumn("uf", F.when(F.col("_use"), F.coalesce(F.col("perfil_uf"), F.col("uf")))
                         .otherwise(F.col("uf")))
-            .drop("perfil_partido", "perfil_uf"))
+            .drop("perfil_partido", "perfil_uf", "_use"))
 
 
 def author_rollup(authors: DataFrame, key: str, order: list[str],

@@ -149,6 +149,18 @@ def title(x):
     return f"(CASE WHEN {x} IS NULL THEN NULL ELSE {body} END)"
 
 
+def round_exact(x, digits=2):
+    """Python round(x, digits) on doubles (exact binary value), via an error-free product."""
+    sc = f"CAST({10 ** digits} AS DOUBLE)"
+    p = f"(({x}) * {sc})"
+    t = f"(({x}) * CAST({2 ** 27 + 1} AS DOUBLE))"
+    hi = f"({t} - ({t} - ({x})))"
+    err = f"(({hi} * {sc} - {p}) + (({x}) - {hi}) * {sc})"
+    half = f"({p} - floor({p}) = 0.5)"
+    return (f"(CASE WHEN {half} AND {err} > 0 THEN ceil({p}) WHEN {half} AND {err} < 0 THEN floor({p}) "
+            f"ELSE round_even({p}, 0) END / {sc})")
+
+
 def first_tok(x):
     return strip(f"string_split({x}, ';')[1]")
 
@@ -242,7 +254,7 @@ def asof_ctes(src: str) -> list[str]:
         "cand AS (SELECT ex.*, s.wave, s.score_lr, abs(s.wave - ex.ano_int) AS dist FROM ex JOIN svs s ON s.partido = ex.proxy)",
         "fl AS (SELECT *, max(CASE WHEN dist = g THEN 1 ELSE 0 END) OVER (PARTITION BY partido_bls, ano_int, proxy) AS has_near, "
         "row_number() OVER (PARTITION BY partido_bls, ano_int, proxy ORDER BY dist, wave) AS rn FROM cand)",
-        "sc AS (SELECT partido_bls, ano_int, round_even(avg(score_lr) * 100, 0) / 100 AS score_lr FROM fl "
+        f"sc AS (SELECT partido_bls, ano_int, {round_exact('avg(score_lr)')} AS score_lr FROM fl "
         "WHERE (has_near = 1 AND dist = g) OR (has_near = 0 AND rn = 1) GROUP BY ALL)",
     ]
 

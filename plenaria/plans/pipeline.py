@@ -1,0 +1,62 @@
+"""Stage runner: stage tables on shared storage, each written once.
+
+Each stage reads the previous stage's Parquet table and writes its own; a
+stage whose directory holds a finished write is skipped, so an interrupted run
+resumes where it stopped and a second run changes nothing.  Writing the stage
+tables also cuts the lineage between stages.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from plenaria.plans import consolidate, ideology, scoring, status
+from plenaria.sources import stages
+
+
+@dataclass
+class StageLayout:
+    root: str
+
+    def path(self, stage: str) -> str:
+        return f"{self.root.rstrip('/')}/{stage}"
+
+
+STAGES = ("stage1_proposals", "stage2_status", "stage3_scored", "stage4_final")
+
+
+def run(spark: SparkSession, layout: StageLayout, raw: DataFrame, status_source: DataFrame,
+        attempts: DataFrame, survey: DataFrame, key: str = "id_interno") -> dict[str, DataFrame]:
+    """Run the four stages; returns the stage tables as read back from storage.
+
+    ``raw``: collected proposals of both houses; ``status_source``: (key, situacao);
+    ``attempts``: model responses (key, attempt, raw); ``survey``: respondent table.
+    """
+    done = {}
+
+    def stage(name: str, build):
+        path = layout.path(name)
+        if not stages.is_complete(spark, path):
+            stages.write_stage(build(), path)
+        done[name] = spark.read.parquet(path)
+        return done[name]
+
+    s1 = stage(STAGES[0], lambda: consolidate.consolidate(raw))
+    s2 = stage(STAGES[1], lambda: status.enrich_status(s1, status_source, key))
+
+    def scored():
+        parsed = scoring.parse_attempts(attempts, key=key)
+        first = scoring.first_scored(parsed, key=key)
+        return s2.join(first, key, "left")
+
+    s3 = stage(STAGES[2], scored)
+    stage(STAGES[3], lambda: ideology.enrich_ideology(s3, ideology.survey_scores(survey)))
+    return done
+
+
+def pending_scores(stage3: DataFrame) -> DataFrame:
+    """Rows of stage 3 still without a score (what a resumed scoring run must do)."""
+    return stage3.filter(F.col("llm_nota").isNull())

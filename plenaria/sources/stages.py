@@ -21,12 +21,19 @@ def is_complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a stage; with ``partition_by`` only the partitions present are replaced."""
+def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                replace_partitions: bool = False) -> None:
+    """Overwrite a stage table (Parquet, optionally partitioned, e.g. by house and year).
+
+    With ``replace_partitions`` only the partitions present in ``df`` are replaced
+    (a re-collected year replaces that year and keeps the others); completion is
+    then judged per partition directory rather than by a root ``_SUCCESS``.
+    """
     w = df.write.mode("overwrite")
     if partition_by:
-        df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         w = w.partitionBy(*partition_by)
+    if replace_partitions:
+        w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
 
 

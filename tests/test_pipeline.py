@@ -1,0 +1,126 @@
+"""Stage runner, idempotence, sources, collection jobs and incremental ingestion."""
+
+import json
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from plenaria.catalog import proposals, status_source
+from plenaria.plans import collect, pipeline
+from plenaria.sources import bridge, stages, survey
+from plenaria.streaming import incremental
+
+SF = "/root/testdata/sf0.001"
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_stage_run_is_idempotent(spark):
+    root = tempfile.mkdtemp(prefix="plenaria-stages-")
+    layout = pipeline.StageLayout(root)
+    p = proposals(spark, SF)
+    att = bridge.bridge(spark, SF, "attempts")
+    # responses are keyed by the proposal sequence; map them to internal ids
+    keyed = att.join(p.select("seq", "id_interno"), "seq").drop("seq")
+    keyed = keyed.groupBy("id_interno", "attempt").agg(F.min("raw").alias("raw"))
+    args = (p, status_source(spark, SF), keyed, bridge.bridge(spark, SF, "survey"))
+    first = pipeline.run(spark, layout, *args)
+    assert all(stages.is_complete(spark, layout.path(s)) for s in pipeline.STAGES)
+    snapshot = _rows(first["stage4_final"])
+    second = pipeline.run(spark, layout, *args)
+    assert _rows(second["stage4_final"]) == snapshot
+    s4 = second["stage4_final"]
+    assert s4.select("id_interno").distinct().count() == s4.count()
+    assert {"situacao_norm", "llm_nota", "score_lr", "espectro"} <= set(s4.columns)
+    assert pipeline.pending_scores(second["stage3_scored"]).count() >= 0
+
+
+def test_worklist_empty_when_everything_done(spark):
+    units = collect.worklist(spark, ["a", "b"], ["PL"], 2000, 2001)
+    assert units.count() == 4
+    done = units.withColumnRenamed("termo", "termo")
+    assert collect.pending_work(units, done).count() == 0
+    part = units.filter(F.col("ano") == 2000)
+    assert sorted(tuple(r) for r in collect.pending_work(units, part).collect()) == [("a", "PL", 2001), ("b", "PL", 2001)]
+
+
+def test_survey_csv_sentinel(spark):
+    d = tempfile.mkdtemp(prefix="plenaria-csv-")
+    path = os.path.join(d, "survey.csv")
+    with open(path, "w") as f:
+        f.write("wave,lrpt,lrpsdb\n1990,5,-999\n1990,-999.0,3\n1994,7,4\n")
+    df = survey.sentinel_to_null(survey.read_survey_csv(spark, path, ["lrpt", "lrpsdb"]))
+    assert _rows(df) == sorted([(1990, None, 3.0), (1990, 5.0, None), (1994, 7.0, 4.0)], key=repr)
+
+
+def test_stage_io_roundtrip(spark):
+    root = tempfile.mkdtemp(prefix="plenaria-io-")
+    path = root + "/t"
+    assert not stages.is_complete(spark, path)
+    assert stages.read_stage(spark, path, "a int").count() == 0
+    stages.write_stage(spark.range(5).withColumn("y", F.col("id") % 2), path, ["y"])
+    assert stages.is_complete(spark, path)
+    assert stages.read_stage(spark, path).count() == 5
+    # replace one partition only (a re-collected year)
+    stages.write_stage(spark.range(2).withColumn("y", F.lit(1).cast("long")), path, ["y"], replace_partitions=True)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).groupBy("y").count().collect())
+    assert got == [(0, 3), (1, 2)]
+
+
+def test_collect_chamber_from_landing_json(spark):
+    pages = spark.createDataFrame([
+        ("pobreza", json.dumps({"dados": [{"id": 10, "siglaTipo": "PL", "numero": "1", "ano": 2001},
+                                          {"id": 11, "siglaTipo": "SUG", "ano": 2001}]})),
+        ("extrema pobreza", json.dumps({"dados": [{"id": 10, "siglaTipo": "PL", "numero": "1", "ano": 2001}]})),
+        ("pobreza", "erro")], "termo_busca string, raw string")
+    author_json = spark.createDataFrame([
+        ("10", json.dumps({"dados": [{"nome": "Ana", "siglaPartido": "PT", "siglaUf": "SP", "tipo": "Deputado"},
+                                     {"nome": "Bia", "siglaPartido": "", "siglaUf": "", "tipo": "Deputado(a)",
+                                      "uri": "u/1"}]})),
+        ("11", json.dumps({"dados": [{"nome": "Povo", "tipo": "Sociedade Civil"}]}))],
+        "id_interno string, raw string")
+    profiles = spark.createDataFrame([("u/1", "PSOL", "RJ")], "uri string, perfil_partido string, perfil_uf string")
+    out = {r["id_interno"]: r for r in collect.collect_chamber(pages, author_json, profiles).collect()}
+    assert out["10"]["termo_busca"] == "extrema pobreza"          # lowest term position wins
+    assert (out["10"]["parlamentar"], out["10"]["uf"], out["10"]["tipo_autor"]) == ("Ana; Bia", "SP; RJ", "PT; PSOL")
+    assert out["11"]["tipo_autor"] == "Popular; Comissão"
+
+
+def test_collect_senate_from_landing_json(spark):
+    procs = [{"id": 1, "codigoMateria": 100, "tipoDocumento": "Projeto de Lei Ordinária", "tipoConteudo": "Norma Geral",
+              "identificacao": "PLS 1/2001", "dataApresentacao": "2001-02-03", "ementa": " Combate à pobreza ",
+              "autoria": "Senador Zé (PT/SP)"},
+             {"id": 2, "codigoMateria": 101, "tipoDocumento": "Projeto de Lei Ordinária", "tipoConteudo": "Norma Geral",
+              "ementa": "Outro tema", "autoria": "Comissão de Assuntos Sociais"},
+             {"id": 3, "codigoMateria": 102, "tipoDocumento": "Requerimento", "ementa": "pobreza"}]
+    listing = spark.createDataFrame([(json.dumps(procs),)], "raw string")
+    details = spark.createDataFrame([("1", "", "Social", "Renda"), ("2", "RENDA MÍNIMA", "Social", "Assistência")],
+                                    "id_processo string, indexacao string, assunto_geral string, assunto_especifico string")
+    out = {r["id_interno"]: r for r in collect.collect_senate(listing, details).collect()}
+    assert set(out) == {"SF-100", "SF-101"}
+    assert (out["SF-100"]["termo_busca"], out["SF-100"]["rota"], out["SF-100"]["ano"]) == ("pobreza", 1, "2001")
+    assert (out["SF-100"]["parlamentar"], out["SF-100"]["tipo_autor"], out["SF-100"]["uf"]) == ("Zé", "PT", "SP")
+    assert (out["SF-101"]["termo_busca"], out["SF-101"]["rota"]) == ("renda mínima", 2)
+    assert out["SF-101"]["tipo_autor"] == "Comissão" and out["SF-101"]["assunto_especifico"] == "Assistência"
+
+
+def test_incremental_ingestion_processes_each_file_once(spark):
+    root = tempfile.mkdtemp(prefix="plenaria-stream-")
+    landing, out, ckpt = root + "/landing", root + "/out", root + "/ckpt"
+    os.makedirs(landing)
+
+    def land(name, ids):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write(json.dumps({"dados": [{"id": i, "siglaTipo": "PL", "ano": 2001} for i in ids]}) + "\n")
+
+    land("pobreza__p1.json", [1, 2])
+    incremental.ingest_pages(spark, landing, out, ckpt)
+    assert spark.read.parquet(out).count() == 2
+    land("renda_minima__p1.json", [3])
+    incremental.ingest_pages(spark, landing, out, ckpt)
+    rows = spark.read.parquet(out)
+    assert rows.count() == 3
+    assert sorted(r[0] for r in rows.select("termo_busca").distinct().collect()) == ["pobreza", "renda minima"]

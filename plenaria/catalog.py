@@ -319,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "type_mix": _view(mart.type_mix),
     "party_author_tree": _view(mart.party_author_tree),
     "by_state": _view(mart.by_state),
+    "top_states": _view(mart.top_states),
     "term_mix": _view(mart.term_mix),
     "top_authors": _view(mart.top_authors),
     "party_term_matrix": _view(mart.party_term_matrix),
@@ -328,6 +329,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ideology_by_house": _view(mart.ideology_by_house),
     "by_band": _view(mart.by_band),
     "ideology_by_state": _view(mart.ideology_by_state),
+    "lowest_state_scores": _view(mart.lowest_state_scores),
     "facet_options": _view(mart.facet_options),
     "stage_summary": q_stage_summary,
 }

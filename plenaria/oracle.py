@@ -522,6 +522,8 @@ def build() -> dict[str, str]:
         f"UNION ALL SELECT 'Outros' AS partido, '—' AS parlamentar, {_bigint_sum('total')} AS n FROM tot "
         "WHERE partido NOT IN (SELECT partido FROM topg) HAVING sum(total) > 0"))
     o["by_state"] = on_mart("SELECT uf, count(*) AS n FROM mart WHERE uf IS NOT NULL AND uf NOT IN ('', '—') GROUP BY uf")
+    o["top_states"] = on_mart("SELECT uf, count(*) AS n FROM mart WHERE uf IS NOT NULL AND uf NOT IN ('', '—') "
+                              "GROUP BY uf ORDER BY n DESC, uf LIMIT 15")
     o["term_mix"] = on_mart(
         f"SELECT legislatura, {title('termo_busca')} AS termo_busca, n, round(CAST(100 AS DOUBLE) * n / sum(n) OVER "
         "(PARTITION BY legislatura), 4) AS pct FROM (SELECT legislatura, termo_busca, count(*) AS n FROM mart GROUP BY ALL)")
@@ -562,6 +564,9 @@ def build() -> dict[str, str]:
     o["ideology_by_state"] = on_mart(
         "SELECT uf, round(avg(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
         "AND uf NOT IN ('', '—') GROUP BY uf")
+    o["lowest_state_scores"] = on_mart(
+        "SELECT uf, round(avg(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
+        "AND uf NOT IN ('', '—') GROUP BY uf ORDER BY score_lr, uf LIMIT 15")
     o["facet_options"] = on_mart(
         "SELECT DISTINCT * FROM ("
         "SELECT 'ano' AS faceta, CAST(ano_int AS VARCHAR) AS valor, CAST(ano_int AS VARCHAR) AS rotulo FROM mart "

@@ -18,6 +18,23 @@ from plenaria.operators.filters import exclude_pattern, exclude_values, fill_mis
 
 CONTRACT = ["origem", "tipo", "numero", "ano", "data_apre", "parlamentar", "tipo_autor", "uf",
             "ementa", "termo_busca", "tramitando", "id_interno", "id_processo", "uri"]
+# FIXED VALUES: display names of the stage-1 output contract, in contract order.
+DISPLAY_NAMES = {
+    "origem": "Origem",
+    "tipo": "Tipo de Proposta",
+    "numero": "Número",
+    "ano": "Ano",
+    "data_apre": "Data de Apresentação",
+    "parlamentar": "Parlamentar",
+    "tipo_autor": "Tipo/Partido Autor",
+    "uf": "UF",
+    "ementa": "Ementa",
+    "termo_busca": "Termo de Busca",
+    "tramitando": "Tramitando",
+    "id_interno": "ID Interno",
+    "id_processo": "ID Processo",
+    "uri": "URI",
+}
 FILL = {"id_processo": vocab.PLACEHOLDER, "tramitando": vocab.PLACEHOLDER, "uf": vocab.PLACEHOLDER}
 SORT = ["origem", "ano", "tipo"]
 KEY = "id_interno"
@@ -41,6 +58,11 @@ def consolidate(raw: DataFrame,
     return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
 
 
+def to_display(stage1: DataFrame) -> DataFrame:
+    """Rename to the display contract (at the edge only; the engine keeps snake case)."""
+    return stage1.withColumnsRenamed({k: v for k, v in DISPLAY_NAMES.items() if k in stage1.columns})
+
+
 def house_crosstab(stage1: DataFrame, houses=("CD", "CN", "SF")) -> DataFrame:
     """Type x house counts with margins (stage-1 summary)."""
     from plenaria.operators.grouping import crosstab_margins

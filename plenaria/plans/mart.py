@@ -129,6 +129,11 @@ def by_state(d: DataFrame) -> DataFrame:
     return (d.filter(text.is_present("uf")).groupBy("uf").agg(F.count(F.lit(1)).alias("n")))
 
 
+def top_states(d: DataFrame, k: int = 15) -> DataFrame:
+    """O6 (D6 without a map): the k states with most proposals."""
+    return by_state(d).orderBy(F.desc("n"), F.asc("uf")).limit(k)
+
+
 def term_mix(d: DataFrame) -> DataFrame:
     """Search-term share per legislature, terms title-cased."""
     counts = d.groupBy("legislatura", "termo_busca").agg(F.count(F.lit(1)).alias("n"))
@@ -227,6 +232,11 @@ def ideology_by_state(d: DataFrame) -> DataFrame:
             .agg(F.round(F.avg("score_lr"), ROUND).alias("score_lr")))
 
 
+def lowest_state_scores(d: DataFrame, k: int = 15) -> DataFrame:
+    """O6 (D15 without a map): the k states with the lowest mean ideology score."""
+    return ideology_by_state(d).orderBy(F.asc("score_lr"), F.asc("uf")).limit(k)
+
+
 def facet_options(d: DataFrame) -> DataFrame:
     """Sorted distinct option lists of every facet, in long form (faceta, valor, rotulo).
 

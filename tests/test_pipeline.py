@@ -124,3 +124,28 @@ def test_incremental_ingestion_processes_each_file_once(spark):
     rows = spark.read.parquet(out)
     assert rows.count() == 3
     assert sorted(r[0] for r in rows.select("termo_busca").distinct().collect()) == ["pobreza", "renda minima"]
+
+
+def test_context_status_and_profile_parsers(spark):
+    from plenaria.sources import landing
+    cd = spark.createDataFrame([
+        ("u1", json.dumps({"dados": {"keywords": "renda", "ementaDetalhada": None,
+                                     "statusProposicao": {"descricaoSituacao": "Arquivada", "url": "x"}}})),
+        ("u2", "erro")], "uri string, raw string")
+    assert sorted(tuple(r) for r in landing.chamber_context(cd).collect()) == [("u1", "renda", ""), ("u2", "", "")]
+    st = landing.chamber_status(cd.withColumnRenamed("uri", "id_interno"))
+    assert sorted(tuple(r) for r in st.collect()) == [("u1", "Arquivada", "x"), ("u2", "", "")]
+    sf = spark.createDataFrame([
+        ("a", json.dumps({"DetalheMateria": {"Materia": {"IndexacaoMateria": "", "EmentaMateria": "longa"}}})),
+        ("b", json.dumps({"DetalheMateria": {"Materia": {"IndexacaoMateria": "idx"}}})), ("c", "{}")],
+        "uri string, raw string")
+    assert sorted(tuple(r) for r in landing.senate_context(sf).collect()) == [("a", "longa"), ("b", "idx"), ("c", "")]
+    prof = spark.createDataFrame([("u", json.dumps({"dados": {"ultimoStatus": {"siglaPartido": "PT", "siglaUf": "SP"}}}))],
+                                 "uri string, raw string")
+    assert [tuple(r) for r in landing.member_profiles(prof).collect()] == [("u", "PT", "SP")]
+
+
+def test_display_names(spark):
+    from plenaria.plans.consolidate import to_display
+    df = spark.createDataFrame([("CD", "PL")], "origem string, tipo string")
+    assert to_display(df).columns == ["Origem", "Tipo de Proposta"]

@@ -28,12 +28,14 @@ def main() -> None:
 
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("plenaria-bench")
              .config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", str(max(8, 2 * int(cpus) if cpus.isdigit() else 16)))
+             .config("spark.sql.shuffle.partitions", os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus if cpus.isdigit() else "8"))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
              .config("plenaria.mart.persist", "true")
+             # no per-call Python call-site capture (error context only) while building plans
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
@@ -47,14 +49,18 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if only and name not in only:
             continue
-        samples = []
+        samples, builds = [], []
         for i in range(runs + 1):
             t0 = time.time()
-            fn(spark, data).write.format("noop").mode("overwrite").save()
+            df = fn(spark, data)
+            t1 = time.time()
+            df.write.format("noop").mode("overwrite").save()
             if i:
                 samples.append(time.time() - t0)
+                builds.append(t1 - t0)
         times[name] = round(statistics.median(samples), 3)
-        print(f"{name:26s} {times[name]:7.3f}s", file=sys.stderr, flush=True)
+        print(f"{name:26s} {times[name]:7.3f}s (plan build {statistics.median(builds):.3f}s)",
+              file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)$", data)
     print(json.dumps({
         "metric": "sum_of_query_median_seconds",

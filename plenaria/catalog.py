@@ -77,7 +77,7 @@ def _materialized(spark: SparkSession, name: str, d: str, build) -> DataFrame:
     if spark.conf.get("plenaria.mart.persist", "false") != "true":
         return build()
     key = (id(spark), name, d)
-    if key not in _TABLES:
+    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
         root = stages.checkpoint_dir(spark)
         if not root:
             raise RuntimeError("plenaria.mart.persist needs spark.checkpoint.dir (a shared folder)")

@@ -26,8 +26,14 @@ from plenaria.functions.text import round_exact
 
 def proxy_table(spark, proxies: dict = vocab.PARTY_PROXIES) -> DataFrame:
     """Fixed stand-in table (party, proxies); a null list means 'never scored'."""
-    rows = [(k, v) for k, v in proxies.items()]
-    return spark.createDataFrame(rows, "partido string, proxies array<string>")
+    rows = ", ".join(
+        f"({_sql(k)}, {'CAST(NULL AS ARRAY<STRING>)' if v is None else 'array(' + ', '.join(_sql(x) for x in v) + ')'})"
+        for k, v in proxies.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(partido, proxies)")
+
+
+def _sql(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def nearest_wave_scores(requests: DataFrame, scores: DataFrame, proxies: DataFrame,

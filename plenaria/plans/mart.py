@@ -28,8 +28,8 @@ def scored_base(proposals: DataFrame, scores: DataFrame, survey_scores: DataFram
                 key: str = "seq") -> DataFrame:
     """Proposals with type codes, status label, relevance score and ideology (all rows)."""
     df = (proposals.join(scores.select(key, *SCORE_COLUMNS), key, "left")
-          .withColumn("tipo", labels.normalise_type("tipo"))
-          .withColumn("situacao_norm", labels.status_label("situacao")))
+          .withColumns({"tipo": labels.normalise_type("tipo"),
+                        "situacao_norm": labels.status_label("situacao")}))
     df = fill_missing(df, {k: v for k, v in FILL.items() if k in df.columns})
     return enrich_ideology(df, survey_scores)
 
@@ -37,13 +37,16 @@ def scored_base(proposals: DataFrame, scores: DataFrame, survey_scores: DataFram
 def mart_base(scored: DataFrame) -> DataFrame:
     """Included proposals with the dashboard's derived columns."""
     df = scored.filter(F.col("llm_decisao") == vocab.DECISION_INCLUDE)
-    return (df.withColumn("llm_nota", text.to_number(F.col("llm_nota").cast("string")))
-            .withColumn("origem_extenso", labels.house_label("origem"))
-            .withColumn("tipo_extenso", labels.type_label("tipo"))
-            .withColumn("ano_int", text.to_int("ano"))
-            .withColumn("legislatura", labels.legislature("ano_int"))
-            .withColumn("regiao", labels.region("uf"))
-            .withColumn("e_parlamentar", authors.is_member("tipo_autor")))
+    ano_int = text.to_int("ano")
+    return df.withColumns({
+        "llm_nota": text.to_number(F.col("llm_nota").cast("string")),
+        "origem_extenso": labels.house_label("origem"),
+        "tipo_extenso": labels.type_label("tipo"),
+        "ano_int": ano_int,
+        "legislatura": labels.legislature(ano_int),
+        "regiao": labels.region("uf"),
+        "e_parlamentar": authors.is_member("tipo_autor"),
+    })
 
 
 def filtered(base: DataFrame, spec: FacetSpec | None) -> DataFrame:
@@ -74,8 +77,9 @@ def kpis(d: DataFrame) -> DataFrame:
 
 
 def legislature_dim(spark: SparkSession) -> DataFrame:
-    rows = [(label, i) for i, (_, label) in enumerate(vocab.LEGISLATURES)]
-    return spark.createDataFrame(rows, "legislatura string, ordem int")
+    """Fixed legislature sequence (label, position)."""
+    rows = ", ".join(f"('{label}', {i})" for i, (_, label) in enumerate(vocab.LEGISLATURES))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(legislatura, ordem)")
 
 
 def by_legislature(d: DataFrame) -> DataFrame:

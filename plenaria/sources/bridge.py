@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import threading
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -160,6 +161,8 @@ VIEWS = {
 
 _MARK = re.compile(r"@@(\w+)")
 _lock = threading.Lock()
+_registered: dict = {}            # (session id, prefix) -> weak ref to that session
+_partitions: dict = {}            # (session id, path) -> scan partitions
 
 
 def render(sql: str, resolve=lambda name: name) -> str:
@@ -189,27 +192,47 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     shuffle is added at scale.  Hash partitioning on the key keeps the rows of a
     key together for a later join or aggregate on it.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    files = tuple(df.inputFiles())
+    k = (id(spark), files)
+    if k not in _partitions:
+        _partitions[k] = df.rdd.getNumPartitions()
+    if _partitions[k] >= target:
         return df
     return df.repartition(target, key or df.columns[0])
 
 
+_tables: dict = {}                # (session id, path) -> scan DataFrame
+
+
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    """One driver table (Parquet); Catalyst prunes columns and pushes filters."""
-    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-    return df if name in FIXED_DIMS else spread(df)
+    """One driver table (Parquet); Catalyst prunes columns and pushes filters.
+
+    The scan DataFrame is built once per session and path (a DataFrame is an
+    immutable plan; reading it again re-reads the Parquet footers).
+    """
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _tables or _tables[key].sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _tables[key] = df if name in FIXED_DIMS else spread(df)
+    return _tables[key]
 
 
 def register_tables(spark: SparkSession, data_dir: str) -> str:
     """Register the driver tables of ``data_dir`` as temp views; returns the prefix."""
     prefix = _prefix(data_dir)
     with _lock:
+        ref = _registered.get((id(spark), prefix))
+        if ref is not None and ref() is spark:
+            return prefix
         existing = {t.name for t in spark.catalog.listTables() if t.isTemporary}
         for name in DRIVER_TABLES:
             view = f"{prefix}_{name}"
             if view not in existing:
                 table(spark, data_dir, name).createOrReplaceTempView(view)
+        _registered[(id(spark), prefix)] = weakref.ref(spark)
     return prefix
 
 

@@ -99,6 +99,13 @@ SELECT o_orderkey AS seq, attempt,
 FROM @@orders CROSS JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) a
 """
 
+# Spark form of the same view: the four attempts come from a generator on each
+# order row instead of a join with a constant table (same rows, no join).
+ATTEMPTS_SPARK = ATTEMPTS.replace(
+    "FROM @@orders CROSS JOIN (SELECT 1 AS attempt UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) a",
+    "FROM @@orders LATERAL VIEW explode(array(1, 2, 3, 4)) a AS attempt")
+assert ATTEMPTS_SPARK != ATTEMPTS
+
 STATUS_RAW = """
 SELECT o_orderkey AS seq,
   CASE o_orderkey % 4
@@ -159,6 +166,8 @@ VIEWS = {
     "detalhe_raw": DETAIL_RAW,
 }
 
+SPARK_VIEWS = {"attempts": ATTEMPTS_SPARK}
+
 _MARK = re.compile(r"@@(\w+)")
 _lock = threading.Lock()
 _registered: dict = {}            # (session id, prefix) -> weak ref to that session
@@ -239,4 +248,4 @@ def register_tables(spark: SparkSession, data_dir: str) -> str:
 def bridge(spark: SparkSession, data_dir: str, view: str) -> DataFrame:
     """A bridge view as a DataFrame (analysed now, executed lazily)."""
     prefix = register_tables(spark, data_dir)
-    return spark.sql(render(VIEWS[view], lambda name: f"{prefix}_{name}"))
+    return spark.sql(render(SPARK_VIEWS.get(view, VIEWS[view]), lambda name: f"{prefix}_{name}"))

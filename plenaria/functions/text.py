@@ -124,11 +124,6 @@ def round_exact(c, digits: int = 2) -> Column:
     return util_let(col(c), rule)
 
 
-def nullif_blank(c, blanks=("", vocab.PLACEHOLDER)) -> Column:
-    c = col(c)
-    return F.when(~in_list(c, list(blanks)), c)
-
-
 def is_present(c, blanks=("", vocab.PLACEHOLDER)) -> Column:
     """Not null and not a blank/placeholder value."""
     c = col(c)

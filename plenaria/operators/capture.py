@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from plenaria import vocab
 from plenaria.functions.util import in_list
 from plenaria.operators.dedup import first_per_key
+from plenaria.operators.filters import require_key
 from plenaria.operators.term_match import first_term
 
 
@@ -25,8 +26,7 @@ def two_route_capture(listing: DataFrame, details: DataFrame, terms,
                       doc_type: str = "tipo_doc", content_type: str = "tipo_conteudo",
                       detail_key: str | None = None) -> DataFrame:
     """Captured rows: listing columns + ``termo_busca`` + ``rota`` (1 summary, 2 detail)."""
-    cand = listing.filter(in_list(F.col(doc_type), doc_types)
-                          & F.col(key).isNotNull() & (F.col(key).cast("string") != ""))
+    cand = require_key(listing.filter(in_list(F.col(doc_type), doc_types)), key)
     cand = cand.withColumn("_t1", first_term(summary, terms))
     cand = cand.filter(F.col("_t1").isNotNull()
                        | F.coalesce(in_list(F.col(content_type), content_types), F.lit(False)))

@@ -24,7 +24,8 @@ def exclude_pattern(df: DataFrame, c: str, pattern: str) -> DataFrame:
 
 
 def require_key(df: DataFrame, c: str) -> DataFrame:
-    return df.filter(F.col(c).isNotNull() & (F.col(c) != ""))
+    """Drop rows without a key (null or empty text)."""
+    return df.filter(F.col(c).isNotNull() & (F.col(c).cast("string") != ""))
 
 
 def valid_id(c) -> Column:

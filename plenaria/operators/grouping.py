@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,13 +37,6 @@ def crosstab_margins(df: DataFrame, row: str, column: str, values: list[str],
             .drop("_g"))
 
 
-def pivot_counts(df: DataFrame, row: str, column: str, values: list[str]) -> DataFrame:
-    """Zero-filled matrix of counts with a row total, for known column values."""
-    wide = df.groupBy(row).pivot(column, values).agg(F.count(F.lit(1))).na.fill(0, subset=values)
-    total = reduce(lambda a, b: a + b, [F.col(f"`{v}`") for v in values])
-    return wide.withColumn("row_total", total)
-
-
 def mean_with_total(df: DataFrame, by: str, sub: str, value: str, total_label: str = vocab.TOTAL,
                     out: str = "score_lr", digits: int = 4) -> DataFrame:
     """Mean per ``by`` (labelled ``total_label``) and per (``by``, ``sub``), in one pass.

@@ -24,21 +24,6 @@ def top_k(df: DataFrame, key: str, k: int, n: str = "n") -> DataFrame:
     return value_counts(df, key, n).orderBy(F.desc(n), F.asc(key)).limit(k)
 
 
-def top_k_ranked(df: DataFrame, key: str, k: int, rank: str = "rank") -> DataFrame:
-    """Top ``k`` values of ``key`` with a 0-based rank (at most ``k`` rows)."""
-    top = top_k(df, key, k)
-    return top.withColumn(rank, F.row_number().over(Window.orderBy(F.desc("n"), F.asc(key))) - 1)
-
-
-def relabel_outside_top(df: DataFrame, key: str, k: int, out: str,
-                        other: str = vocab.OTHERS) -> DataFrame:
-    """Keep ``key`` for the ``k`` most frequent values, else ``other``."""
-    top = top_k(df, key, k).select(F.col(key).alias("_top_key"))
-    return (df.join(F.broadcast(top), F.col(key) == F.col("_top_key"), "left")
-            .withColumn(out, F.when(F.col("_top_key").isNotNull(), F.col(key)).otherwise(F.lit(other)))
-            .drop("_top_key"))
-
-
 def tree_top_n(counts: DataFrame, group: str, item: str, n: str,
                n_groups: int, n_items: int, other: str = vocab.OTHERS,
                other_item: str = vocab.PLACEHOLDER) -> DataFrame:

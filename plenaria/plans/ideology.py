@@ -11,6 +11,7 @@ from plenaria.functions.labels import ideology_band
 from plenaria.functions.text import round_half_even, to_int
 from plenaria.functions.util import lookup
 from plenaria.operators.asof import nearest_wave_scores, proxy_table
+from plenaria.operators.grouping import melt
 
 
 def survey_scores(survey: DataFrame, party_columns: dict = vocab.SURVEY_PARTY_COLUMNS,
@@ -28,7 +29,7 @@ def survey_scores(survey: DataFrame, party_columns: dict = vocab.SURVEY_PARTY_CO
                 .groupBy("wave")
                 .agg(*[F.avg(F.nullif(F.col(c).cast("double"), F.lit(float(missing)))).alias(c)
                        for c in cols]))
-    long = (per_wave.unpivot(["wave"], cols, "col", "score_lr")
+    long = (melt(per_wave, ["wave"], cols, "col", "score_lr")
             .filter(F.col("score_lr").isNotNull())
             .withColumn("partido", lookup({c: party_columns[c] for c in cols}, "col")))
     return (long.groupBy("wave", "partido")

@@ -49,10 +49,6 @@ def mart_base(scored: DataFrame) -> DataFrame:
     })
 
 
-def filtered(base: DataFrame, spec: FacetSpec | None) -> DataFrame:
-    return base if spec is None else facet_filter(base, spec)
-
-
 def _pct(cond) -> F.Column:
     return F.round(F.lit(100.0) * F.count_if(cond) / F.count(F.lit(1)), ROUND)
 

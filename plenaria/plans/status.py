@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plenaria.functions import labels, text
+from plenaria.functions import labels
+from plenaria.operators.filters import valid_id
 from plenaria.functions.util import in_list
 
 
@@ -17,7 +18,7 @@ def enrich_status(stage1: DataFrame, status: DataFrame, key: str = "id_interno")
     valid process id; every other row gets ''.  Equi-join on the id.
     """
     eligible = ((F.col("origem") == "CD")
-                | (in_list(F.col("origem"), ["SF", "CN"]) & text.is_present("id_processo")))
+                | (in_list(F.col("origem"), ["SF", "CN"]) & valid_id("id_processo")))
     src = status.select(F.col(key), F.col("situacao").alias("_sit"))
     out = (stage1.join(src, key, "left")
            .withColumn("situacao", F.when(eligible, F.coalesce(F.col("_sit"), F.lit(""))).otherwise(F.lit("")))

@@ -149,3 +149,13 @@ def test_display_names(spark):
     from plenaria.plans.consolidate import to_display
     df = spark.createDataFrame([("CD", "PL")], "origem string, tipo string")
     assert to_display(df).columns == ["Origem", "Tipo de Proposta"]
+
+
+def test_read_landing_files(spark):
+    from plenaria.sources import landing
+    d = tempfile.mkdtemp(prefix="plenaria-landing-")
+    with open(os.path.join(d, "page1.json"), "w") as f:
+        f.write(json.dumps({"dados": [{"id": 7, "siglaTipo": "PEC", "ano": 1999}]}) + "\n" + "erro\n")
+    pages = landing.read_landing(spark, d, key="pagina")
+    recs = landing.chamber_records(pages, keep=("pagina",))
+    assert [(r["id_interno"], r["tipo"], r["ano"]) for r in recs.collect()] == [("7", "PEC", "1999")]

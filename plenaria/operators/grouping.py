@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from plenaria import vocab
 
 
+def exact_mean(c, scale: int = 2):
+    """Mean of values with at most ``scale`` decimals: exact decimal sum, one division.
+
+    A double sum depends on the order partial sums are merged in, and a mean of
+    2-decimal scores often sits exactly on a rounding boundary; summing exactly
+    makes the rounded mean the same on every run and partitioning.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.sum(c.cast(f"decimal(38,{scale})")).cast("double") / F.count(c)
+
+
 def share_within(df: DataFrame, group: list[str], n: str = "n", out: str = "pct",
                  digits: int = 4) -> DataFrame:
     """100 * n / sum(n) within ``group`` (a 100 % stacked bar).
@@ -45,7 +56,7 @@ def mean_with_total(df: DataFrame, by: str, sub: str, value: str, total_label: s
     is dropped.
     """
     grouped = (df.select(by, sub, value).rollup(by, sub)
-               .agg(F.avg(value).alias(out), F.grouping(sub).alias("_gs"), F.grouping(by).alias("_gb")))
+               .agg(exact_mean(value).alias(out), F.grouping(sub).alias("_gs"), F.grouping(by).alias("_gb")))
     return (grouped.filter(F.col("_gb") == 0)
             .withColumn(sub, F.when(F.col("_gs") == 1, F.lit(total_label)).otherwise(F.col(sub)))
             .withColumn(out, F.round(out, digits))

@@ -554,18 +554,18 @@ def build() -> dict[str, str]:
     o["latest_rows"] = on_mart(f"SELECT {latest} FROM (SELECT * FROM mart ORDER BY ano DESC, seq LIMIT 500)")
     o["ideology_by_leg_group"] = on_mart(
         f"SELECT legislatura, CASE WHEN grouping(grupo) = 1 THEN 'Total' ELSE grupo END AS grupo, "
-        f"round(avg(score_lr), 4) AS score_lr, {legislature_order('legislatura')} AS ordem FROM "
+        f"round(CAST(sum(CAST(score_lr AS DECIMAL(38,2))) AS DOUBLE) / count(score_lr), 4) AS score_lr, {legislature_order('legislatura')} AS ordem FROM "
         f"(SELECT legislatura, coalesce({type_group('tipo')}, 'Outros') AS grupo, score_lr FROM mart WHERE score_lr IS NOT NULL) "
         "GROUP BY GROUPING SETS ((legislatura), (legislatura, grupo))")
     o["ideology_by_house"] = on_mart(
-        f"SELECT legislatura, {case_map('origem', vocab.HOUSE_CHAMBER)} AS casa, round(avg(score_lr), 4) AS score_lr "
+        f"SELECT legislatura, {case_map('origem', vocab.HOUSE_CHAMBER)} AS casa, round(CAST(sum(CAST(score_lr AS DECIMAL(38,2))) AS DOUBLE) / count(score_lr), 4) AS score_lr "
         "FROM mart WHERE score_lr IS NOT NULL GROUP BY ALL")
     o["by_band"] = on_mart(f"SELECT coalesce(espectro, {q(vocab.IDEOLOGY_UNKNOWN)}) AS espectro, count(*) AS n FROM mart GROUP BY 1")
     o["ideology_by_state"] = on_mart(
-        "SELECT uf, round(avg(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
+        "SELECT uf, round(CAST(sum(CAST(score_lr AS DECIMAL(38,2))) AS DOUBLE) / count(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
         "AND uf NOT IN ('', '—') GROUP BY uf")
     o["lowest_state_scores"] = on_mart(
-        "SELECT uf, round(avg(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
+        "SELECT uf, round(CAST(sum(CAST(score_lr AS DECIMAL(38,2))) AS DOUBLE) / count(score_lr), 4) AS score_lr FROM mart WHERE score_lr IS NOT NULL AND uf IS NOT NULL "
         "AND uf NOT IN ('', '—') GROUP BY uf ORDER BY score_lr, uf LIMIT 15")
     o["facet_options"] = on_mart(
         "SELECT DISTINCT * FROM ("

@@ -217,7 +217,7 @@ def ideology_by_house(d: DataFrame) -> DataFrame:
     """Mean ideology per legislature x chamber (Congress folded into Senate)."""
     d13 = _with_score(d).withColumn("casa", lookup(vocab.HOUSE_CHAMBER, "origem"))
     return (d13.groupBy("legislatura", "casa")
-            .agg(F.round(F.avg("score_lr"), ROUND).alias("score_lr")))
+            .agg(F.round(grouping.exact_mean("score_lr"), ROUND).alias("score_lr")))
 
 
 def by_band(d: DataFrame) -> DataFrame:
@@ -229,7 +229,7 @@ def by_band(d: DataFrame) -> DataFrame:
 def ideology_by_state(d: DataFrame) -> DataFrame:
     """Mean ideology per state text."""
     return (_with_score(d).filter(text.is_present("uf")).groupBy("uf")
-            .agg(F.round(F.avg("score_lr"), ROUND).alias("score_lr")))
+            .agg(F.round(grouping.exact_mean("score_lr"), ROUND).alias("score_lr")))
 
 
 def lowest_state_scores(d: DataFrame, k: int = 15) -> DataFrame:

@@ -49,10 +49,10 @@ def test_status_label(one_col):
 
 
 def test_normalise_party(one_col):
-    pipeline = {" PT* ": "PT", "S. PART.": "0 - Sem Partido", "Sem partido": None, "PODE": "PODEMOS",
+    stage1 = {" PT* ": "PT", "S. PART.": "0 - Sem Partido", "Sem partido": None, "PODE": "PODEMOS",
                 "MDB": "PMDB/MDB", "CPI MISTA": None, "REPUBLICANOS": "REPUBLICANOS", "SOLIDARIEDADE": None,
                 "Popular": "0 - Popular", "S/PART": "S/PART"}
-    assert one_col(authors.normalise_party, list(pipeline)) == list(pipeline.values())
+    assert one_col(authors.normalise_party, list(stage1)) == list(stage1.values())
     assert one_col(lambda c: authors.normalise_party(c, dashboard=True), ["S/PART", "Iniciativa Popular"]) == \
         ["0 - Sem Partido", None]
 

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from plenaria.catalog import proposals, status_source
-from plenaria.plans import collect, pipeline
+from plenaria.plans import collect, runner
 from plenaria.sources import bridge, stages, survey
 from plenaria.streaming import incremental
 
@@ -20,22 +20,22 @@ def _rows(df):
 
 def test_stage_run_is_idempotent(spark):
     root = tempfile.mkdtemp(prefix="plenaria-stages-")
-    layout = pipeline.StageLayout(root)
+    layout = runner.StageLayout(root)
     p = proposals(spark, SF)
     att = bridge.bridge(spark, SF, "attempts")
     # responses are keyed by the proposal sequence; map them to internal ids
     keyed = att.join(p.select("seq", "id_interno"), "seq").drop("seq")
     keyed = keyed.groupBy("id_interno", "attempt").agg(F.min("raw").alias("raw"))
     args = (p, status_source(spark, SF), keyed, bridge.bridge(spark, SF, "survey"))
-    first = pipeline.run(spark, layout, *args)
-    assert all(stages.is_complete(spark, layout.path(s)) for s in pipeline.STAGES)
+    first = runner.run(spark, layout, *args)
+    assert all(stages.is_complete(spark, layout.path(s)) for s in runner.STAGES)
     snapshot = _rows(first["stage4_final"])
-    second = pipeline.run(spark, layout, *args)
+    second = runner.run(spark, layout, *args)
     assert _rows(second["stage4_final"]) == snapshot
     s4 = second["stage4_final"]
     assert s4.select("id_interno").distinct().count() == s4.count()
     assert {"situacao_norm", "llm_nota", "score_lr", "espectro"} <= set(s4.columns)
-    assert pipeline.pending_scores(second["stage3_scored"]).count() >= 0
+    assert runner.pending_scores(second["stage3_scored"]).count() >= 0
 
 
 def test_worklist_empty_when_everything_done(spark):

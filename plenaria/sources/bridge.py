@@ -202,11 +202,13 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     key together for a later join or aggregate on it.
     """
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    files = tuple(df.inputFiles())
-    k = (id(spark), files)
-    if k not in _partitions:
-        _partitions[k] = df.rdd.getNumPartitions()
+    try:
+        target = spark.sparkContext.defaultParallelism
+        k = (id(spark), tuple(df.inputFiles()))
+        if k not in _partitions:
+            _partitions[k] = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a Spark Connect session)
+        return df
     if _partitions[k] >= target:
         return df
     return df.repartition(target, key or df.columns[0])

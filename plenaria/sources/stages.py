@@ -46,4 +46,10 @@ def read_stage(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, if the session names one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on this session (e.g. Spark Connect)
+        return None

@@ -1,10 +1,10 @@
 """Data mart: base table, facet filter, KPIs and the aggregate views.
 
-Every view is a DataFrame over the (filtered) base table.  The base is meant to
-be persisted once and reused by all views, as the dashboard does with its
-in-memory table; every view is an aggregate whose output is bounded by the
-number of categories, not by the number of rows, except the explicit top-500
-table.
+Every view is a DataFrame over the (facet-filtered) base table.  The base is
+meant to be written once as a table and read by all views, as the dashboard
+loads its base once; every view aggregates the base once and does its ranking
+and labelling on that aggregate, so its output is bounded by the number of
+categories, not by the number of rows (the top-500 table is the one exception).
 """
 
 from __future__ import annotations

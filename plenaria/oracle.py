@@ -492,13 +492,15 @@ def build() -> dict[str, str]:
         return f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE {cond}) / count(*), 4)"
 
     n_parl = "count(DISTINCT CASE WHEN e_parlamentar THEN parlamentar END)"
-    o["kpis"] = on_mart(
-        f"SELECT count(*) AS total, round(count(*) / greatest(count(DISTINCT ano_int), 1), 4) AS media_ano, "
+    kpi_cols = (
+        f"count(*) AS total, round(count(*) / greatest(count(DISTINCT ano_int), 1), 4) AS media_ano, "
         f"{pct(chr(39) + 'CD' + chr(39) + ' = origem')} AS pct_cd, {pct('origem = ' + q('SF'))} AS pct_sf, "
         f"{pct('origem = ' + q('CN'))} AS pct_cn, {pct('situacao_norm = ' + q('Promulgada'))} AS pct_promulgada, "
         f"{n_parl} AS n_parlamentares, round(count(*) FILTER (WHERE e_parlamentar) / nullif({n_parl}, 0), 4) "
         f"AS por_parlamentar, {pct('tipo = ' + q('SUG') + ' OR coalesce(contains(tipo_autor, ' + q('Popular') + '), false)')} "
-        f"AS pct_popular, {pct('tipo = ' + q('MPV'))} AS pct_mpv FROM mart")
+        f"AS pct_popular, {pct('tipo = ' + q('MPV'))} AS pct_mpv")
+    o["kpis"] = on_mart(f"SELECT {kpi_cols} FROM mart")
+    o["kpis_filtered"] = on_mart(f"SELECT {kpi_cols} FROM mart WHERE {facet_where(FACETS)}")
     leg_rows = ", ".join(f"({q(lab)}, {i})" for i, (_, lab) in enumerate(vocab.LEGISLATURES))
     o["by_legislature"] = on_mart(
         f"SELECT dim.legislatura, dim.ordem, coalesce(c.n, 0) AS n FROM (SELECT * FROM (VALUES {leg_rows}) t(legislatura, ordem)) dim "

@@ -16,7 +16,7 @@ from plenaria import vocab
 from plenaria.functions import authors, labels, text
 from plenaria.functions.util import in_list, lookup
 from plenaria.operators import grouping, ranking
-from plenaria.operators.filters import FacetSpec, exclude_institutional, facet_filter, fill_missing
+from plenaria.operators.filters import exclude_institutional, fill_missing
 from plenaria.plans.consolidate import FILL
 from plenaria.plans.ideology import enrich_ideology
 from plenaria.plans.scoring import SCORE_COLUMNS

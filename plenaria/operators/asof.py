@@ -7,12 +7,13 @@ distance ``g`` (two when two waves tie); with none, the score of its nearest
 wave with data, the earlier wave on a distance tie.  The result is the plain
 mean of all contributions, rounded like Python's ``round(x, 2)``.
 
-Spark plan: the rule runs on the *distinct* (party, year) requests only, never
-per row; the wave list is a scalar subquery (one small array, no join); the
-stand-in expansion and the score lookup are equi-joins; per stand-in and per
-request there is one aggregate each, no window.  Joining the scores back to the
-rows is an equi-join on (party, year) that AQE turns into a broadcast when the
-request table is small at run time.
+Spark plan: the rule runs on distinct requests only, never per row, and reads
+them once; the wave list is a scalar subquery (one small array, no join); the
+stand-in expansion (a fixed table) and the score lookup (bounded by waves x
+parties) are equi-joins; per stand-in and per request there is one aggregate
+each, no window.  Joining the scores back to the rows is an equi-join on the
+request keys that AQE turns into a broadcast when the request table is small at
+run time and splits when a key is skewed.
 """
 
 from __future__ import annotations
@@ -36,37 +37,59 @@ def _sql(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def nearest_wave_scores(requests: DataFrame, scores: DataFrame, proxies: DataFrame,
-                        party: str = "partido_bls", year: str = "ano_int") -> DataFrame:
-    """Score every distinct (party, year) of ``requests``.
+def score_requests(requests: DataFrame, scores: DataFrame, proxies: DataFrame,
+                   party: str = "partido_bls", year: str = "ano_int",
+                   keys: list[str] | None = None) -> DataFrame:
+    """Score every row of ``requests`` (one row per distinct ``keys``) in one pass.
 
-    ``scores``: (wave INT, partido STRING, score_lr DOUBLE), non-null scores only.
-    Returns (party, year, score_lr) for every distinct non-null request.
+    ``keys`` identify a request (default: ``party`` and ``year``); finer keys, such as
+    the author text the party was derived from, let a caller score its own
+    distinct pairs directly instead of deriving (party, year) requests and joining
+    back.  Every request row comes out once with ``keys``, ``party`` and
+    ``score_lr`` (null when the party is null, has no stand-ins or no scores), so
+    ``requests`` is read once: stand-ins are exploded with ``explode_outer`` and the
+    scores are left-joined, keeping unscored requests in the same aggregates.
     """
-    req = (requests.select(party, year)
-           .filter(F.col(party).isNotNull() & F.col(year).isNotNull())
-           .distinct())
+    keys = list(keys or [party, year])
+    carried = list(dict.fromkeys(keys + [party, year]))
     waves = scores.select(F.array_sort(F.collect_set("wave"))).scalar()
-    req = (req.withColumn("_waves", waves)
+    req = (requests.select(*carried)
+           .withColumn("_waves", waves)
            .withColumn("_g", F.array_min(F.transform("_waves", lambda w: F.abs(w - F.col(year)))))
            .drop("_waves"))
     # Stand-ins: listed parties use their list; a listed party with no list gets none.
+    valid = F.col(party).isNotNull() & F.col(year).isNotNull()
+    stand_ins = (F.when(~valid, F.lit(None))
+                 .when(F.col("_p").isNull(), F.array(F.col(party)))
+                 .otherwise(F.col("proxies")))
     expanded = (req.join(F.broadcast(proxies.withColumnRenamed("partido", "_p")),
                          F.col(party) == F.col("_p"), "left")
-                .filter(F.col("_p").isNull() | F.col("proxies").isNotNull())
-                .select(party, year, "_g",
-                        F.explode(F.coalesce(F.col("proxies"), F.array(F.col(party)))).alias("_proxy")))
+                .select(*carried, "_g", F.explode_outer(stand_ins).alias("_proxy")))
     s = scores.select(F.col("partido").alias("_proxy"), "wave", "score_lr")
-    cand = (expanded.join(s, "_proxy")
+    cand = (expanded.join(s, "_proxy", "left")
             .withColumn("_dist", F.abs(F.col("wave") - F.col(year)))
             .withColumn("_near", F.col("_dist") == F.col("_g")))
-    per_proxy = (cand.groupBy(party, year, "_proxy")
+    per_proxy = (cand.groupBy(*carried, "_proxy")
                  .agg(F.sum(F.when(F.col("_near"), F.col("score_lr"))).alias("_near_sum"),
                       F.count(F.when(F.col("_near"), F.lit(1))).alias("_near_n"),
                       F.min_by("score_lr", F.struct("_dist", "wave")).alias("_fallback")))
     contrib_sum = F.when(F.col("_near_n") > 0, F.col("_near_sum")).otherwise(F.col("_fallback"))
-    contrib_n = F.when(F.col("_near_n") > 0, F.col("_near_n")).otherwise(F.lit(1))
-    scored = (per_proxy.groupBy(party, year)
-              .agg(F.sum(contrib_sum).alias("_sum"), F.sum(contrib_n).alias("_n"))
-              .select(party, year, round_exact(F.col("_sum") / F.col("_n"), 2).alias("score_lr")))
-    return req.select(party, year).join(scored, [party, year], "left")
+    contrib_n = (F.when(F.col("_near_n") > 0, F.col("_near_n"))
+                 .when(F.col("_fallback").isNotNull(), F.lit(1)).otherwise(F.lit(0)))
+    return (per_proxy.groupBy(*carried)
+            .agg(F.sum(contrib_sum).alias("_sum"), F.sum(contrib_n).alias("_n"))
+            .select(*carried, F.when(F.col("_n") > 0, round_exact(F.col("_sum") / F.col("_n"), 2))
+                    .alias("score_lr")))
+
+
+def nearest_wave_scores(requests: DataFrame, scores: DataFrame, proxies: DataFrame,
+                        party: str = "partido_bls", year: str = "ano_int") -> DataFrame:
+    """Score every distinct (party, year) of ``requests``.
+
+    ``scores``: (wave INT, partido STRING, score_lr DOUBLE), non-null scores only.
+    Returns (party, year, score_lr) for every distinct non-null request.
+    """
+    req = (requests.select(party, year)
+           .filter(F.col(party).isNotNull() & F.col(year).isNotNull())
+           .distinct())
+    return score_requests(req, scores, proxies, party, year).select(party, year, "score_lr")

@@ -10,7 +10,7 @@ from plenaria.functions.authors import party_of_author
 from plenaria.functions.labels import ideology_band
 from plenaria.functions.text import round_half_even, to_int
 from plenaria.functions.util import lookup
-from plenaria.operators.asof import nearest_wave_scores, proxy_table
+from plenaria.operators.asof import proxy_table, score_requests
 from plenaria.operators.grouping import melt
 
 
@@ -41,17 +41,18 @@ def enrich_ideology(df: DataFrame, scores: DataFrame, proxies: DataFrame | None
     """Add partido_bls, score_lr and espectro to every row.
 
     Party extraction and the as-of rule run once per distinct (author text,
-    year) pair, not per row; rows get their result through one equi-join on the
-    pair (AQE broadcasts the pair table when it is small at run time, and splits
-    skewed keys otherwise).
+    year) pair, not per row, in one pass over the pairs (the input is read twice:
+    for the pairs and for the rows); rows get their result through one equi-join
+    on the pair (AQE broadcasts the pair table when it is small at run time, and
+    splits skewed keys otherwise).
     """
     spark = df.sparkSession
     proxies = proxies if proxies is not None else proxy_table(spark)
     pairs = (df.select(author, year).distinct()
              .withColumn("partido_bls", party_of_author(author))
              .withColumn("_ano_int", to_int(year)))
-    scored = nearest_wave_scores(pairs, scores, proxies, party="partido_bls", year="_ano_int")
-    per_pair = (pairs.join(scored, ["partido_bls", "_ano_int"], "left")
+    per_pair = (score_requests(pairs, scores, proxies, party="partido_bls", year="_ano_int",
+                               keys=[author, year])
                 .select(F.col(author).alias("_a"), F.col(year).alias("_y"), "partido_bls", "score_lr"))
     out = (df.join(per_pair, (df[author] == F.col("_a")) & (df[year] == F.col("_y")), "left")
            .drop("_a", "_y"))

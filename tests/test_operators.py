@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from plenaria.operators.asof import nearest_wave_scores, proxy_table
+from plenaria.operators.asof import nearest_wave_scores, proxy_table, score_requests
 from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key, first_success
 from plenaria.operators.grouping import crosstab_margins, share_within
@@ -25,6 +25,25 @@ def test_asof_literals(spark):
                    ("NOVO", 2005): None, ("SDD", 2005): None}
 
 
+def test_score_requests_keyed_keeps_every_request(spark):
+    """Finer keys: each request row comes out once; unscored requests keep a null score."""
+    scores = _scores(spark, [(2000, "PT", 2.0), (2010, "PT", 4.0), (2000, "DEM", 7.0), (2010, "PSL", 9.0)])
+    req = spark.createDataFrame([
+        ("Dep. A (PT)", "2005", "PT", 2005), ("Dep. B (PT)", "2005", "PT", 2005),
+        ("União", "2005", "UNIÃO", 2005), ("sem partido", "2005", None, 2005),
+        ("Dep. C (PT)", None, "PT", None), ("Dep. D (SDD)", "2005", "SDD", 2005),
+        ("Dep. E (NOVO)", "2005", "NOVO", 2005)],
+        "autor string, ano string, partido_bls string, ano_int int")
+    out = score_requests(req, scores, proxy_table(spark), keys=["autor", "ano"])
+    rows = out.collect()
+    assert len(rows) == 7
+    got = {(r["autor"], r["ano"]): (r["partido_bls"], r["score_lr"]) for r in rows}
+    assert got == {("Dep. A (PT)", "2005"): ("PT", 3.0), ("Dep. B (PT)", "2005"): ("PT", 3.0),
+                   ("União", "2005"): ("UNIÃO", 8.0), ("sem partido", "2005"): (None, None),
+                   ("Dep. C (PT)", None): ("PT", None), ("Dep. D (SDD)", "2005"): ("SDD", None),
+                   ("Dep. E (NOVO)", "2005"): ("NOVO", None)}
+
+
 def _procedural(scores, proxies, party, year):
     """Direct restatement of the nearest-wave rule (loops over waves)."""
     stand_ins = proxies.get(party, [party]) if party in proxies else [party]

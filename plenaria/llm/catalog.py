@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from plenaria.llm import chat, decontaminate, mixing, sharding
+from plenaria.llm import chat, decontaminate, jaccard_join, mixing, sharding
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
     "op3_edit_decontamination": decontaminate.op3_edit_decontamination,
     "op6_virtual_slots": sharding.op6_virtual_slots,
     "op9_chat_tokens": chat.op9_chat_tokens,
+    "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }
 
 ORACLE_SQL = {

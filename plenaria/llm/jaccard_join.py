@@ -10,10 +10,11 @@ is indexed again under another hash among its like, and at last by all of its sh
 band's scheme, and the one below if a partner can be that small.
 
 Candidates meet in a window over the entries' hash; every link is verified on the shingles themselves.  Copies of
-a set are one class from the start.  Only components are wanted, so first every class is verified against the leader
-it shares most entries with; then the pairs that share an entry but are still in different components are verified,
-unless the distances to a common leader already rule them out (Jaccard distance is a metric).  Nothing emits
-the pairs inside a group of near copies.
+a set are one class from the start.  Candidates meet under an entry's hash and must pass a bound that never errs: a
+parity sketch of SKETCH bits per set, of which two sets that differ in d shingles differ in d bits at most.  Every
+link is verified on the shingles themselves.  Only components are wanted, so two rounds first verify each class
+against one leader (the one it shares most entries with); then the pairs under an entry that are still in different
+components are verified.  Nothing emits the pairs inside a group of near copies.
 
 Words are maximal runs of other bytes than blank, tab, newline, vertical tab, form feed and return, after A-Z are
 lower-cased.  A class is known by a 64-bit fingerprint of its shingle hashes.
@@ -41,6 +42,7 @@ WORDS = 4
 PERCENT = 85
 BAND_RATIO = 1.4
 SEEDS = 3
+SKETCH = 512    # bits, a multiple of 64
 RARE = 0.01    # share of a band's sets that may need another hash
 
 _SPACE = np.zeros(256, dtype=bool)
@@ -176,28 +178,49 @@ def entries(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles per bit, as longs."""
+    odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+BITS = [f"bits{i}" for i in range(SKETCH // 64)]
+
+
 def signed(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_hash, n_shingles, fp (null for an empty set), entries."""
+    """doc_id, text_hash, n_shingles, fp (null for an empty set), the sketch, entries."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sizes, prints, found = [], [], []
+            sizes, prints, bits, found = [], [], [], []
             with np.errstate(over="ignore"):
                 for text in b["text"]:
                     h = shingle_hashes(text, words)
                     sizes.append(len(h))
                     prints.append(int(mixed(mixed(h).sum(keepdims=True)).view(np.int64)[0]) if len(h) else None)
+                    bits.append(sketch(h))
                     found.append(entries(h, percent).view(np.int64))
+            bits = np.array(bits, dtype=np.int64).reshape(len(b), len(BITS))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"], "n_shingles": sizes,
-                                "fp": pd.array(prints, dtype="Int64"), "entries": found})
+                                "fp": pd.array(prints, dtype="Int64")}
+                               | {c: bits[:, i] for i, c in enumerate(BITS)} | {"entries": found})
+
+    return rows.mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, fp long, "
+                            + ", ".join(f"{c} long" for c in BITS) + ", entries array<long>")
 
-    return rows.mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, fp long, entries array<long>")
+
+def near(x, y, percent: int):
+    """Whether sizes and sketches allow a link; ``x`` and ``y`` give the column of a name.  Never false for a link."""
+    apart = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in BITS[1:]), F.bit_count(x(BITS[0]).bitwiseXOR(y(BITS[0]))))
+    n, m = x("n_shingles"), y("n_shingles")
+    return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+            & (apart * (100 + percent) <= (n + m) * (100 - percent)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """a, b, distance (1 - Jaccard similarity as counted: common and union sizes) for pairs (a, b) of classes."""
+    """a, b and the sizes of intersection and union for pairs (a, b) of classes."""
     left = texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b"))
 
@@ -218,22 +241,33 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
             .mapInPandas(compare, "a long, b long, common long, union long"))
 
 
+def open_rows(shared: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFrame:
+    """entry, fp, part and the sketch for entries whose classes are in more than one component so far."""
+    by_entry = Window.partitionBy("entry")
+    return (shared.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left")
+            .select("entry", "fp", F.coalesce("component", "fp").alias("part"))
+            .withColumn("low", F.min("part").over(by_entry)).withColumn("high", F.max("part").over(by_entry))
+            .where(F.col("low") != F.col("high")).drop("low", "high")
+            .join(sketches, "fp"))
+
+
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id for every row; component_id is the smallest doc_id reachable by links."""
     rows = written(signed(docs, words, percent, id_col, text_col), "jaccard-sets")
     some = rows.where(F.col("fp").isNotNull())
-    classes = some.groupBy("fp").agg(F.min("doc_id").alias("first_id"),
-                                     F.min(F.struct("doc_id", "text_hash")).alias("held"))
+    classes = some.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("held"),
+                                     *(F.min(c).alias(c) for c in ("n_shingles", *BITS)))
+    classes = written(classes, "jaccard-classes")
 
     # entries that more than one class has; `prev` drops the copies of a class
     by_entry = Window.partitionBy("entry")
     shared = written(
         some.select("fp", F.explode("entries").alias("entry"))
         .withColumn("prev", F.lag("fp").over(by_entry.orderBy("fp")))
-        .withColumn("leader", F.min("fp").over(by_entry)).withColumn("last", F.max("fp").over(by_entry))
-        .where((F.col("leader") != F.col("last")) & (F.col("prev").isNull() | (F.col("prev") != F.col("fp"))))
-        .select("entry", "fp", "leader"), "jaccard-shared")
+        .withColumn("first", F.min("fp").over(by_entry)).withColumn("last", F.max("fp").over(by_entry))
+        .where((F.col("first") != F.col("last")) & (F.col("prev").isNull() | (F.col("prev") != F.col("fp"))))
+        .select("entry", "fp"), "jaccard-shared")
     live = shared.select("fp").distinct().join(classes, "fp").select("fp", F.col("held.doc_id").alias("t_id"),
                                                                      F.col("held.text_hash").alias("t_hash"))
     source = docs.select(F.col(id_col).alias("s_id"), F.xxhash64(text_col).alias("s_hash"), F.col(text_col).alias("text"))
@@ -241,30 +275,28 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
                     .select("fp", "text").dropDuplicates(["fp"]), "jaccard-texts")
 
     is_link = 100 * F.col("common") >= percent * F.col("union")
-    # every class against the leader that it shares most entries with
-    stars = (shared.where(F.col("fp") != F.col("leader")).groupBy("fp", "leader").agg(F.count("*").alias("n"))
-             .groupBy(F.col("fp").alias("b")).agg(F.max(F.struct("n", "leader")).alias("m"))
-             .select(F.col("m.leader").alias("a"), "b"))
-    stars = written(verified(stars, texts, words), "jaccard-stars")
-    found = stars.where(is_link).select("a", "b")
-    parts = written(components(found), "jaccard-parts")
+    sketches = classes.select("fp", "n_shingles", *BITS)
+    found, parts = None, sketches.select(F.col("fp").alias("node"), F.col("fp").alias("component"))
+    for _ in range(2):
+        led = (open_rows(shared, parts, sketches)
+               .withColumn("leader", F.min(F.struct("part", "fp", "n_shingles", *BITS)).over(by_entry))
+               .where((F.col("part") != F.col("leader.part"))
+                      & near(F.col, lambda c: F.col(f"leader.{c}"), percent)))
+        stars = (led.groupBy("fp", F.col("leader.fp").alias("leader")).agg(F.count("*").alias("n"))
+                 .groupBy(F.col("fp").alias("b")).agg(F.max(F.struct("n", "leader")).alias("m"))
+                 .select(F.col("m.leader").alias("a"), "b"))
+        links = written(verified(stars, texts, words).where(is_link).select("a", "b"), "jaccard-stars")
+        found = links if found is None else found.unionAll(links)
+        parts = written(components(found), "jaccard-parts")
 
     # what still shares an entry across components
-    placed = (shared.select("entry", "fp").join(parts.withColumnRenamed("node", "fp"), "fp", "left")
-              .join(stars.select(F.col("b").alias("fp"), F.col("a").alias("star"),
-                                 (1 - F.col("common") / F.col("union")).alias("far")), "fp", "left")
-              .select("entry", "fp", F.coalesce("component", "fp").alias("part"),
-                      F.coalesce("star", "fp").alias("star"), F.coalesce("far", F.lit(0.0)).alias("far"))
-              .withColumn("low", F.min("part").over(by_entry)).withColumn("high", F.max("part").over(by_entry))
-              .where(F.col("low") != F.col("high")).drop("low", "high"))
-    placed = written(placed, "jaccard-open")
-    x = placed.select("entry", *(F.col(c).alias(f"x_{c}") for c in ("fp", "part", "star", "far")))
-    y = placed.select("entry", *(F.col(c).alias(f"y_{c}") for c in ("fp", "part", "star", "far")))
-    apart = (F.col("x_star") == F.col("y_star")) & (F.abs(F.col("x_far") - F.col("y_far")) > 1 - percent / 100 + 1e-9)
-    known = F.col("x_star") == F.col("y_fp")   # already verified
-    known = known | (F.col("y_star") == F.col("x_fp"))
-    rest = (x.join(y, "entry").where((F.col("x_part") < F.col("y_part")) & ~apart & ~known)
-            .select(F.least("x_fp", "y_fp").alias("a"), F.greatest("x_fp", "y_fp").alias("b")).distinct())
+    rest = written(open_rows(shared, parts, sketches), "jaccard-open")
+    x, y = (rest.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", *BITS)))
+            for side in "xy")
+    rest = (x.join(y, "entry")
+            .where((F.col("x_part") < F.col("y_part"))
+                   & near(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent))
+            .select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")).distinct())
     more = written(verified(rest, texts, words).where(is_link).select("a", "b"), "jaccard-more")
 
     parts = components(found.unionAll(more))

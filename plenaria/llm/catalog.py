@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from plenaria.llm import chat, decontaminate, jaccard_join, mixing, sharding
+from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, mixing, sharding
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
+    "op2_hyperplane_dedup": embedding_dedup.op2_hyperplane_dedup,
     "op3_edit_decontamination": decontaminate.op3_edit_decontamination,
     "op6_virtual_slots": sharding.op6_virtual_slots,
     "op9_chat_tokens": chat.op9_chat_tokens,

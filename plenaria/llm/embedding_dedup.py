@@ -2,7 +2,7 @@
 
 Each of ``n_tables`` tables hashes a vector to the signs of its products with ``n_bits`` random directions.  Two
 vectors at angle a fall into the same bucket of a table with probability (1 - a / pi) ** n_bits, so a pair at cosine
-0.95 is missed by 64 tables of 16 bits with probability 0.000003 (the number of bits should grow with the
+0.95 is missed by 56 tables of 16 bits with probability 0.00001 (the number of bits should grow with the
 logarithm of the rows, the tables with it).  Within a bucket
 all cosines are computed exactly (double precision, matrix products); a pair that shares several buckets is
 counted in the first one only.  A bucket over ``block_rows`` vectors is split into blocks, and the
@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 from plenaria.llm.common import components, ship, table, written
 
 THRESHOLD = 0.95
-N_TABLES = 64
+N_TABLES = 56
 N_BITS = 16
 BLOCK_ROWS = 1024
-HOT_BUCKETS = 200_000     # hot-bucket counts up to so many rows are broadcast, more are joined by shuffle
+SMALL_GROUP = 48     # groups up to so many rows are compared across the batch, larger ones by matrix products
 SEED = 20_240
 
 _planes: dict = {}
@@ -66,7 +66,7 @@ def stored_as(vectors: DataFrame, vector_col: str) -> str:
 
 
 def signed(vectors: DataFrame, n_tables: int, n_bits: int, id_col: str, vector_col: str) -> DataFrame:
-    """vec_id, vec (as bytes in the input's precision, null if unusable), buckets (unsigned shorts as bytes)."""
+    """vec_id, vec (as bytes in the input's precision, null if unusable), buckets (unsigned shorts, high byte first)."""
     ship(vectors.sparkSession)
     if not 0 < n_bits <= 16:
         raise ValueError("bucket numbers have 16 bits at most")
@@ -80,7 +80,7 @@ def signed(vectors: DataFrame, n_tables: int, n_bits: int, id_col: str, vector_c
             for dim in {len(v) for v in made if v is not None}:
                 at = [i for i, v in enumerate(made) if v is not None and len(v) == dim]
                 for i, s in zip(at, signs(np.stack([made[i] for i in at]), n_tables, n_bits)):
-                    buckets[i] = s.astype("<u2").tobytes()
+                    buckets[i] = s.astype(">u2").tobytes()
             yield pd.DataFrame({"vec_id": b["vec_id"].astype("Int64"),
                                 "vec": [None if v is None else v.astype(stored).tobytes() for v in made], "buckets": buckets})
 
@@ -101,61 +101,66 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def links_of(group: pd.DataFrame, tab: int, bi: int, bj: int, threshold: float, stored: str) -> tuple | None:
-    """Links of one bucket, or one pair of its blocks, that no earlier table has: counts and forest per row."""
-    vec = np.frombuffer(b"".join(group["vec"]), dtype=stored).reshape(len(group), -1).astype(np.float64)
-    buckets = np.frombuffer(b"".join(group["buckets"]), dtype="<u2").reshape(len(group), -1)
+def links_of(rows: pd.DataFrame, starts: np.ndarray, ends: np.ndarray, threshold: float, stored: str) -> tuple:
+    """Links (i, j) by row place within the groups starts..ends that no earlier table has."""
+    vec = np.frombuffer(b"".join(rows["vec"]), dtype=stored).astype(np.float64).reshape(len(rows), -1)
+    buckets = np.frombuffer(b"".join(rows["buckets"]), dtype=">u2").reshape(len(rows), -1)
     unit = vec / np.abs(vec).max(axis=1, keepdims=True)
     unit = unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))
-    block, size = group["block"].to_numpy(), group["size"].to_numpy()
-    left = np.flatnonzero(block == bi)
-    right = np.flatnonzero(block == bj)
-    close = unit[left] @ unit[right].T >= threshold
-    a, b = np.nonzero(close)
-    a, b = left[a], right[b]
-    once = a < b if bi == bj else np.ones(len(a), dtype=bool)
-    once &= ~(buckets[a, :tab] == buckets[b, :tab]).any(axis=1)
-    a, b = a[once], b[once]
-    if not len(a):
-        return None
-    count = np.zeros(len(group), dtype=np.int64)
-    np.add.at(count, a, size[b])
-    np.add.at(count, b, size[a])
-    return count, forest(len(group), a, b)
+    block, bi, bj, tab = (rows[c].to_numpy() for c in ("block", "bi", "bj", "tab"))
+    size = ends - starts
+    found = []
+    end_of = np.repeat(np.where((size <= SMALL_GROUP) & (bi[starts] == bj[starts]), ends, 0), size)
+    left = np.arange(len(rows))
+    for lag in range(1, SMALL_GROUP):
+        left = left[left + lag < end_of[left]]
+        if not len(left):
+            break
+        close = (unit[left] * unit[left + lag]).sum(axis=1) >= threshold
+        found.append((left[close], left[close] + lag))
+    for lo, hi in zip(starts[(size > 1) & (end_of[starts] == 0)], ends[(size > 1) & (end_of[starts] == 0)]):
+        x = lo + np.flatnonzero(block[lo:hi] == bi[lo])
+        y = lo + np.flatnonzero(block[lo:hi] == bj[lo])
+        i, j = np.nonzero(unit[x] @ unit[y].T >= threshold)
+        i, j = x[i], y[j]
+        once = i < j if bi[lo] == bj[lo] else np.ones(len(i), dtype=bool)
+        found.append((i[once], j[once]))
+    i, j = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, dtype=np.int64) for k in (0, 1))
+    earlier = np.arange(buckets.shape[1])[None, :] < tab[i][:, None]
+    once = ~((buckets[i] == buckets[j]) & earlier).any(axis=1)
+    return i[once], j[once]
 
 
 def bucket_links(rows: DataFrame, threshold: float, stored: str) -> DataFrame:
-    """vec_id, n, other: per bucket work and vector the number of links and one linked vector's id."""
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: pd.DataFrame | None = None
+    """rep, n, other: per bucket work and vector the number of links and one linked vector's class."""
+    keys = ["dim", "tab", "bucket", "bi", "bj"]
 
-        def done(groups: pd.DataFrame) -> pd.DataFrame:
-            out = []
-            key = groups[["dim", "tab", "bucket", "bi", "bj"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            for lo, hi in zip([0, *cut], [*cut, len(key)]):
-                if hi - lo > 1:
-                    g = groups.iloc[lo:hi]
-                    found = links_of(g, int(key[lo, 1]), int(key[lo, 3]), int(key[lo, 4]), threshold,
-                                     stored)
-                    if found:
-                        count, root = found
-                        has, ids = np.flatnonzero(count), g["rep"].to_numpy()
-                        out.append(pd.DataFrame({"rep": ids[has], "n": count[has], "other": ids[root[has]]}))
-            return pd.concat(out) if out else pd.DataFrame({"rep": [], "n": [], "other": []}).astype("int64")
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def done(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+            for _, part in rows.groupby("dim"):
+                key = part[keys].to_numpy()
+                cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+                i, j = links_of(part, np.append(0, cut), np.append(cut, len(key)), threshold, stored)
+                if len(i):
+                    size, rep = part["size"].to_numpy(), part["rep"].to_numpy()
+                    count = np.zeros(len(part), dtype=np.int64)
+                    np.add.at(count, i, size[j])
+                    np.add.at(count, j, size[i])
+                    has, root = np.flatnonzero(count), forest(len(part), i, j)
+                    yield pd.DataFrame({"rep": rep[has], "n": count[has], "other": rep[root[has]]})
 
+        kept: pd.DataFrame | None = None
         for b in batches:
             b = b if kept is None else pd.concat([kept, b], ignore_index=True)
-            key = b[["dim", "tab", "bucket", "bi", "bj"]].to_numpy()
+            key = b[keys].to_numpy()
             if not len(key):
                 continue
             same = (key == key[-1]).all(axis=1)
-            last = len(key) - int(np.argmin(same[::-1])) if not same.all() else 0
+            last = 0 if same.all() else len(key) - int(np.argmin(same[::-1]))
             kept = b.iloc[last:]      # the last group may go on in the next batch
-            if last:
-                yield done(b.iloc[:last])
-        if kept is not None and len(kept):
-            yield done(kept)
+            yield from done(b.iloc[:last])
+        if kept is not None:
+            yield from done(kept)
 
     return rows.mapInPandas(work, "rep long, n long, other long")
 
@@ -170,19 +175,22 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, n_tables:
                                               F.min("vec").alias("vec"), F.min("buckets").alias("buckets"))
                       .withColumn("rep", F.xxhash64("key")), "vector-classes")
 
-    spread = (classes.select("rep", "size", "vec", "buckets", F.octet_length("vec").alias("dim"),
+    # where vectors meet is found on narrow rows; the vectors themselves move once, to buckets that two share
+    places = (classes.select("rep", F.octet_length("vec").alias("dim"), "buckets",
                              F.explode(F.sequence(F.lit(0), F.lit(n_tables - 1))).alias("tab"))
-              .withColumn("bucket", F.conv(F.hex(F.reverse(F.expr("substring(buckets, 2 * tab + 1, 2)"))), 16, 10).cast("long")))
-    hot = (spread.groupBy("dim", "tab", "bucket").agg(F.count("*").alias("rows_in"))
-           .where(F.col("rows_in") > 1)
+              .select("rep", "dim", "tab",
+                      F.conv(F.hex(F.expr("substring(buckets, 2 * tab + 1, 2)")), 16, 10).cast("int").alias("bucket")))
+    met = (places.groupBy("dim", "tab", "bucket").agg(F.count("*").alias("rows_in")).where(F.col("rows_in") > 1)
            .select("dim", "tab", "bucket", F.ceil(F.col("rows_in") / block_rows).cast("int").alias("blocks")))
-    hot = written(hot, "vector-buckets")
-    small = hot.count() <= HOT_BUCKETS
-    dealt = (spread.join(F.broadcast(hot) if small else hot, ["dim", "tab", "bucket"])
+    met = (places.join(met, ["dim", "tab", "bucket"]).groupBy("rep")
+           .agg(F.collect_list(F.struct("tab", "bucket", "blocks")).alias("places")))
+    dealt = (classes.select("rep", "size", "vec", "buckets").join(met, "rep")
+             .select("rep", "size", "vec", "buckets", F.octet_length("vec").alias("dim"), F.explode("places").alias("p"))
+             .select("rep", "size", "vec", "buckets", "dim", "p.tab", "p.bucket", "p.blocks")
              .withColumn("block", F.pmod("rep", F.col("blocks")).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("bi", F.least("block", "with")).withColumn("bj", F.greatest("block", "with"))
-             .select("dim", "tab", "bucket", "bi", "bj", "block", "rep", "size", "vec", "buckets")
+             .select("dim", "tab", "bucket", F.least("block", "with").alias("bi"), F.greatest("block", "with").alias("bj"),
+                     "block", "rep", "size", "vec", "buckets")
              .repartition("dim", "tab", "bucket", "bi", "bj")
              .sortWithinPartitions("dim", "tab", "bucket", "bi", "bj", "rep"))
     links = written(bucket_links(dealt, threshold, stored_as(vectors, vector_col)), "vector-links")

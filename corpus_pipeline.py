@@ -1,7 +1,8 @@
 """From documents to sharded training data: language, near-duplicates, decontamination, mixture, shards.
 
 ``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir) and returns a DataFrame, which
-is written as Parquet and reread as the next one's docs.
+is written as Parquet and reread as the next one's docs.  All but the last return the columns of documents, whatever
+they are; the last adds the shard.  Rows are known by id and text, so null and repeated ids are safe.
 """
 
 from __future__ import annotations
@@ -9,17 +10,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenaria.llm import decontaminate, mixing, sharding
+from plenaria.llm import decontaminate, jaccard_join, language, mixing, sharding
 from plenaria.llm.common import drop_rows, table, written
 
+#: Near-duplicates: shingles of five words, Jaccard similarity 0.8 or more.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents go whose language cannot be told."""
+    found = language.identify(language.document_records(docs))
+    return drop_rows(docs, found.where(~F.col("accepted")).withColumnRenamed("id", "doc_id"))
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id stays, once."""
+    groups = jaccard_join.joined(docs, NEAR_WORDS, NEAR_PERCENT)
+    rest = written(groups.where(F.col("n_shingles") > 0), "pipeline-groups")
+    # a component's first row: smallest id, then smallest text hash; documents without words are no one's copies
+    first = rest.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+                                             .alias("first"))
+    first = first.select(F.col("component_id").alias("c"), "first.*").withColumnsRenamed({"doc_id": "f_id", "text_hash": "f_hash"})
+    gone = (rest.join(first, F.col("component_id").eqNullSafe(F.col("c")))
+            .where(~F.col("doc_id").eqNullSafe(F.col("f_id")) | (F.col("text_hash") != F.col("f_hash"))))
+    again = (rest.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).limit(1).count() > 0)
+    kept = drop_rows(docs, gone.select("doc_id", "text_hash"))
+    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return drop_rows(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
 
 
+def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order of the mixture."""
+    return mixing.mixed_order(docs, mixing.SHARES, mixing.OTHER_SHARE)
+
+
+def in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard."""
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    return sharding.assigned(docs, shard_col=name)
+
+
 STAGES = [
+    ("language", in_known_language),
+    ("near-copies", without_near_copies),
     ("decontamination", decontaminated),
+    ("mixture", in_mixture),
+    ("shards", in_shards),
 ]
 
 #: Language models, edit distances and connected components are beyond SQL; the stages have brute-force tests.

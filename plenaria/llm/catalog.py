@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, mixing, sharding
+from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, language, mixing, sharding
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
     "op2_hyperplane_dedup": embedding_dedup.op2_hyperplane_dedup,
     "op3_edit_decontamination": decontaminate.op3_edit_decontamination,
+    "op4_language_id": language.op4_language_id,
+    "language_id_pages": language.language_id_pages,
     "op6_virtual_slots": sharding.op6_virtual_slots,
     "op9_chat_tokens": chat.op9_chat_tokens,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,

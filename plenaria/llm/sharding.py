@@ -115,5 +115,17 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS,
                     F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version"))
 
 
+def assigned(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS,
+             id_col: str = "doc_id", text_col: str = "text", shard_col: str = "shard") -> DataFrame:
+    """The rows as they are, with their shard after all other columns; only the map is joined."""
+    sums = (records(docs, n_slots, id_col, text_col).groupBy("virtual_slot")
+            .agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows")))
+    last = (build_map(docs.sparkSession, sums, n_slots, n_shards).where(F.col("version") == 1)
+            .select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard")))
+    slot = F.pmod(F.xxhash64(docs[id_col], docs[text_col]), F.lit(n_slots)).cast("int")
+    return (docs.join(F.broadcast(last), slot == F.col("__slot"))     # n_slots rows, a parameter
+            .select(*(docs[c] for c in docs.columns), F.col("__shard").alias(shard_col)))
+
+
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))

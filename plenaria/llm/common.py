@@ -49,13 +49,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BROADCAST_ROWS = 500_000     # narrow tables up to so many rows are broadcast, larger ones are joined by shuffle
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, which is a written table of a few numbers per row, with a broadcast hint if its counted rows allow it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def drop_rows(docs: DataFrame, bad: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``bad`` (doc_id, text_hash) does not list; keyed by id and text, null ids included.
 
     Every column of ``docs`` stays as it is, whatever its name.
     """
-    gone = bad.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone_id"))
+    gone = written(bad.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct(), "gone")
+    return docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(F.col("__gone_id"))
                      & (F.xxhash64(docs["text"]) == F.col("__gone_hash")), "left_anti")
 
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import components, ship, table, written
+from plenaria.llm.common import broadcast_if_small, components, ship, table, written
 
 WORDS = 4
 PERCENT = 85
@@ -68,6 +68,7 @@ def _power_table(n: int) -> np.ndarray:
     return _powers
 
 
+@np.errstate(over="ignore")
 def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
     """Distinct 64-bit hashes of the text's word shingles."""
     data = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
@@ -143,6 +144,7 @@ def allocation(low: int, high: int, percent: int) -> tuple[int, int, int]:
     return best[1:]
 
 
+@np.errstate(over="ignore")
 def entries(hashes: np.ndarray, percent: int) -> np.ndarray:
     """The index entries of a set."""
     n = len(hashes)
@@ -178,6 +180,11 @@ def entries(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def fingerprint(hashes: np.ndarray) -> int | None:
+    with np.errstate(over="ignore"):
+        return int(mixed(mixed(hashes).sum(keepdims=True)).view(np.int64)[0]) if len(hashes) else None
+
+
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """Parity of the number of shingles per bit, as longs."""
     odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
@@ -187,28 +194,35 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 BITS = [f"bits{i}" for i in range(SKETCH // 64)]
 
 
-def signed(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_hash, n_shingles, fp (null for an empty set), the sketch, entries."""
+def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, n_shingles, fp (null for an empty set) and the sketch."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            sizes, prints, bits, found = [], [], [], []
-            with np.errstate(over="ignore"):
-                for text in b["text"]:
-                    h = shingle_hashes(text, words)
-                    sizes.append(len(h))
-                    prints.append(int(mixed(mixed(h).sum(keepdims=True)).view(np.int64)[0]) if len(h) else None)
-                    bits.append(sketch(h))
-                    found.append(entries(h, percent).view(np.int64))
-            bits = np.array(bits, dtype=np.int64).reshape(len(b), len(BITS))
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"], "n_shingles": sizes,
-                                "fp": pd.array(prints, dtype="Int64")}
-                               | {c: bits[:, i] for i, c in enumerate(BITS)} | {"entries": found})
+            found = [shingle_hashes(text, words) for text in b["text"]]
+            bits = np.array([sketch(h) for h in found], dtype=np.int64).reshape(len(b), len(BITS))
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"],
+                                "n_shingles": [len(h) for h in found],
+                                "fp": pd.array([fingerprint(h) for h in found], dtype="Int64")}
+                               | {c: bits[:, i] for i, c in enumerate(BITS)})
 
     return rows.mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, fp long, "
-                            + ", ".join(f"{c} long" for c in BITS) + ", entries array<long>")
+                            + ", ".join(f"{c} long" for c in BITS))
+
+
+def indexed(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFrame:
+    """fp, entry: the index entries of every set.  They are hashed from the texts again rather than kept from
+    ``signed``: on disk they would take more room than the texts."""
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [h for h in (shingle_hashes(text, words) for text in b[text_col]) if len(h)]
+            yield pd.DataFrame({"fp": [fingerprint(h) for h in found],
+                                "entries": [entries(h, percent).view(np.int64) for h in found]}).astype({"fp": "int64"})
+
+    return (docs.select(text_col).mapInPandas(index, "fp long, entries array<long>")
+            .select("fp", F.explode("entries").alias("entry")))
 
 
 def near(x, y, percent: int):
@@ -254,7 +268,7 @@ def open_rows(shared: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataF
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id for every row; component_id is the smallest doc_id reachable by links."""
-    rows = written(signed(docs, words, percent, id_col, text_col), "jaccard-sets")
+    rows = written(signed(docs, words, id_col, text_col), "jaccard-sets")
     some = rows.where(F.col("fp").isNotNull())
     classes = some.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("held"),
                                      *(F.min(c).alias(c) for c in ("n_shingles", *BITS)))
@@ -263,15 +277,15 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     # entries that more than one class has; `prev` drops the copies of a class
     by_entry = Window.partitionBy("entry")
     shared = written(
-        some.select("fp", F.explode("entries").alias("entry"))
+        indexed(docs, words, percent, text_col)
         .withColumn("prev", F.lag("fp").over(by_entry.orderBy("fp")))
         .withColumn("first", F.min("fp").over(by_entry)).withColumn("last", F.max("fp").over(by_entry))
         .where((F.col("first") != F.col("last")) & (F.col("prev").isNull() | (F.col("prev") != F.col("fp"))))
         .select("entry", "fp"), "jaccard-shared")
-    live = shared.select("fp").distinct().join(classes, "fp").select("fp", F.col("held.doc_id").alias("t_id"),
-                                                                     F.col("held.text_hash").alias("t_hash"))
+    live = written(shared.select("fp").distinct().join(classes, "fp")
+                   .select("fp", F.col("held.doc_id").alias("t_id"), F.col("held.text_hash").alias("t_hash")), "jaccard-live")
     source = docs.select(F.col(id_col).alias("s_id"), F.xxhash64(text_col).alias("s_hash"), F.col(text_col).alias("text"))
-    texts = written(source.join(live, F.col("s_id").eqNullSafe(F.col("t_id")) & (F.col("s_hash") == F.col("t_hash")))
+    texts = written(source.join(broadcast_if_small(live), F.col("s_id").eqNullSafe(F.col("t_id")) & (F.col("s_hash") == F.col("t_hash")))
                     .select("fp", "text").dropDuplicates(["fp"]), "jaccard-texts")
 
     is_link = 100 * F.col("common") >= percent * F.col("union")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, language, mixing, sharding
+from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, language, mixing, pii, sharding
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_language_id": language.op4_language_id,
     "language_id_pages": language.language_id_pages,
     "op6_virtual_slots": sharding.op6_virtual_slots,
+    "op8_weak_supervision_pii": pii.op8_weak_supervision_pii,
     "op9_chat_tokens": chat.op9_chat_tokens,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
 }

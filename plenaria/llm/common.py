@@ -45,6 +45,13 @@ def ship(spark: SparkSession) -> None:
     context._plenaria_shipped = True
 
 
+def in_slices(batches, rows: int = 500):
+    """The pandas batches in slices, so that what is made of a batch is never held for all of its rows at once."""
+    for b in batches:
+        for lo in range(0, len(b), rows):
+            yield b.iloc[lo:lo + rows]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import broadcast_if_small, components, ship, table, written
+from plenaria.llm.common import broadcast_if_small, components, in_slices, ship, table, written
 
 WORDS = 4
 PERCENT = 85
@@ -200,7 +200,7 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in in_slices(batches):
             found = [shingle_hashes(text, words) for text in b["text"]]
             bits = np.array([sketch(h) for h in found], dtype=np.int64).reshape(len(b), len(BITS))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"],
@@ -216,7 +216,7 @@ def indexed(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFra
     """fp, entry: the index entries of every set.  They are hashed from the texts again rather than kept from
     ``signed``: on disk they would take more room than the texts."""
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in in_slices(batches):
             found = [h for h in (shingle_hashes(text, words) for text in b[text_col]) if len(h)]
             yield pd.DataFrame({"fp": [fingerprint(h) for h in found],
                                 "entries": [entries(h, percent).view(np.int64) for h in found]}).astype({"fp": "int64"})
@@ -240,7 +240,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, of = None, set()
-        for p in batches:
+        for p in in_slices(batches):
             common, union = [], []
             for a, ta, tb in zip(p["a"], p["text_a"], p["text_b"]):
                 if a != last:

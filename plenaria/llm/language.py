@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import ship, table, written
+from plenaria.llm.common import in_slices, ship, table, written
 
 LANGUAGES = ("en", "de", "fr", "es")
 SAMPLE = 300
@@ -89,7 +89,7 @@ def text_evidence(records: DataFrame, model: np.ndarray, languages: tuple = LANG
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table_ = sent.value
-        for b in batches:
+        for b in in_slices(batches):
             rows, known = np.zeros((len(b), len(languages))), np.zeros(len(b), dtype=bool)
             for i, text in enumerate(b["text"]):
                 grams = trigrams(text)

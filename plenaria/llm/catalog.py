@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, language, mixing, pii, sharding
+from plenaria.llm import chat, decontaminate, embedding_dedup, jaccard_join, language, line_templates, mixing, pii, sharding, token_counts
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_edit_decontamination": decontaminate.op3_edit_decontamination,
     "op4_language_id": language.op4_language_id,
     "language_id_pages": language.language_id_pages,
+    "op5_edit_aware_counts": token_counts.op5_edit_aware_counts,
     "op6_virtual_slots": sharding.op6_virtual_slots,
+    "op7_line_templates": line_templates.op7_line_templates,
     "op8_weak_supervision_pii": pii.op8_weak_supervision_pii,
     "op9_chat_tokens": chat.op9_chat_tokens,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,

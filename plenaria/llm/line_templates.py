@@ -18,32 +18,77 @@ empty table gives an empty result; extra columns are ignored; very long lines ar
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import broadcast_if_small, table, written
+from plenaria.llm.common import broadcast_if_small, in_slices, ship, table, written
 
 MIN_DOCS = 10
 LEAD = 3
 SIMILARITY = 0.7
 
 
+_digit = re.compile("[0-9]")
+
+
+def parsed(line: str) -> list[str]:
+    """Tokens of a line, those with digits made variable; empty for a blank line."""
+    tokens = line.split()
+    return ["<*>" if _digit.search(t) else t for t in tokens] if _digit.search(line) else tokens
+
+
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, place, leaf, line, tokens for every line that is not blank."""
-    plain = F.trim(F.regexp_replace("raw", r"(?<!\S)[^\s0-9]*+[0-9]\S*+", "<*>"))
-    return (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                        F.posexplode(F.split(text_col, "\n")).alias("place", "raw"))
-            .select("doc_id", "text_hash", "place", F.split(plain, r"\s+").alias("tokens"))
-            .where(F.array_join("tokens", "") != "")
-            .select("doc_id", "text_hash", "place", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, LEAD)).alias("leaf"),
-                    F.xxhash64("tokens").alias("line"), "tokens"))
+    """doc_id, text_hash, place, leaf, line (hashes) for every line that is not blank."""
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in in_slices(batches):
+            at, places, leaves, found = [], [], [], []
+            for row, text in enumerate(b["text"]):
+                for place, line in enumerate(text.split("\n") if text else ()):
+                    tokens = parsed(line)
+                    if tokens:
+                        at.append(row)
+                        places.append(place)
+                        leaves.append(xxhash.xxh3_64_intdigest(f"{len(tokens)} {' '.join(tokens[:LEAD])}".encode()))
+                        found.append(xxhash.xxh3_64_intdigest(" ".join(tokens).encode()))
+            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").iloc[at].to_numpy() if at else [],
+                                "text_hash": b["text_hash"].iloc[at].to_numpy(), "place": places,
+                                "leaf": np.array(leaves, dtype=np.uint64).view(np.int64),
+                                "line": np.array(found, dtype=np.uint64).view(np.int64)}).astype({"doc_id": "Int64", "place": "int32"})
+
+    return rows.mapInPandas(keys, "doc_id long, text_hash long, place int, leaf long, line long")
+
+
+def tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """leaf, line, docs, tokens of wanted lines, each from the one document that ``wanted`` (doc_id, text_hash,
+    wanted array<struct<place, leaf, line, docs>>) names."""
+    rows = docs.select(F.col(id_col).alias("s_id"), F.xxhash64(text_col).alias("s_hash"), F.col(text_col).alias("text"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in in_slices(batches):
+            found = []
+            for text, places in zip(b["text"], b["wanted"]):
+                raw = text.split("\n")
+                found += [(w["leaf"], w["line"], w["docs"], parsed(raw[w["place"]])) for w in places]
+            yield pd.DataFrame(found, columns=["leaf", "line", "docs", "tokens"])
+
+    joined = rows.join(wanted, F.col("s_id").eqNullSafe(F.col("doc_id")) & (F.col("s_hash") == F.col("text_hash")))
+    return (joined.select("text", "wanted").mapInPandas(read, "leaf long, line long, docs long, tokens array<string>")
+            .dropDuplicates(["line"]))
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, places: the lines to drop, by row."""
-    parsed = lines(docs, id_col, text_col)
-    keys = written(parsed.drop("tokens"), "line-keys")
+    keys = written(lines(docs, id_col, text_col), "line-keys")
     once = keys.select("leaf", "line", "text_hash").distinct()
     counted = written(once.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "line-counts")
     often = counted.where(F.col("docs") >= min_docs).select("line")
@@ -52,11 +97,10 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIM
     rare = counted.where(F.col("docs") < min_docs)
     leaves = (rare.groupBy("leaf").agg(F.sum("docs").alias("n"), F.count("*").alias("lines"))
               .where((F.col("n") >= min_docs) & (F.col("lines") > 1)).select("leaf"))
-    rare = written(rare.join(leaves, "leaf", "left_semi"), "line-rare")
-    wanted = broadcast_if_small(rare.select(F.col("line").alias("w_line"), "docs"))
-    tokens = (parsed.join(wanted, F.col("line") == F.col("w_line")).select("leaf", "line", "docs", "tokens")
-              .dropDuplicates(["line"]))
-    tokens = written(tokens, "line-tokens")
+    rare = rare.join(leaves, "leaf", "left_semi").select("line", "docs")
+    wanted = (keys.join(rare, "line").groupBy("line", "leaf", "docs").agg(F.min(F.struct("doc_id", "text_hash", "place")).alias("at"))
+              .groupBy("at.doc_id", "at.text_hash").agg(F.collect_list(F.struct("at.place", "leaf", "line", "docs")).alias("wanted")))
+    tokens = written(tokens_of(docs, written(wanted, "line-wanted"), id_col, text_col), "line-tokens")
     placed = tokens.select("leaf", "line", "docs", F.posexplode("tokens").alias("pos", "token"))
     constant = (placed.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("n")).where(F.col("n") >= min_docs)
                 .where(F.col("token") != "<*>").select("leaf", "pos", "token", F.lit(True).alias("fixed")))

@@ -218,8 +218,9 @@ def indexed(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFra
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in in_slices(batches):
             found = [h for h in (shingle_hashes(text, words) for text in b[text_col]) if len(h)]
-            yield pd.DataFrame({"fp": [fingerprint(h) for h in found],
-                                "entries": [entries(h, percent).view(np.int64) for h in found]}).astype({"fp": "int64"})
+            if found:
+                yield pd.DataFrame({"fp": [fingerprint(h) for h in found],
+                                    "entries": [entries(h, percent).view(np.int64) for h in found]})
 
     return (docs.select(text_col).mapInPandas(index, "fp long, entries array<long>")
             .select("fp", F.explode("entries").alias("entry")))

@@ -57,6 +57,7 @@ AGAINST = "order|invoice|version|isbn|issn|part no|serial|build|release|password
 
 VOTERS = ("check", "gazetteer", "context", "border", "shape")
 ROUNDS = 25
+RARE = 2.0      # candidates' worth of the kind's prior in every feature's odds
 SPAN = "struct<kind:string,start:int,end:int,base:boolean,check:int,gazetteer:int,context:int,border:int,shape:int,features:array<string>>"
 
 
@@ -206,8 +207,9 @@ def train(found: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     for r in sums:
         kind = r["f"].split(":")[0]
         if kind in of_kind:
-            y, n = of_kind[kind]
-            weights[r["f"]] = math.log((r["yes"] + 0.5) / (y + 1)) - math.log((r["no"] + 0.5) / (n + 1))
+            # the odds given the feature, drawn to the kind's own odds where the feature is rare
+            share = 1 / (1 + math.exp(-prior[kind]))
+            weights[r["f"]] = math.log((r["yes"] + RARE * share) / (r["no"] + RARE * (1 - share))) - prior[kind]
     return weights, prior
 
 

@@ -45,7 +45,7 @@ def even_map(n_slots: int, n_shards: int) -> list[int]:
 
 def rebalanced(shard_of: list[int], slot_bytes: list[int], n_shards: int) -> list[int]:
     """The edited map: while it narrows the gap, the slot nearest to half the gap moves from the heaviest to the
-    lightest shard.  Slots that need not move stay where they are."""
+    lightest shard; a shard that no move helps is left as it is.  Slots that need not move stay where they are."""
     shard_of = list(shard_of)
     load = [0] * n_shards
     held: list[list[tuple[int, int]]] = [[] for _ in range(n_shards)]
@@ -59,17 +59,18 @@ def rebalanced(shard_of: list[int], slot_bytes: list[int], n_shards: int) -> lis
     heapq.heapify(light)
 
     def top(heap: list, sign: int) -> int:
-        while sign * heap[0][0] != load[heap[0][1]]:
+        while heap and sign * heap[0][0] != load[heap[0][1]]:
             heapq.heappop(heap)
-        return heap[0][1]
+        return heap[0][1] if heap else -1
 
-    while n_shards > 1:
-        high, low = top(heavy, -1), top(light, 1)
+    while (high := top(heavy, -1)) >= 0:
+        low = top(light, 1)
         gap = load[high] - load[low]
         at = bisect_left(held[high], (gap / 2, -1))
         near = [x for x in held[high][max(0, at - 1):at + 1] if x[0] < gap]
         if not near:
-            break
+            heapq.heappop(heavy)
+            continue
         moved = min(near, key=lambda x: abs(x[0] - gap / 2))
         held[high].remove(moved)
         insort(held[low], moved)

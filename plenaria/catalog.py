@@ -314,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "facet_filter": q_facet_filter,
     "facet_people": q_facet_people,
     "kpis": _view(mart.kpis),
+    "kpis_empty": lambda spark, d: mart.kpis(mart_table(spark, d).filter(F.col("origem") == "nenhuma")),
     "kpis_filtered": lambda spark, d: mart.kpis(facet_filter(mart_table(spark, d), FACETS)),
     "by_legislature": _view(mart.by_legislature),
     "by_year_house": _view(mart.by_year_house),

@@ -9,6 +9,10 @@ from plenaria import vocab
 from plenaria.functions.util import col, let
 
 
+#: A whole number text; the cast alone would also take a type suffix ("7.3d").
+NUMBER_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def quantise_score(x, step: float = vocab.SCORE_STEP,
                    lo: float = vocab.SCORE_MIN, hi: float = vocab.SCORE_MAX) -> Column:
     """Round to a multiple of ``step`` (half to even), clamp to [lo, hi]; NaN/inf -> null."""
@@ -28,10 +32,16 @@ def response_fields(raw, cutoff: float = vocab.SCORE_CUTOFF) -> Column:
     # One parse: the top-level object as a map (null when not a JSON object;
     # a JSON null value stays a null entry; on a repeated key the last one wins).
     def fields(obj: Column) -> Column:
-        value = F.when(F.map_contains_key(obj, "nota"), obj["nota"].try_cast("double")).otherwise(F.lit(0.0))
+        said = F.trim(obj["nota"])
+        number = (F.when(said == "true", F.lit(1.0)).when(said == "false", F.lit(0.0))
+                  .when(said.rlike(NUMBER_TEXT), said.try_cast("double")))
+        value = F.when(F.map_contains_key(obj, "nota"), number).otherwise(F.lit(0.0))
         return let(F.when(obj.isNotNull(), quantise_score(value)), lambda nota: _result(obj, nota, cutoff))
 
-    return let(F.from_json(col(raw), "map<string,string>"), fields)
+    # Wrapped in brackets, text after the object or a second object makes the array malformed or longer than one.
+    wrapped = F.from_json(F.concat(F.lit("["), col(raw), F.lit("]")), "array<map<string,string>>",
+                          {"allowSingleQuotes": "false"})
+    return let(let(wrapped, lambda a: F.when(F.size(a) == 1, F.get(a, 0))), fields)
 
 
 def _result(obj: Column, nota: Column, cutoff: float) -> Column:
@@ -44,31 +54,39 @@ def _result(obj: Column, nota: Column, cutoff: float) -> Column:
                     decision.alias("llm_decisao"), text("justificativa").alias("llm_justificativa"))
 
 
-def as_array(json_text: Column, element_ddl: str) -> Column:
-    """Object-or-array JSON text -> array of ``element_ddl`` (an object becomes one element)."""
-    return F.from_json(json_text, f"array<{element_ddl}>")
+def as_texts(json_text: Column) -> Column:
+    """Object-or-array JSON text -> array of its elements' JSON texts (an object becomes one element)."""
+    wrapped = F.when(json_text.startswith("["), json_text).otherwise(F.concat(F.lit("["), json_text, F.lit("]")))
+    return F.from_json(wrapped, "array<string>")
 
 
-def last_present(arr: Column, field: str) -> Column:
-    """Last non-null value of ``field`` over an array of structs."""
-    return F.get(F.reverse(F.filter(F.transform(arr, lambda x: x[field]), lambda v: v.isNotNull())), 0)
+def last_present(values: Column) -> Column:
+    """Last non-null value of an array."""
+    return F.get(F.reverse(F.filter(values, lambda v: v.isNotNull())), 0)
 
 
 def status_fields(raw, materia: str = "m", autuacao: str = "a", situacao: str = "s",
                   desc: str = "d", date: str = "t") -> Column:
     """Nested status JSON -> struct(situacao, data_situacao).
 
-    Each level may be a bare object or an array; the first record of the top level is
-    used, all records below it are scanned, and each field keeps its last non-missing
+    Each level is a path of keys ("SituacaoAtual.Autuacoes.Autuacao") to a bare object or an array; the first record
+    of the top level is used, all records below it are scanned, and each field keeps its last non-missing
     value on its own.  Anything missing or malformed gives ''.
     """
-    top = as_array(F.get_json_object(col(raw), f"$.{materia}"), f"struct<{autuacao}:string>")
-    second = as_array(F.get(top, 0)[autuacao], f"struct<{situacao}:string>")
+    none = F.array().cast("array<string>")
+    top = F.get(as_texts(F.get_json_object(col(raw), f"$.{materia}")), 0)
+    second = as_texts(F.get_json_object(top, f"$.{autuacao}"))
     leaves = F.flatten(F.transform(
-        second, lambda x: F.coalesce(as_array(x[situacao], f"struct<{desc}:string,{date}:string>"),
-                                     F.array().cast(f"array<struct<{desc}:string,{date}:string>>"))))
-    return F.struct(F.coalesce(last_present(leaves, desc), F.lit("")).alias("situacao"),
-                    F.coalesce(last_present(leaves, date), F.lit("")).alias("data_situacao"))
+        second, lambda x: F.coalesce(as_texts(F.get_json_object(x, f"$.{situacao}")), none)))
+
+    def fields(found: Column) -> Column:
+        def last(path: str) -> Column:
+            values = F.transform(found, lambda y: F.get_json_object(y, f"$.{path}"))
+            return F.coalesce(last_present(values), F.lit(""))
+
+        return F.struct(last(desc).alias("situacao"), last(date).alias("data_situacao"))
+
+    return let(leaves, fields)
 
 
 def field_or(c: Column, default: str = "") -> Column:

@@ -62,7 +62,7 @@ def score_requests(requests: DataFrame, scores: DataFrame, proxies: DataFrame,
     stand_ins = (F.when(~valid, F.lit(None))
                  .when(F.col("_p").isNull(), F.array(F.col(party)))
                  .otherwise(F.col("proxies")))
-    expanded = (req.join(F.broadcast(proxies.withColumnRenamed("partido", "_p")),
+    expanded = (req.join(proxies.withColumnRenamed("partido", "_p"),
                          F.col(party) == F.col("_p"), "left")
                 .select(*carried, "_g", F.explode_outer(stand_ins).alias("_proxy")))
     s = scores.select(F.col("partido").alias("_proxy"), "wave", "score_lr")

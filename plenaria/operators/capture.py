@@ -36,5 +36,5 @@ def two_route_capture(listing: DataFrame, details: DataFrame, terms,
                 .withColumn("termo_busca", F.coalesce(F.col("_t1"), t2))
                 .withColumn("rota", F.when(F.col("_t1").isNotNull(), F.lit(1)).otherwise(F.lit(2)))
                 .filter(F.col("termo_busca").isNotNull())
-                .drop("_t1", detail_text, summary))
+                .drop("_t1", detail_text))
     return first_per_key(captured, [key], ["rota"])

@@ -35,17 +35,15 @@ def zero_fill(domain: DataFrame, counts: DataFrame, key: str, n: str = "n") -> D
             .withColumn(n, F.coalesce(F.col(n), F.lit(0)).cast("bigint")))
 
 
-def crosstab_margins(df: DataFrame, row: str, column: str, values: list[str],
-                     total: str = vocab.TOTAL) -> DataFrame:
-    """Counts of ``row`` x ``column`` with row and column totals (a 'Total' row and column).
+def crosstab_margins(df: DataFrame, row: str, column: str, total: str = vocab.TOTAL) -> DataFrame:
+    """Counts of ``row`` x ``column`` in long form, (row, column, n), with 'Total' rows for both margins.
 
-    One rollup pass with conditional counts per known column value (explicit
-    pivot values: no extra job to discover them).
+    One cube over the values present; rows with a null on either side are left out, as in a pivoted cross-tab.
     """
-    cells = [F.count(F.when(F.col(column) == v, F.lit(1))).alias(v) for v in values]
-    agg = df.rollup(row).agg(*cells, F.count(F.lit(1)).alias(total), F.grouping(row).alias("_g"))
-    return (agg.withColumn(row, F.when(F.col("_g") == 1, F.lit(total)).otherwise(F.col(row)))
-            .drop("_g"))
+    agg = (df.dropna(subset=[row, column]).cube(row, column)
+           .agg(F.count(F.lit(1)).alias("n"), F.grouping(row).alias("_r"), F.grouping(column).alias("_c")))
+    return agg.select(F.when(F.col("_r") == 1, F.lit(total)).otherwise(F.col(row)).alias(row),
+                      F.when(F.col("_c") == 1, F.lit(total)).otherwise(F.col(column)).alias(column), "n")
 
 
 def mean_with_total(df: DataFrame, by: str, sub: str, value: str, total_label: str = vocab.TOTAL,

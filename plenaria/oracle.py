@@ -359,8 +359,8 @@ def build() -> dict[str, str]:
     o["consolidate"] = sql(consolidated_ctes(), "SELECT * FROM cons")
     o["crosstab_margins"] = sql(consolidated_ctes(), (
         "SELECT CASE WHEN grouping(tipo) = 1 THEN 'Total' ELSE tipo END AS tipo, "
-        "count(*) FILTER (WHERE origem = 'CD') AS \"CD\", count(*) FILTER (WHERE origem = 'CN') AS \"CN\", "
-        "count(*) FILTER (WHERE origem = 'SF') AS \"SF\", count(*) AS \"Total\" FROM cons GROUP BY ROLLUP (tipo)"))
+        "CASE WHEN grouping(origem) = 1 THEN 'Total' ELSE origem END AS origem, count(*) AS n "
+        "FROM cons WHERE tipo IS NOT NULL AND origem IS NOT NULL GROUP BY CUBE (tipo, origem)"))
     eligible_status = "(cons.origem = 'CD' OR (cons.origem IN ('SF', 'CN') AND cons.id_processo IS NOT NULL AND cons.id_processo NOT IN ('', '—')))"
     o["status_enrich"] = sql(consolidated_ctes() + [
         "ssrc AS (SELECT id_interno, situacao FROM (SELECT id_interno, situacao, row_number() OVER (PARTITION BY id_interno "
@@ -489,7 +489,7 @@ def build() -> dict[str, str]:
                              "FROM mart GROUP BY ALL")
 
     def pct(cond):
-        return f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE {cond}) / count(*), 4)"
+        return f"round(CAST(100 AS DOUBLE) * count(*) FILTER (WHERE {cond}) / nullif(count(*), 0), 4)"
 
     n_parl = "count(DISTINCT CASE WHEN e_parlamentar THEN parlamentar END)"
     kpi_cols = (
@@ -500,16 +500,17 @@ def build() -> dict[str, str]:
         f"AS por_parlamentar, {pct('tipo = ' + q('SUG') + ' OR coalesce(contains(tipo_autor, ' + q('Popular') + '), false)')} "
         f"AS pct_popular, {pct('tipo = ' + q('MPV'))} AS pct_mpv")
     o["kpis"] = on_mart(f"SELECT {kpi_cols} FROM mart")
+    o["kpis_empty"] = on_mart(f"SELECT {kpi_cols} FROM mart WHERE origem = 'nenhuma'")
     o["kpis_filtered"] = on_mart(f"SELECT {kpi_cols} FROM mart WHERE {facet_where(FACETS)}")
     leg_rows = ", ".join(f"({q(lab)}, {i})" for i, (_, lab) in enumerate(vocab.LEGISLATURES))
     o["by_legislature"] = on_mart(
         f"SELECT dim.legislatura, dim.ordem, coalesce(c.n, 0) AS n FROM (SELECT * FROM (VALUES {leg_rows}) t(legislatura, ordem)) dim "
         "LEFT JOIN (SELECT legislatura, count(*) AS n FROM mart GROUP BY 1) c USING (legislatura)")
-    o["by_year_house"] = on_mart("SELECT ano_int, origem, count(*) AS n FROM mart GROUP BY ALL")
+    o["by_year_house"] = on_mart("SELECT ano_int, origem, count(*) AS n FROM mart WHERE ano_int IS NOT NULL AND origem IS NOT NULL GROUP BY ALL")
     o["type_mix"] = on_mart(
         "SELECT legislatura, tp, n, round(CAST(100 AS DOUBLE) * n / sum(n) OVER (PARTITION BY legislatura), 4) AS pct FROM "
-        "(SELECT legislatura, CASE WHEN tipo IN (SELECT tipo FROM mart GROUP BY tipo ORDER BY count(*) DESC, tipo LIMIT 5) "
-        "THEN tipo ELSE 'Outros' END AS tp, count(*) AS n FROM mart GROUP BY ALL)")
+        "(SELECT legislatura, CASE WHEN tipo IN (SELECT tipo FROM mart WHERE tipo IS NOT NULL AND legislatura IS NOT NULL GROUP BY tipo ORDER BY count(*) DESC, tipo LIMIT 5) "
+        "THEN tipo ELSE 'Outros' END AS tp, count(*) AS n FROM mart WHERE tipo IS NOT NULL AND legislatura IS NOT NULL GROUP BY ALL)")
     o["party_author_tree"] = sql(mart_ctes() + [
         f"pc AS (SELECT {party(first_tok('tipo_autor'), True)} AS partido, parlamentar, count(*) AS n FROM mart "
         "WHERE e_parlamentar GROUP BY ALL)",
@@ -528,19 +529,21 @@ def build() -> dict[str, str]:
                               "GROUP BY uf ORDER BY n DESC, uf LIMIT 15")
     o["term_mix"] = on_mart(
         f"SELECT legislatura, {title('termo_busca')} AS termo_busca, n, round(CAST(100 AS DOUBLE) * n / sum(n) OVER "
-        "(PARTITION BY legislatura), 4) AS pct FROM (SELECT legislatura, termo_busca, count(*) AS n FROM mart GROUP BY ALL)")
+        "(PARTITION BY legislatura), 4) AS pct FROM (SELECT legislatura, termo_busca, count(*) AS n FROM mart WHERE legislatura IS NOT NULL AND termo_busca IS NOT NULL GROUP BY ALL)")
     o["top_authors"] = on_mart(
         f"SELECT {person('k', False)} AS parlamentar, n FROM (SELECT {strip('upper(parlamentar)')} AS k, count(*) AS n "
-        "FROM mart WHERE e_parlamentar GROUP BY 1 ORDER BY n DESC, k LIMIT 15)")
-    term_cols = ", ".join(f"count(*) FILTER (WHERE termo_busca = {q(t)}) AS \"{t}\"" for t in vocab.SEARCH_TERMS)
+        "FROM mart WHERE e_parlamentar AND parlamentar IS NOT NULL GROUP BY 1 ORDER BY n DESC, k LIMIT 15)")
     o["party_term_matrix"] = sql(mart_ctes() + [
-        "dm AS (SELECT * FROM mart WHERE e_parlamentar)",
+        "dm AS (SELECT * FROM mart WHERE e_parlamentar AND termo_busca IS NOT NULL)",
         f"tk AS (SELECT {strip('t0')} AS t FROM (SELECT unnest(string_split(tipo_autor, ';')) AS t0 FROM dm))",
         f"topt AS (SELECT t FROM (SELECT t, count(*) AS n FROM tk GROUP BY t ORDER BY n DESC, t LIMIT 12) "
         f"WHERE t NOT IN {lst(vocab.INSTITUTIONAL)})",
         f"d9 AS (SELECT {first_tok('tipo_autor')} AS p_plot, termo_busca FROM dm)",
-    ], (f"SELECT p_plot, {term_cols}, count(*) FILTER (WHERE termo_busca IN {lst(vocab.SEARCH_TERMS)}) AS row_total "
-        "FROM d9 WHERE p_plot IN (SELECT t FROM topt) GROUP BY p_plot"))
+        "kept AS (SELECT p_plot, termo_busca, count(*) AS n FROM d9 WHERE p_plot IN (SELECT t FROM topt) GROUP BY ALL)",
+        "pp AS (SELECT p_plot, CAST(sum(n) AS BIGINT) AS row_total FROM kept GROUP BY ALL)",
+        "tt AS (SELECT termo_busca, CAST(sum(n) AS BIGINT) AS col_total FROM kept GROUP BY ALL)",
+    ], ("SELECT p_plot, termo_busca, coalesce(n, 0) AS n, row_total, col_total "
+        "FROM pp CROSS JOIN tt LEFT JOIN kept USING (p_plot, termo_busca)"))
     o["party_type_flow"] = sql(mart_ctes() + [
         f"dm AS (SELECT *, {first_tok('tipo_autor')} AS p_sk FROM mart WHERE e_parlamentar)",
         f"tp AS (SELECT p_sk, n FROM (SELECT p_sk, count(*) AS n FROM dm GROUP BY p_sk ORDER BY n DESC, p_sk LIMIT 8) "

@@ -63,7 +63,7 @@ def to_display(stage1: DataFrame) -> DataFrame:
     return stage1.withColumnsRenamed({k: v for k, v in DISPLAY_NAMES.items() if k in stage1.columns})
 
 
-def house_crosstab(stage1: DataFrame, houses=("CD", "CN", "SF")) -> DataFrame:
-    """Type x house counts with margins (stage-1 summary)."""
+def house_crosstab(stage1: DataFrame) -> DataFrame:
+    """Type x house counts with margins over the houses present (stage-1 summary)."""
     from plenaria.operators.grouping import crosstab_margins
-    return crosstab_margins(stage1, "tipo", "origem", list(houses))
+    return crosstab_margins(stage1, "tipo", "origem")

@@ -54,6 +54,6 @@ def enrich_ideology(df: DataFrame, scores: DataFrame, proxies: DataFrame | None
     per_pair = (score_requests(pairs, scores, proxies, party="partido_bls", year="_ano_int",
                                keys=[author, year])
                 .select(F.col(author).alias("_a"), F.col(year).alias("_y"), "partido_bls", "score_lr"))
-    out = (df.join(per_pair, (df[author] == F.col("_a")) & (df[year] == F.col("_y")), "left")
+    out = (df.join(per_pair, df[author].eqNullSafe(F.col("_a")) & df[year].eqNullSafe(F.col("_y")), "left")
            .drop("_a", "_y"))
     return out.withColumn("espectro", ideology_band("score_lr"))

@@ -50,7 +50,8 @@ def mart_base(scored: DataFrame) -> DataFrame:
 
 
 def _pct(cond) -> F.Column:
-    return F.round(F.lit(100.0) * F.count_if(cond) / F.count(F.lit(1)), ROUND)
+    """Share of the rows in percent; null over no rows, which the display shows as its placeholder."""
+    return F.round(F.try_divide(F.lit(100.0) * F.count_if(cond), F.count(F.lit(1))), ROUND)
 
 
 def kpis(d: DataFrame) -> DataFrame:
@@ -86,7 +87,7 @@ def by_legislature(d: DataFrame) -> DataFrame:
 
 def by_year_house(d: DataFrame) -> DataFrame:
     """D2."""
-    return d.groupBy("ano_int", "origem").agg(F.count(F.lit(1)).alias("n"))
+    return d.dropna(subset=["ano_int", "origem"]).groupBy("ano_int", "origem").agg(F.count(F.lit(1)).alias("n"))
 
 
 def type_mix(d: DataFrame, k: int = 5) -> DataFrame:
@@ -94,7 +95,7 @@ def type_mix(d: DataFrame, k: int = 5) -> DataFrame:
 
     One aggregate over the base; the top-k and the relabelling run on it.
     """
-    cells = d.groupBy("legislatura", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    cells = d.dropna(subset=["legislatura", "tipo"]).groupBy("legislatura", "tipo").agg(F.count(F.lit(1)).alias("n"))
     top = (cells.groupBy("tipo").agg(F.sum("n").alias("_t"))
            .orderBy(F.desc("_t"), F.asc("tipo")).limit(k).select(F.col("tipo").alias("_top")))
     tp = F.when(F.col("_top").isNotNull(), F.col("tipo")).otherwise(F.lit(vocab.OTHERS))
@@ -114,7 +115,7 @@ def members(d: DataFrame) -> DataFrame:
 
 def party_author_tree(d: DataFrame, n_groups: int = 10, n_items: int = 10) -> DataFrame:
     """Party -> author counts, top-N with a remainder on both levels."""
-    raw = (members(d).groupBy(text.first_token("tipo_autor").alias("_tok"), "parlamentar")
+    raw = (members(d).dropna(subset=["parlamentar"]).groupBy(text.first_token("tipo_autor").alias("_tok"), "parlamentar")
            .agg(F.count(F.lit(1)).alias("n")))
     counts = (raw.withColumn("partido", authors.normalise_party("_tok", dashboard=True))
               .filter(F.col("partido").isNotNull())
@@ -136,14 +137,14 @@ def top_states(d: DataFrame, k: int = 15) -> DataFrame:
 
 def term_mix(d: DataFrame) -> DataFrame:
     """Search-term share per legislature, terms title-cased."""
-    counts = d.groupBy("legislatura", "termo_busca").agg(F.count(F.lit(1)).alias("n"))
+    counts = d.dropna(subset=["legislatura", "termo_busca"]).groupBy("legislatura", "termo_busca").agg(F.count(F.lit(1)).alias("n"))
     return (grouping.share_within(counts, ["legislatura"])
             .withColumn("termo_busca", text.title_term("termo_busca")))
 
 
 def top_authors(d: DataFrame, k: int = 15) -> DataFrame:
     """Most frequent authors (upper-cased, stripped), display-normalised."""
-    per_name = members(d).groupBy("parlamentar").agg(F.count(F.lit(1)).alias("n"))
+    per_name = members(d).dropna(subset=["parlamentar"]).groupBy("parlamentar").agg(F.count(F.lit(1)).alias("n"))
     keyed = (per_name.groupBy(text.strip_ws(F.upper(F.col("parlamentar"))).alias("_k"))
              .agg(F.sum("n").cast("bigint").alias("n")))
     top = keyed.orderBy(F.desc("n"), F.asc("_k")).limit(k)
@@ -155,23 +156,28 @@ def _author_cells(d: DataFrame, other: str) -> DataFrame:
     return members(d).groupBy("tipo_autor", other).agg(F.count(F.lit(1)).alias("n"))
 
 
-def party_term_matrix(d: DataFrame, k: int = 12, terms=vocab.SEARCH_TERMS) -> DataFrame:
+def party_term_matrix(d: DataFrame, k: int = 12) -> DataFrame:
     """First author token x search term counts for the top-k tokens (institutions removed after the cut).
 
-    Token ranking counts every token of the author text; rows go to their first
-    token.  Both come from one aggregate over the base.
+    Long form over the terms present, zero-filled: (p_plot, termo_busca, n, row_total, col_total).  Token ranking
+    counts every token of the author text; rows go to their first token.  Both come from one aggregate over the base.
     """
-    cells = _author_cells(d, "termo_busca")
+    cells = _author_cells(d, "termo_busca").dropna(subset=["termo_busca"])
     tok = (cells.select(F.explode(text.tokens("tipo_autor")).alias("_tok"), "n")
            .groupBy("_tok").agg(F.sum("n").alias("_t")))
     top = exclude_institutional(tok.orderBy(F.desc("_t"), F.asc("_tok")).limit(k), "_tok").select("_tok")
-    rows = (cells.withColumn("p_plot", text.first_token("tipo_autor"))
-            .join(F.broadcast(top), F.col("p_plot") == F.col("_tok"), "left_semi"))
-    sums = [F.sum(F.when(F.col("termo_busca") == t, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias(t)
-            for t in terms]
-    wide = rows.groupBy("p_plot").agg(*sums)
-    total = sum((F.col(f"`{t}`") for t in terms[1:]), F.col(f"`{terms[0]}`"))
-    return wide.withColumn("row_total", total)
+    counts = (cells.withColumn("p_plot", text.first_token("tipo_autor"))
+              .join(F.broadcast(top), F.col("p_plot") == F.col("_tok"), "left_semi")
+              .groupBy("p_plot", "termo_busca").agg(F.sum("n").cast("bigint").alias("n")))
+    # one row per term: its kept parties (at most k) and, from the same aggregate, all kept parties' totals
+    by_term = counts.groupBy("termo_busca").agg(F.sum("n").cast("bigint").alias("col_total"),
+                                                F.map_from_entries(F.collect_list(F.struct("p_plot", "n"))).alias("_n"))
+    by_party = counts.groupBy("p_plot").agg(F.sum("n").cast("bigint").alias("row_total"))
+    parties = by_party.agg(F.collect_list(F.struct("p_plot", "row_total"))).scalar()     # at most k
+    return (by_term.select("termo_busca", "col_total", "_n", F.explode(parties).alias("_p"))
+            .select("_p.p_plot", "termo_busca",
+                    F.coalesce(F.col("_n")[F.col("_p.p_plot")], F.lit(0)).cast("bigint").alias("n"),
+                    "_p.row_total", "col_total"))
 
 
 def party_type_flow(d: DataFrame, k_parties: int = 8, k_types: int = 6) -> DataFrame:

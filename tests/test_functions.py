@@ -140,3 +140,20 @@ def test_round_exact_matches_python(one_col):
                                                                for _ in range(300)]
     got = one_col(lambda c: text.round_exact(c, 2), vals, "double")
     assert got == [round(v, 2) for v in vals]
+
+
+def test_response_parsing_is_strict(spark):
+    raws = ["{'nota': 7}", '{"nota": 7} lixo', '{"nota":8}{"nota":2}', '{"nota":"7.3d"}', '{"nota":"8f"}', '{"nota": true}',
+            '{"nota":"7.5"}', '[{"nota":7}]', '{"nota":8}', None, '{"nota":8},{"nota":2}']
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    got = [r[0] for r in df.select(response_fields("raw")["llm_nota"]).collect()]
+    assert [x is not None for x in got] == [False, False, False, False, False, True, True, False, True, False, False]
+
+
+def test_status_on_nested_paths(spark):
+    raw = ('{"SituacaoAtualMateria":{"Materias":{"Materia":[{"SituacaoAtual":{"Autuacoes":{"Autuacao":{"Situacoes":{"Situacao":'
+           '[{"DescricaoSituacao":"A","DataSituacao":"2020-01-01"},{"DescricaoSituacao":"B"}]}}}}}]}}}')
+    got = spark.createDataFrame([(raw,), ("{}",), ("erro",), (None,)], "raw string").select(status_fields(
+        F.col("raw"), "SituacaoAtualMateria.Materias.Materia", "SituacaoAtual.Autuacoes.Autuacao", "Situacoes.Situacao",
+        "DescricaoSituacao", "DataSituacao").alias("s")).select("s.*").collect()
+    assert [tuple(r) for r in got] == [("B", "2020-01-01"), ("", ""), ("", ""), ("", "")]

@@ -113,11 +113,23 @@ def test_tree_top_n_keeps_total(spark):
 
 
 def test_crosstab_margins_sum(spark):
-    rows = [("PL", "CD"), ("PL", "SF"), ("PEC", "CD"), ("PEC", "CN"), ("PL", "CD")]
-    got = {r["tipo"]: r.asDict() for r in crosstab_margins(
-        spark.createDataFrame(rows, "tipo string, origem string"), "tipo", "origem", ["CD", "CN", "SF"]).collect()}
-    assert got["PL"]["CD"] == 2 and got["PL"]["Total"] == 3
-    assert got["Total"]["Total"] == 5 and got["Total"]["CD"] == 3
+    rows = [("PL", "CD"), ("PL", "SF"), ("PEC", "CD"), ("PEC", "XX"), ("PL", "CD"), (None, "CD")]
+    got = {(r["tipo"], r["origem"]): r["n"] for r in crosstab_margins(
+        spark.createDataFrame(rows, "tipo string, origem string"), "tipo", "origem").collect()}
+    assert got == {("PL", "CD"): 2, ("PL", "SF"): 1, ("PEC", "CD"): 1, ("PEC", "XX"): 1, ("PL", "Total"): 3, ("PEC", "Total"): 2,
+                   ("Total", "CD"): 3, ("Total", "SF"): 1, ("Total", "XX"): 1, ("Total", "Total"): 5}
+
+
+def test_matrix_keeps_unlisted_terms_and_views_skip_null_keys(spark):
+    from plenaria.plans import mart
+    rows = [("PT", "PL", "renda minima", "A", "56", True), ("PT", "PL", "pobreza", "A", "56", True), ("PL", "PEC", None, None, "56", True),
+            ("PL", None, "pobreza", None, None, True)]
+    d = spark.createDataFrame(rows, "tipo_autor string, tipo string, termo_busca string, parlamentar string, legislatura string, e_parlamentar boolean")
+    got = {(r["p_plot"], r["termo_busca"]): (r["n"], r["row_total"], r["col_total"]) for r in mart.party_term_matrix(d).collect()}
+    assert got == {("PT", "renda minima"): (1, 2, 1), ("PT", "pobreza"): (1, 2, 2), ("PL", "pobreza"): (1, 1, 2), ("PL", "renda minima"): (0, 1, 1)}
+    assert [r["parlamentar"] is None for r in mart.top_authors(d).collect()] == [False]
+    assert {r["tp"] for r in mart.type_mix(d, 1).collect()} == {"PL", "Outros"}
+    assert all(r["termo_busca"] for r in mart.term_mix(d).collect())
 
 
 def test_share_within_sums_to_100(spark):

@@ -2,7 +2,8 @@
 
 Each stage reads the previous stage's Parquet table and writes its own; a
 stage whose directory holds a finished write is skipped, so an interrupted run
-resumes where it stopped and a second run changes nothing.  Writing the stage
+resumes where it stopped and a second run changes nothing; a finished stage 3 is
+reopened while rows without a score have new responses.  Writing the stage
 tables also cuts the lineage between stages.
 """
 
@@ -37,26 +38,42 @@ def run(spark: SparkSession, layout: StageLayout, raw: DataFrame, status_source:
     """
     done = {}
 
-    def stage(name: str, build):
+    def stage(name: str, build, again: bool = False):
         path = layout.path(name)
-        if not stages.is_complete(spark, path):
+        if again or not stages.is_complete(spark, path):
             stages.write_stage(build(), path)
         done[name] = spark.read.parquet(path)
         return done[name]
 
     s1 = stage(STAGES[0], lambda: consolidate.consolidate(raw))
     s2 = stage(STAGES[1], lambda: status.enrich_status(s1, status_source, key))
+    first = scoring.first_scored(scoring.parse_attempts(attempts, key=key), key=key)
+    s3 = stage(STAGES[2], lambda: restored(spark, layout) or s2.join(first, key, "left"))
+    resumed = resume_scores(spark, layout, s3, first, key)
+    if resumed:
+        done[STAGES[2]] = s3 = spark.read.parquet(layout.path(STAGES[2]))
+    stage(STAGES[3], lambda: ideology.enrich_ideology(s3, ideology.survey_scores(survey)), again=resumed)
+    return done
 
-    def scored():
-        parsed = scoring.parse_attempts(attempts, key=key)
-        first = scoring.first_scored(parsed, key=key)
-        return s2.join(first, key, "left")
 
-    s3 = stage(STAGES[2], scored)
-    stage(STAGES[3], lambda: ideology.enrich_ideology(s3, ideology.survey_scores(survey)))
-    return done
+def _next(layout: StageLayout) -> str:
+    return layout.path(STAGES[2]) + "__next"
+
 
+def restored(spark: SparkSession, layout: StageLayout) -> DataFrame | None:
+    """The merged scores of a resumption that stopped while replacing the stage table, if there is one."""
+    return spark.read.parquet(_next(layout)) if stages.is_complete(spark, _next(layout)) else None
 
-def pending_scores(stage3: DataFrame) -> DataFrame:
-    """Rows of stage 3 still without a score (what a resumed scoring run must do)."""
-    return stage3.filter(F.col("llm_nota").isNull())
+
+def resume_scores(spark: SparkSession, layout: StageLayout, stage3: DataFrame, fresh: DataFrame, key: str) -> bool:
+    """Reopen a finished stage 3 that has pending rows for which ``fresh`` now has a score; whether it was rewritten.
+
+    The merged table is written beside the stage first and then copied over it, so a run that stops in between loses
+    no score.
+    """
+    news = fresh.filter(F.col("llm_nota").isNotNull())
+    if not scoring.pending(stage3).join(news, key, "left_semi").limit(1).count():
+        return False
+    stages.write_stage(scoring.resume(stage3, news, key).drop("retomado"), _next(layout))
+    stages.write_stage(spark.read.parquet(_next(layout)), layout.path(STAGES[2]))
+    return True

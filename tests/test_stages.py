@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from plenaria.catalog import proposals, status_source
-from plenaria.plans import collect, runner
+from plenaria.plans import collect, runner, scoring
 from plenaria.sources import bridge, stages, survey
 from plenaria.streaming import incremental
 
@@ -35,7 +35,26 @@ def test_stage_run_is_idempotent(spark):
     s4 = second["stage4_final"]
     assert s4.select("id_interno").distinct().count() == s4.count()
     assert {"situacao_norm", "llm_nota", "score_lr", "espectro"} <= set(s4.columns)
-    assert runner.pending_scores(second["stage3_scored"]).count() >= 0
+    assert scoring.pending(second["stage3_scored"]).count() == scoring.pending(first["stage3_scored"]).count()
+
+
+def test_second_run_scores_pending_rows(spark):
+    layout = runner.StageLayout(tempfile.mkdtemp(prefix="plenaria-resume-"))
+    p = proposals(spark, SF).limit(40)
+    ids = [r[0] for r in p.select("id_interno").distinct().collect()]
+    bad, good = sorted(ids)[:2]
+
+    def attempts(raw_bad):
+        return spark.createDataFrame([(bad, 1, raw_bad), (good, 1, '{"nota": 9}')], "id_interno string, attempt int, raw string")
+
+    rest = (status_source(spark, SF), bridge.bridge(spark, SF, "survey"))
+    first = runner.run(spark, layout, p, rest[0], attempts("erro"), rest[1])["stage4_final"]
+    before = {r["id_interno"]: r["llm_nota"] for r in first.collect()}
+    runner.run(spark, layout, p, rest[0], attempts('{"nota": 2}'), rest[1])
+    after = {r["id_interno"]: r["llm_nota"] for r in spark.read.parquet(layout.path("stage4_final")).collect()}
+    kept = [i for i in (bad, good) if i in before]
+    assert [before[i] for i in kept] == [{bad: None, good: 9.0}[i] for i in kept]
+    assert [after[i] for i in kept] == [{bad: 2.0, good: 9.0}[i] for i in kept] and len(after) == len(before)
 
 
 def test_worklist_empty_when_everything_done(spark):

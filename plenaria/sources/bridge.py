@@ -171,7 +171,6 @@ SPARK_VIEWS = {"attempts": ATTEMPTS_SPARK}
 _MARK = re.compile(r"@@(\w+)")
 _lock = threading.Lock()
 _registered: dict = {}            # (session id, prefix) -> weak ref to that session
-_partitions: dict = {}            # (session id, path) -> scan partitions
 
 
 def render(sql: str, resolve=lambda name: name) -> str:
@@ -188,32 +187,6 @@ def _prefix(data_dir: str) -> str:
     return "plenaria_" + hashlib.sha1(data_dir.rstrip("/").encode()).hexdigest()[:10]
 
 
-# Fixed-size dimensions (never worth spreading).
-FIXED_DIMS = {"region", "nation"}
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Give a scan at least the default parallelism.
-
-    A scan gets one task per file split; a table stored as a few large row
-    groups would otherwise run every per-row expression on a few cores.  When the
-    scan already has enough partitions (any large input) this is a no-op, so no
-    shuffle is added at scale.  Hash partitioning on the key keeps the rows of a
-    key together for a later join or aggregate on it.
-    """
-    spark = df.sparkSession
-    try:
-        target = spark.sparkContext.defaultParallelism
-        k = (id(spark), tuple(df.inputFiles()))
-        if k not in _partitions:
-            _partitions[k] = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view of the plan (e.g. a Spark Connect session)
-        return df
-    if _partitions[k] >= target:
-        return df
-    return df.repartition(target, key or df.columns[0])
-
-
 _tables: dict = {}                # (session id, path) -> scan DataFrame
 
 
@@ -226,8 +199,7 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _tables or _tables[key].sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _tables[key] = df if name in FIXED_DIMS else spread(df)
+        _tables[key] = spark.read.parquet(path)
     return _tables[key]
 
 

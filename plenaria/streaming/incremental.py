@@ -10,28 +10,40 @@ storage (the folder named by ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plenaria.plans.collect import pending_work
+from plenaria import vocab
+from plenaria.functions.util import lookup
 from plenaria.sources.landing import chamber_records
 
-__all__ = ["pending_work", "landed_pages", "ingest_pages"]
+
+def plain(term: str) -> str:
+    """A term as a file name spells it: lower case, without accents."""
+    return "".join(c for c in unicodedata.normalize("NFD", term.lower()) if not unicodedata.combining(c))
+
+
+#: File names have no accents; the term a page was found by does.
+TERM_OF_SLUG = {plain(t): t for t in vocab.SEARCH_TERMS}
 
 
 def landed_pages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of landed page files: one JSON response per line -> (pagina, termo_busca, raw).
 
     Landing files are named ``<term>__<anything>.json``; the term is recovered from
-    the file name so that a page keeps the search term that found it.
+    the file name, accents included, so that a page keeps the search term that found it; a name that spells no
+    known term is kept as it is.
     """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(landing_dir)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1)
+    slug = F.regexp_replace(F.regexp_extract(name, r"^(.*?)__", 1), "_", " ")
     return lines.select(F.col("_metadata.file_path").alias("pagina"),
-                        F.regexp_replace(F.regexp_extract(name, r"^(.*?)__", 1), "_", " ").alias("termo_busca"),
+                        lookup(TERM_OF_SLUG, F.lower(slug), slug).alias("termo_busca"),
                         F.col("value").alias("raw"))
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from plenaria.catalog import QUERIES
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.ranking import tree_top_n
 
@@ -33,14 +33,14 @@ def test_top_n_per_group_is_limited_before_the_shuffle(spark):
     assert out.agg(F.sum("n")).first()[0] == sum(n for _, _, n in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_no_python_udf(spark, name):
-    plan = _plan(queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, bad
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = _plan(queries()["exclude_subject"](spark, SF))
+    plan = _plan(QUERIES["exclude_subject"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     assert "ReadSchema: struct<c_custkey:bigint>" in plan

@@ -6,7 +6,6 @@ operator or job of the pipeline over whole tables and whole texts.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,8 @@ from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
-from plenaria.plans import collect, consolidate as c1, ideology, mart, scoring, status
-from plenaria.sources import bridge, landing, stages
+from plenaria.plans import collect, consolidate as c1, ideology, mart, runner, scoring, status
+from plenaria.sources import bridge, landing
 
 # Search terms used on the driver's document texts (the configured Portuguese
 # terms do not occur in them); the same list feeds the oracle.
@@ -67,34 +66,27 @@ def survey_table(spark, d):
     return ideology.survey_scores(_b(spark, d, "survey"))
 
 
-_TABLES: dict = {}
+def scored(spark, d):
+    return mart.scored_base(proposals(spark, d), scores_by_seq(spark, d), survey_table(spark, d))
 
 
-def _materialized(spark: SparkSession, name: str, d: str, build) -> DataFrame:
-    """With ``plenaria.mart.persist`` true, write the table once to the shared
-    checkpoint folder (``spark.checkpoint.dir``) and serve every query from it, as
-    the dashboard serves every view from one loaded base; otherwise a lazy plan."""
-    if spark.conf.get("plenaria.mart.persist", "false") != "true":
-        return build()
-    key = (id(spark), name, d)
-    if key not in _TABLES or _TABLES[key].sparkSession is not spark:
-        root = stages.checkpoint_dir(spark)
-        if not root:
-            raise RuntimeError("plenaria.mart.persist needs spark.checkpoint.dir (a shared folder)")
-        path = f"{root.rstrip('/')}/plenaria-{name}-{uuid.uuid4().hex[:12]}"
-        stages.write_stage(build(), path)
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+def mart_table(spark: SparkSession, d: str) -> DataFrame:
+    """The dashboard's base table (included proposals with derived columns)."""
+    return mart.mart_base(scored(spark, d))
 
 
-def scored(spark, d):
-    return _materialized(spark, "scored", d, lambda: mart.scored_base(
-        proposals(spark, d), scores_by_seq(spark, d), survey_table(spark, d)))
+def attempts_by_id(spark, d):
+    """Model responses under the proposals' internal ids."""
+    ids = proposals(spark, d).select("seq", "id_interno")
+    return _b(spark, d, "attempts").join(ids, "seq").select("id_interno", "attempt", "raw")
 
 
-def mart_table(spark: SparkSession, d: str) -> DataFrame:
-    """The dashboard's base table (included proposals with derived columns)."""
-    return _materialized(spark, "mart", d, lambda: mart.mart_base(scored(spark, d)))
+def final_mart(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain: both houses' records -> stages 1 to 4 -> the dashboard's base."""
+    p = proposals(spark, d)
+    raw = collect.both_houses(p.filter(F.col("origem") == "CD"), p.filter(F.col("origem") != "CD"))
+    return mart.mart_base(runner.final_plan(raw, status_source(spark, d), attempts_by_id(spark, d),
+                                            _b(spark, d, "survey")))
 
 
 # ---------------------------------------------------------------- queries
@@ -115,7 +107,7 @@ def q_term_match_all(spark, d):
 
 def q_two_route_capture(spark, d):
     out = two_route_capture(_b(spark, d, "captura"), _b(spark, d, "captura_detalhe"), DOCUMENT_TERMS,
-                            doc_types=CAPTURE_DOC_TYPES)
+                            doc_types=CAPTURE_DOC_TYPES, columns=["tipo_doc", "tipo_conteudo"])
     return out.select("cod", "tipo_doc", "tipo_conteudo", "termo_busca", "rota")
 
 
@@ -253,37 +245,73 @@ def q_score_parse(spark, d):
 
 def q_score_resume(spark, d):
     parsed = scoring.parse_attempts(_b(spark, d, "attempts"))
-    seqs = proposals(spark, d).select("seq")
-    previous = seqs.join(scoring.first_scored(parsed.filter(F.col("attempt") == 1)), "seq", "left")
-    todo = scoring.pending(previous).select("seq")
-    fresh = scoring.first_scored(parsed.join(todo, "seq", "left_semi"))
-    return scoring.resume(previous, fresh, "seq")
+    return scoring.scored_with_retries(proposals(spark, d).select("seq"), parsed, "seq")
 
 
-def q_facet_filter(spark, d):
-    out = facet_filter(mart_table(spark, d), FACETS)
+def facet_rows(base: DataFrame) -> DataFrame:
+    out = facet_filter(base, FACETS)
     return out.select("seq", "origem", "tipo", "ano_int", "uf", "tipo_autor", "espectro", "legislatura")
 
 
-def q_facet_people(spark, d):
-    out = facet_filter(mart_table(spark, d), FACETS_PEOPLE)
-    return out.select("seq", "parlamentar", "tipo_extenso", "termo_busca")
+def facet_people_rows(base: DataFrame) -> DataFrame:
+    return facet_filter(base, FACETS_PEOPLE).select("seq", "parlamentar", "tipo_extenso", "termo_busca")
 
 
-def q_mart_base(spark, d):
-    m = mart_table(spark, d)
-    return (m.groupBy("origem_extenso", "tipo_extenso", "legislatura", "regiao", "e_parlamentar")
+def mart_counts(base: DataFrame) -> DataFrame:
+    return (base.groupBy("origem_extenso", "tipo_extenso", "legislatura", "regiao", "e_parlamentar")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def _view(fn):
-    return lambda spark, d: fn(mart_table(spark, d))
+def q_collect_senate(spark, d):
+    details = landing.senate_detail(_b(spark, d, "detalhe_raw")).withColumn(
+        "id_processo", (F.col("seq") + bridge.PROCESS_ID_BASE).cast("string"))
+    out = collect.collect_senate(_b(spark, d, "processos_raw"), details)
+    return out.select("id_interno", "id_processo", "origem", "tipo", "numero", "ano", "data_apre", "ementa", "parlamentar",
+                      "tipo_autor", "uf", "assunto_especifico", "termo_busca", "rota", "tramitando", "uri")
+
+
+def q_pipeline_final(spark, d):
+    return final_mart(spark, d).select(
+        "id_interno", "origem", "origem_extenso", "tipo", "tipo_extenso", "numero", "ano_int", "data_apre", "uf", "regiao",
+        "legislatura", "e_parlamentar", "situacao_norm", "llm_nota", "llm_categoria", "partido_bls", "score_lr", "espectro")
 
 
 def q_stage_summary(spark, d):
     return mart.stage_summary(scored(spark, d))
 
 
+#: The dashboard's views: name -> function of the base table.
+VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "kpis": mart.kpis,
+    "kpis_empty": lambda base: mart.kpis(base.filter(F.col("origem") == "nenhuma")),
+    "kpis_filtered": lambda base: mart.kpis(facet_filter(base, FACETS)),
+    "by_legislature": mart.by_legislature,
+    "by_year_house": mart.by_year_house,
+    "type_mix": mart.type_mix,
+    "party_author_tree": mart.party_author_tree,
+    "by_state": mart.by_state,
+    "top_states": mart.top_states,
+    "term_mix": mart.term_mix,
+    "top_authors": mart.top_authors,
+    "party_term_matrix": mart.party_term_matrix,
+    "party_type_flow": mart.party_type_flow,
+    "latest_rows": mart.latest_rows,
+    "ideology_by_leg_group": mart.ideology_by_leg_group,
+    "ideology_by_house": mart.ideology_by_house,
+    "by_band": mart.by_band,
+    "ideology_by_state": mart.ideology_by_state,
+    "lowest_state_scores": mart.lowest_state_scores,
+    "facet_options": mart.facet_options,
+    "facet_filter": facet_rows,
+    "facet_people": facet_people_rows,
+    "mart_base": mart_counts,
+}
+
+
+def _on_mart(view):
+    return lambda spark, d: view(mart_table(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "worklist_crossjoin": q_worklist,
     "term_match_first": q_term_match_first,
@@ -300,7 +328,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chamber_json": q_chamber_json,
     "detail_json": q_detail_json,
     "author_enrich": q_author_enrich,
-    "mart_base": q_mart_base,
     "author_rollup": q_author_rollup,
     "author_parse": q_author_parse,
     "party_extract": q_party_extract,
@@ -311,27 +338,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_table": q_prompt_table,
     "score_parse": q_score_parse,
     "score_resume": q_score_resume,
-    "facet_filter": q_facet_filter,
-    "facet_people": q_facet_people,
-    "kpis": _view(mart.kpis),
-    "kpis_empty": lambda spark, d: mart.kpis(mart_table(spark, d).filter(F.col("origem") == "nenhuma")),
-    "kpis_filtered": lambda spark, d: mart.kpis(facet_filter(mart_table(spark, d), FACETS)),
-    "by_legislature": _view(mart.by_legislature),
-    "by_year_house": _view(mart.by_year_house),
-    "type_mix": _view(mart.type_mix),
-    "party_author_tree": _view(mart.party_author_tree),
-    "by_state": _view(mart.by_state),
-    "top_states": _view(mart.top_states),
-    "term_mix": _view(mart.term_mix),
-    "top_authors": _view(mart.top_authors),
-    "party_term_matrix": _view(mart.party_term_matrix),
-    "party_type_flow": _view(mart.party_type_flow),
-    "latest_rows": _view(mart.latest_rows),
-    "ideology_by_leg_group": _view(mart.ideology_by_leg_group),
-    "ideology_by_house": _view(mart.ideology_by_house),
-    "by_band": _view(mart.by_band),
-    "ideology_by_state": _view(mart.ideology_by_state),
-    "lowest_state_scores": _view(mart.lowest_state_scores),
-    "facet_options": _view(mart.facet_options),
     "stage_summary": q_stage_summary,
-}
+    "collect_senate": q_collect_senate,
+    "pipeline_final": q_pipeline_final,
+} | {name: _on_mart(view) for name, view in VIEWS.items()}

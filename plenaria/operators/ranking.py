@@ -15,21 +15,13 @@ from pyspark.sql import functions as F
 from plenaria import vocab
 
 
-def value_counts(df: DataFrame, key: str, n: str = "n") -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias(n))
-
-
-def top_k(df: DataFrame, key: str, k: int, n: str = "n") -> DataFrame:
-    """The ``k`` most frequent values of ``key`` with their counts."""
-    return value_counts(df, key, n).orderBy(F.desc(n), F.asc(key)).limit(k)
-
-
 def tree_top_n(counts: DataFrame, group: str, item: str, n: str,
                n_groups: int, n_items: int, other: str = vocab.OTHERS,
                other_item: str = vocab.PLACEHOLDER) -> DataFrame:
     """Two-level top-N with remainders.
 
-    ``counts`` holds one row per (group, item) with a count.  Output: for the
+    ``counts`` holds one row per (group, item) with a count; it is read several times, so it should be a written
+    table (``stages.written``) rather than a plan over a large base.  Output: for the
     ``n_groups`` largest groups, their ``n_items`` largest items plus one
     (group, other) remainder row; one (other, other_item) row for all smaller
     groups.  The output total equals the input total.

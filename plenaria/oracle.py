@@ -13,7 +13,7 @@ from plenaria.functions.text import WHITESPACE
 from plenaria.catalog import CAPTURE_DOC_TYPES, DOCUMENT_TERMS, FACETS, FACETS_PEOPLE
 from plenaria.operators.term_match import alternation
 from plenaria.plans.prompt_text import PROMPT_PARTS, PROMPT_SLOTS
-from plenaria.sources.bridge import duckdb_sql
+from plenaria.sources.bridge import PROCESS_ID_BASE, duckdb_sql
 
 
 # ---------------------------------------------------------------- SQL helpers
@@ -259,8 +259,19 @@ def asof_ctes(src: str) -> list[str]:
     ]
 
 
+def scored_ctes() -> list[str]:
+    """CTE ``scored0`` with its ideology -> CTEs ``scored`` and ``mart``."""
+    return asof_ctes("scored0") + [
+        f"scored AS (SELECT scored0.*, sc.score_lr, {band('sc.score_lr')} AS espectro FROM scored0 "
+        f"LEFT JOIN sc USING (partido_bls, ano_int))",
+        f"mart AS (SELECT *, {house('origem')} AS origem_extenso, {type_label('tipo')} AS tipo_extenso, "
+        f"{legislature('ano_int')} AS legislatura, {region('uf')} AS regiao, {is_member('tipo_autor')} AS e_parlamentar "
+        f"FROM scored WHERE llm_decisao = 'incluir')",
+    ]
+
+
 def mart_ctes() -> list[str]:
-    return views("proposals", "attempts") + [parsed_cte(), first_success_cte("scores", "parsed")] + survey_ctes()[0:] \
+    return views("proposals", "attempts") + [parsed_cte(), first_success_cte("scores", "parsed")] + survey_ctes() \
         + [
             f"scored0 AS (SELECT p.origem, {type_code('p.tipo')} AS tipo, p.numero, p.ano, p.data_apre, p.parlamentar, "
             f"p.tipo_autor, coalesce(p.uf, '—') AS uf, p.ementa, p.termo_busca, coalesce(p.tramitando, '—') AS tramitando, "
@@ -268,13 +279,51 @@ def mart_ctes() -> list[str]:
             f"p.nota_bruta, s.llm_nota, s.llm_categoria, s.llm_decisao, s.llm_justificativa, "
             f"{status('p.situacao')} AS situacao_norm, {party_of_author('p.tipo_autor')} AS partido_bls, "
             f"TRY_CAST(p.ano AS INTEGER) AS ano_int FROM proposals p LEFT JOIN scores s USING (seq))",
-        ] + asof_ctes("scored0") + [
-            f"scored AS (SELECT scored0.*, sc.score_lr, {band('sc.score_lr')} AS espectro FROM scored0 "
-            f"LEFT JOIN sc USING (partido_bls, ano_int))",
-            f"mart AS (SELECT *, {house('origem')} AS origem_extenso, {type_label('tipo')} AS tipo_extenso, "
-            f"{legislature('ano_int')} AS legislatura, {region('uf')} AS regiao, {is_member('tipo_autor')} AS e_parlamentar "
-            f"FROM scored WHERE llm_decisao = 'incluir')",
-        ]
+        ] + scored_ctes()
+
+
+def status_ctes() -> list[str]:
+    """Stages 1 and 2 -> CTE ``st``."""
+    eligible_status = ("(cons.origem = 'CD' OR (cons.origem IN ('SF', 'CN') AND cons.id_processo IS NOT NULL "
+                       "AND cons.id_processo NOT IN ('', '—')))")
+    return consolidated_ctes() + [
+        "ssrc AS (SELECT id_interno, situacao FROM (SELECT id_interno, situacao, row_number() OVER (PARTITION BY id_interno "
+        "ORDER BY seq, situacao NULLS LAST) AS rn FROM proposals) WHERE rn = 1)",
+        f"st AS (SELECT cons.*, CASE WHEN {eligible_status} THEN coalesce(s.situacao, '') ELSE '' END AS situacao "
+        f"FROM cons LEFT JOIN ssrc s USING (id_interno))",
+    ]
+
+
+def final_ctes() -> list[str]:
+    """The whole chain -> CTE ``mart``."""
+    fields = "llm_nota, llm_categoria, llm_decisao, llm_justificativa"
+    return status_ctes() + views("attempts") + [
+        parsed_cte(),
+        f"by_id AS (SELECT id_interno, {fields} FROM (SELECT p.id_interno, q.*, row_number() OVER (PARTITION BY p.id_interno "
+        f"ORDER BY (llm_nota IS NULL), attempt, {fields}) AS rn FROM parsed q JOIN proposals p ON p.seq = q.seq "
+        f"WHERE attempt <= {vocab.MAX_ATTEMPTS}) WHERE rn = 1)",
+    ] + survey_ctes() + [
+        f"scored0 AS (SELECT st.*, {status('st.situacao')} AS situacao_norm, {fields}, "
+        f"{party_of_author('st.tipo_autor')} AS partido_bls, TRY_CAST(st.ano AS INTEGER) AS ano_int "
+        f"FROM st LEFT JOIN by_id USING (id_interno))",
+    ] + scored_ctes()
+
+
+SENATOR = r"'^Senador[a]?\s+(.+?)\s+\(([\p{L}\p{N}_]+)/([\p{L}\p{N}_]+)\)$'"
+
+
+def senate_author_columns(a: str, doc: str) -> str:
+    """parlamentar, tipo_autor, uf of a Senate author text."""
+    st, lo = strip(a), f"lower({a})"
+    m = f"regexp_matches({st}, {SENATOR})"
+    return (f"CASE WHEN {doc} = 'Sugestão' THEN {a} WHEN {m} THEN regexp_extract({st}, {SENATOR}, 1) ELSE {a} END AS parlamentar, "
+            f"CASE WHEN {doc} = 'Sugestão' THEN 'Popular; Comissão' WHEN {m} THEN regexp_extract({st}, {SENATOR}, 2) "
+            f"WHEN {any_contains(lo, vocab.EXECUTIVE_KEYWORDS)} THEN 'Executivo' "
+            f"WHEN {any_contains(lo, vocab.COMMITTEE_KEYWORDS)} THEN 'Comissão' "
+            f"WHEN {any_contains(a, vocab.COURT_ACRONYMS)} THEN 'Judiciário' "
+            f"WHEN {any_contains(lo, vocab.PROSECUTION_KEYWORDS)} THEN 'MPU' "
+            f"WHEN {any_contains(lo, vocab.LEGISLATURE_KEYWORDS)} THEN 'Legislativo' ELSE 'Comissão' END AS tipo_autor, "
+            f"CASE WHEN {doc} IS DISTINCT FROM 'Sugestão' AND {m} THEN regexp_extract({st}, {SENATOR}, 3) ELSE '' END AS uf")
 
 
 def on_mart(body: str) -> str:
@@ -361,13 +410,10 @@ def build() -> dict[str, str]:
         "SELECT CASE WHEN grouping(tipo) = 1 THEN 'Total' ELSE tipo END AS tipo, "
         "CASE WHEN grouping(origem) = 1 THEN 'Total' ELSE origem END AS origem, count(*) AS n "
         "FROM cons WHERE tipo IS NOT NULL AND origem IS NOT NULL GROUP BY CUBE (tipo, origem)"))
-    eligible_status = "(cons.origem = 'CD' OR (cons.origem IN ('SF', 'CN') AND cons.id_processo IS NOT NULL AND cons.id_processo NOT IN ('', '—')))"
-    o["status_enrich"] = sql(consolidated_ctes() + [
-        "ssrc AS (SELECT id_interno, situacao FROM (SELECT id_interno, situacao, row_number() OVER (PARTITION BY id_interno "
-        "ORDER BY seq, situacao NULLS LAST) AS rn FROM proposals) WHERE rn = 1)",
-        f"st AS (SELECT cons.*, CASE WHEN {eligible_status} THEN coalesce(s.situacao, '') ELSE '' END AS situacao "
-        f"FROM cons LEFT JOIN ssrc s USING (id_interno))",
-    ], f"SELECT *, {status('situacao')} AS situacao_norm FROM st")
+    o["status_enrich"] = sql(status_ctes(), f"SELECT *, {status('situacao')} AS situacao_norm FROM st")
+    o["pipeline_final"] = sql(final_ctes(), (
+        "SELECT id_interno, origem, origem_extenso, tipo, tipo_extenso, numero, ano_int, data_apre, uf, regiao, legislatura, "
+        "e_parlamentar, situacao_norm, llm_nota, llm_categoria, partido_bls, score_lr, espectro FROM mart"))
 
     o["status_json"] = sql(views("status_raw") + [
         "s AS (SELECT seq, CASE WHEN json_valid(raw) THEN raw END AS j FROM status_raw)",
@@ -414,19 +460,30 @@ def build() -> dict[str, str]:
         "SELECT p.seq, p.origem, p.tipo, coalesce(r.parlamentar, '') AS parlamentar, coalesce(r.uf, '') AS uf, "
         "coalesce(r.tipo_autor, '') AS tipo_autor FROM proposals p LEFT JOIN roll r USING (seq)"))
 
-    sen = r"'^Senador[a]?\s+(.+?)\s+\(([\p{L}\p{N}_]+)/([\p{L}\p{N}_]+)\)$'"
     o["author_parse"] = sql(views("autoria_bruta") + [
-        f"b AS (SELECT seq, coalesce(autoria, '') AS a, tipo_doc FROM autoria_bruta)",
-        f"c AS (SELECT seq, a, tipo_doc, {strip('a')} AS st, lower(a) AS lo FROM b)",
-        f"d AS (SELECT *, regexp_matches(st, {sen}) AS m FROM c)",
-    ], (f"SELECT seq, CASE WHEN tipo_doc = 'Sugestão' THEN a WHEN m THEN regexp_extract(st, {sen}, 1) ELSE a END AS parlamentar, "
-        f"CASE WHEN tipo_doc = 'Sugestão' THEN 'Popular; Comissão' WHEN m THEN regexp_extract(st, {sen}, 2) "
-        f"WHEN {any_contains('lo', vocab.EXECUTIVE_KEYWORDS)} THEN 'Executivo' "
-        f"WHEN {any_contains('lo', vocab.COMMITTEE_KEYWORDS)} THEN 'Comissão' "
-        f"WHEN {any_contains('a', vocab.COURT_ACRONYMS)} THEN 'Judiciário' "
-        f"WHEN {any_contains('lo', vocab.PROSECUTION_KEYWORDS)} THEN 'MPU' "
-        f"WHEN {any_contains('lo', vocab.LEGISLATURE_KEYWORDS)} THEN 'Legislativo' ELSE 'Comissão' END AS tipo_autor, "
-        f"CASE WHEN tipo_doc IS DISTINCT FROM 'Sugestão' AND m THEN regexp_extract(st, {sen}, 3) ELSE '' END AS uf FROM d"))
+        "b AS (SELECT seq, coalesce(autoria, '') AS a, tipo_doc FROM autoria_bruta)",
+    ], f"SELECT seq, {senate_author_columns('a', 'tipo_doc')} FROM b")
+    pt = q(pat(vocab.SEARCH_TERMS))
+    o["collect_senate"] = sql(views("processos_raw", "detalhe_raw") + [
+        "pe AS (SELECT unnest(CASE json_type(raw) WHEN 'ARRAY' THEN json_extract(raw, '$[*]') "
+        "WHEN 'OBJECT' THEN [CAST(raw AS JSON)] END) AS x FROM processos_raw WHERE json_valid(raw))",
+        "pr AS (SELECT json_extract_string(x, '$.codigoMateria') AS cod, json_extract_string(x, '$.id') AS id_processo, "
+        "json_extract_string(x, '$.tipoDocumento') AS tipo, json_extract_string(x, '$.tipoConteudo') AS conteudo, "
+        "coalesce(json_extract_string(x, '$.casaIdentificadora'), 'SF') AS origem, json_extract_string(x, '$.identificacao') AS numero, "
+        "substring(json_extract_string(x, '$.dataApresentacao'), 1, 4) AS ano, json_extract_string(x, '$.dataApresentacao') AS data_apre, "
+        f"{strip("json_extract_string(x, '$.ementa')")} AS ementa, "
+        "json_extract_string(x, '$.autoria') AS autoria FROM pe)",
+        f"pd AS (SELECT CAST(seq + {PROCESS_ID_BASE} AS VARCHAR) AS id_processo, indexacao, assunto_especifico FROM "
+        f"(SELECT {detail_cols} FROM detalhe_raw))",
+        f"t AS (SELECT pr.*, coalesce(pd.indexacao, '') AS indexacao, pd.assunto_especifico, "
+        f"nullif(lower(regexp_extract(ementa, {pt}, 0)), '') AS t1 FROM pr LEFT JOIN pd USING (id_processo) "
+        f"WHERE tipo IN {lst(vocab.SENATE_TYPES)} AND cod IS NOT NULL)",
+        f"u AS (SELECT *, coalesce(t1, CASE WHEN conteudo IN {lst(vocab.SENATE_CONTENT_TYPES)} "
+        f"THEN nullif(lower(regexp_extract(indexacao, {pt}, 0)), '') END) AS termo_busca, CASE WHEN t1 IS NULL THEN 2 ELSE 1 END AS rota FROM t)",
+        "w AS (SELECT *, row_number() OVER (PARTITION BY cod ORDER BY rota, ementa) AS rn FROM u WHERE termo_busca IS NOT NULL)",
+    ], f"SELECT 'SF-' || cod AS id_interno, id_processo, origem, tipo, numero, ano, data_apre, ementa, "
+       f"{senate_author_columns('autoria', 'tipo')}, assunto_especifico, termo_busca, rota, '' AS tramitando, "
+       "'http://legis.senado.leg.br/dadosabertos/materia/' || cod AS uri FROM w WHERE rn = 1")
 
     o["party_extract"] = sql(views("proposals"), f"SELECT tipo_autor, {party_of_author('tipo_autor')} AS partido_bls, "
                              "count(*) AS n FROM proposals GROUP BY ALL")

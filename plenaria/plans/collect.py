@@ -62,6 +62,11 @@ def collect_chamber(pages: DataFrame, author_responses: DataFrame,
     return enrich_authors(recs, roll, "id_interno")
 
 
+def both_houses(chamber: DataFrame, senate: DataFrame) -> DataFrame:
+    """The collected records of both houses in one table; a column that only one house has is null for the other."""
+    return chamber.unionByName(senate, allowMissingColumns=True)
+
+
 def collect_senate(processes: DataFrame, details: DataFrame, terms=vocab.SEARCH_TERMS,
                    doc_types=vocab.SENATE_TYPES, content_types=vocab.SENATE_CONTENT_TYPES) -> DataFrame:
     """Process listing + details -> captured records with author fields and subjects.

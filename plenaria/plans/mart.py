@@ -3,7 +3,8 @@
 Every view is a DataFrame over the (facet-filtered) base table.  The base is
 meant to be written once as a table and read by all views, as the dashboard
 loads its base once; every view aggregates the base once and does its ranking
-and labelling on that aggregate, so its output is bounded by the number of
+and labelling on that aggregate (written to the shared folder where it is read
+more than once), so its output is bounded by the number of
 categories, not by the number of rows (the top-500 table is the one exception).
 """
 
@@ -20,6 +21,7 @@ from plenaria.operators.filters import exclude_institutional, fill_missing
 from plenaria.plans.consolidate import FILL
 from plenaria.plans.ideology import enrich_ideology
 from plenaria.plans.scoring import SCORE_COLUMNS
+from plenaria.sources.stages import written
 
 ROUND = 4
 
@@ -49,27 +51,35 @@ def mart_base(scored: DataFrame) -> DataFrame:
     })
 
 
-def _pct(cond) -> F.Column:
-    """Share of the rows in percent; null over no rows, which the display shows as its placeholder."""
-    return F.round(F.try_divide(F.lit(100.0) * F.count_if(cond), F.count(F.lit(1))), ROUND)
+def _pct(part: str) -> F.Column:
+    """Share of the counted rows in percent; null over no rows, which the display shows as its placeholder."""
+    return F.round(F.try_divide(F.lit(100.0) * F.sum(part), F.sum("n")), ROUND)
 
 
 def kpis(d: DataFrame) -> DataFrame:
-    """The eight headline numbers in one aggregate pass (one row)."""
-    popular = (F.col("tipo") == "SUG") | text.contains_or_false("tipo_autor", "Popular")
-    n_parl = F.count_distinct(F.when(F.col("e_parlamentar"), F.col("parlamentar")))
-    return d.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.round(F.count(F.lit(1)) / F.greatest(F.count_distinct("ano_int"), F.lit(1)), ROUND).alias("media_ano"),
-        _pct(F.col("origem") == "CD").alias("pct_cd"),
-        _pct(F.col("origem") == "SF").alias("pct_sf"),
-        _pct(F.col("origem") == "CN").alias("pct_cn"),
-        _pct(F.col("situacao_norm") == "Promulgada").alias("pct_promulgada"),
+    """The eight headline numbers (one row).
+
+    The base is first counted by year and member, without distinct counts; those run on that aggregate, so the rows of
+    the base are not multiplied for them.
+    """
+    cells = (d.groupBy("ano_int", F.when(F.col("e_parlamentar"), F.col("parlamentar")).alias("membro"))
+             .agg(F.count(F.lit(1)).alias("n"),
+                  F.count_if(F.col("origem") == "CD").alias("cd"),
+                  F.count_if(F.col("origem") == "SF").alias("sf"),
+                  F.count_if(F.col("origem") == "CN").alias("cn"),
+                  F.count_if(F.col("situacao_norm") == "Promulgada").alias("promulgada"),
+                  F.count_if(F.col("e_parlamentar")).alias("de_membros"),
+                  F.count_if((F.col("tipo") == "SUG") | text.contains_or_false("tipo_autor", "Popular")).alias("popular"),
+                  F.count_if(F.col("tipo") == "MPV").alias("mpv")))
+    total, n_parl = F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("membro")
+    return cells.agg(
+        total.alias("total"),
+        F.round(total / F.greatest(F.count_distinct("ano_int"), F.lit(1)), ROUND).alias("media_ano"),
+        _pct("cd").alias("pct_cd"), _pct("sf").alias("pct_sf"), _pct("cn").alias("pct_cn"),
+        _pct("promulgada").alias("pct_promulgada"),
         n_parl.alias("n_parlamentares"),
-        F.round(F.try_divide(F.count_if(F.col("e_parlamentar")), F.nullif(n_parl, F.lit(0))),
-                ROUND).alias("por_parlamentar"),
-        _pct(popular).alias("pct_popular"),
-        _pct(F.col("tipo") == "MPV").alias("pct_mpv"),
+        F.round(F.try_divide(F.sum("de_membros"), F.nullif(n_parl, F.lit(0))), ROUND).alias("por_parlamentar"),
+        _pct("popular").alias("pct_popular"), _pct("mpv").alias("pct_mpv"),
     )
 
 
@@ -95,7 +105,8 @@ def type_mix(d: DataFrame, k: int = 5) -> DataFrame:
 
     One aggregate over the base; the top-k and the relabelling run on it.
     """
-    cells = d.dropna(subset=["legislatura", "tipo"]).groupBy("legislatura", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    cells = written(d.dropna(subset=["legislatura", "tipo"]).groupBy("legislatura", "tipo").agg(F.count(F.lit(1)).alias("n")),
+                    "type-mix")
     top = (cells.groupBy("tipo").agg(F.sum("n").alias("_t"))
            .orderBy(F.desc("_t"), F.asc("tipo")).limit(k).select(F.col("tipo").alias("_top")))
     tp = F.when(F.col("_top").isNotNull(), F.col("tipo")).otherwise(F.lit(vocab.OTHERS))
@@ -122,7 +133,7 @@ def party_author_tree(d: DataFrame, n_groups: int = 10, n_items: int = 10) -> Da
               .groupBy("partido", "parlamentar").agg(F.sum("n").cast("bigint").alias("n")))
     counts = exclude_institutional(counts, "partido")
     counts = counts.withColumn("parlamentar", text.person_name("parlamentar", drop_parentheses=False))
-    return ranking.tree_top_n(counts, "partido", "parlamentar", "n", n_groups, n_items)
+    return ranking.tree_top_n(written(counts, "party-author"), "partido", "parlamentar", "n", n_groups, n_items)
 
 
 def by_state(d: DataFrame) -> DataFrame:
@@ -162,7 +173,7 @@ def party_term_matrix(d: DataFrame, k: int = 12) -> DataFrame:
     Long form over the terms present, zero-filled: (p_plot, termo_busca, n, row_total, col_total).  Token ranking
     counts every token of the author text; rows go to their first token.  Both come from one aggregate over the base.
     """
-    cells = _author_cells(d, "termo_busca").dropna(subset=["termo_busca"])
+    cells = written(_author_cells(d, "termo_busca").dropna(subset=["termo_busca"]), "party-term")
     tok = (cells.select(F.explode(text.tokens("tipo_autor")).alias("_tok"), "n")
            .groupBy("_tok").agg(F.sum("n").alias("_t")))
     top = exclude_institutional(tok.orderBy(F.desc("_t"), F.asc("_tok")).limit(k), "_tok").select("_tok")
@@ -182,8 +193,8 @@ def party_term_matrix(d: DataFrame, k: int = 12) -> DataFrame:
 
 def party_type_flow(d: DataFrame, k_parties: int = 8, k_types: int = 6) -> DataFrame:
     """Party -> type edges among the top parties (institutions removed after the cut) and top types."""
-    cells = (_author_cells(d, "tipo").groupBy(text.first_token("tipo_autor").alias("p_sk"), "tipo")
-             .agg(F.sum("n").cast("bigint").alias("n")))
+    cells = written(_author_cells(d, "tipo").groupBy(text.first_token("tipo_autor").alias("p_sk"), "tipo")
+                    .agg(F.sum("n").cast("bigint").alias("n")), "party-type")
     top_p = exclude_institutional(
         cells.groupBy("p_sk").agg(F.sum("n").alias("_t")).orderBy(F.desc("_t"), F.asc("p_sk")).limit(k_parties),
         "p_sk")
@@ -279,19 +290,19 @@ def facet_options(d: DataFrame) -> DataFrame:
 def stage_summary(scored: DataFrame) -> DataFrame:
     """Stage summaries in long form (resumo, chave, n).
 
-    Value counts of status label, decision, category and band in one pass
-    (explode of (summary, key) pairs, partial aggregation), plus score coverage.
+    Value counts of status label, decision, category and band and the score coverage in one pass (explode of
+    (summary, key, count) triples, partial aggregation); no rows give two coverage rows of 0.
     """
-    def pair(name, c):
-        return F.struct(F.lit(name).alias("resumo"), F.coalesce(F.col(c).cast("string"), F.lit("")).alias("chave"))
-
-    pairs = F.array(pair("situacao_norm", "situacao_norm"), pair("llm_decisao", "llm_decisao"),
-                    pair("llm_categoria", "llm_categoria"), pair("espectro", "espectro"))
-    counts = (scored.select(F.explode(pairs).alias("p"))
-              .groupBy("p.resumo", "p.chave").agg(F.count(F.lit(1)).alias("n")))
-    coverage = scored.agg(F.count("score_lr").alias("a"), F.count("llm_nota").alias("b"))
-    coverage = coverage.select(F.explode(F.array(
-        F.struct(F.lit("cobertura").alias("resumo"), F.lit("com_score").alias("chave"), F.col("a").alias("n")),
-        F.struct(F.lit("avaliacao").alias("resumo"), F.lit("com_nota").alias("chave"), F.col("b").alias("n")))
-    ).alias("c")).select("c.*")
-    return counts.unionByName(coverage)
+    def counted(name, key, n=F.lit(1)):
+        return F.struct(F.lit(name).alias("resumo"), key.alias("chave"), n.cast("bigint").alias("n"))
+
+    def value(c):
+        return counted(c, F.coalesce(F.col(c).cast("string"), F.lit("")))
+
+    triples = F.array(value("situacao_norm"), value("llm_decisao"), value("llm_categoria"), value("espectro"),
+                      counted("cobertura", F.lit("com_score"), F.col("score_lr").isNotNull()),
+                      counted("avaliacao", F.lit("com_nota"), F.col("llm_nota").isNotNull()))
+    none = scored.sparkSession.sql("SELECT * FROM VALUES ('cobertura', 'com_score', 0L), ('avaliacao', 'com_nota', 0L) "
+                                   "AS t(resumo, chave, n)")
+    return (scored.select(F.inline(triples)).unionByName(none)
+            .groupBy("resumo", "chave").agg(F.sum("n").alias("n")))

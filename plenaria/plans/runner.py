@@ -18,6 +18,14 @@ from plenaria.plans import consolidate, ideology, scoring, status
 from plenaria.sources import stages
 
 
+def final_plan(raw: DataFrame, status_source: DataFrame, attempts: DataFrame, survey: DataFrame,
+               key: str = "id_interno") -> DataFrame:
+    """The four stages of :func:`run` as one plan, without stage tables (for inputs that are scored at once)."""
+    s2 = status.enrich_status(consolidate.consolidate(raw), status_source, key)
+    scores = scoring.first_scored(scoring.parse_attempts(attempts, key=key), key=key)
+    return ideology.enrich_ideology(s2.join(scores, key, "left"), ideology.survey_scores(survey))
+
+
 @dataclass
 class StageLayout:
     root: str

@@ -89,6 +89,21 @@ def resume(previous: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
     return out.select(*previous.columns, "retomado")
 
 
+def scored_with_retries(keys: DataFrame, parsed: DataFrame, key: str, attempt: str = "attempt",
+                        max_attempts: int = vocab.MAX_ATTEMPTS) -> DataFrame:
+    """``keys`` after a first run (attempt 1) and a resumed one (first success of all attempts): the result of
+    :func:`resume` on both, with every response parsed once and one aggregate per key."""
+    def best(cond):
+        return F.min(F.when(cond, F.struct(F.col("llm_nota").isNull().alias("failed"), attempt, *SCORE_COLUMNS)))
+
+    history = parsed.groupBy(key).agg(best(F.col(attempt) == 1).alias("_first"),
+                                      best(F.col(attempt) <= max_attempts).alias("_best"))
+    out = keys.join(history, key, "left").withColumn("retomado", F.col("_first.llm_nota").isNull())
+    take = F.col("retomado") & F.col("_best.llm_nota").isNotNull()
+    return out.select(*keys.columns, *[F.when(take, F.col(f"_best.{c}")).otherwise(F.col(f"_first.{c}")).alias(c)
+                                       for c in SCORE_COLUMNS], "retomado")
+
+
 def pending(stage3: DataFrame) -> DataFrame:
     """Rows still to be scored (one definition of pending: null score)."""
     return stage3.filter(F.col("llm_nota").isNull())

@@ -146,6 +146,38 @@ SELECT o_orderkey AS pagina,
 FROM @@orders
 """
 
+#: A proposal's Senate process id is this plus its sequence number, as in the proposals view.
+PROCESS_ID_BASE = 700000
+
+# One Senate process list per order: an array of one or two processes, a bare object, or a malformed response.
+_SENATE_DOCS = "Projeto de Lei Ordinária#Projeto de Lei do Senado#Requerimento#Sugestão#Medida Provisória"
+_SENATE_CONTENT = "Norma Geral#Comunicações#Norma Jurídica"
+_SENATE_AUTHORS = ("Senador Zé da Silva (UNIÃO/SP)#Senadora Ana (PT/BA)#Presidência da República#Comissão de Assuntos Sociais#"
+                   "Câmara dos Deputados#STF")
+
+
+def _process(key: str, summary: str) -> str:
+    return f"""concat('{{"id":', CAST({PROCESS_ID_BASE} + {key} AS STRING), ',"codigoMateria":', CAST({key} AS STRING),
+      ',"tipoDocumento":"', split_part('{_SENATE_DOCS}', '#', CAST(1 + o_orderkey % 5 AS INT)),
+      '","tipoConteudo":"', split_part('{_SENATE_CONTENT}', '#', CAST(1 + o_custkey % 3 AS INT)),
+      CASE WHEN o_orderkey % 4 = 0 THEN '","casaIdentificadora":"CN' ELSE '' END,
+      '","identificacao":"PLS ', CAST({key} AS STRING), '/', CAST(1988 + o_orderkey % 38 AS STRING),
+      '","dataApresentacao":"', CAST(1988 + o_orderkey % 38 AS STRING), '-03-15","ementa":"', {summary},
+      '","autoria":"', split_part('{_SENATE_AUTHORS}', '#', CAST(1 + o_custkey % 6 AS INT)), '"}}')"""
+
+
+_SUMMARY = f"""CASE o_custkey % 4 WHEN 0 THEN 'Outro tema' ELSE concat('  Dispõe sobre ',
+      split_part('{_TERMS}', '#', CAST(1 + o_custkey % 12 AS INT)), ' ') END"""
+
+PROCESSES_RAW = f"""
+SELECT CASE o_orderkey % 7 WHEN 0 THEN 'erro' WHEN 1 THEN '[]'
+    WHEN 2 THEN {_process("o_orderkey", _SUMMARY)}
+    WHEN 3 THEN concat('[', {_process("o_orderkey", _SUMMARY)}, ',',
+                       {_process("o_orderkey", "'Sobre a EXTREMA POBREZA'")}, ']')
+    ELSE concat('[', {_process("o_orderkey", _SUMMARY)}, ']') END AS raw
+FROM @@orders
+"""
+
 DETAIL_RAW = """
 SELECT o_orderkey AS seq,
   CASE o_orderkey % 4 WHEN 0 THEN '{"conteudo":{"assuntoGeral":"Social","assuntoEspecifico":null},"documento":{"indexacao":"RENDA, POBREZA"}}'
@@ -164,6 +196,7 @@ VIEWS = {
     "captura_detalhe": CAPTURE_DETAIL,
     "pagina_raw": PAGE_RAW,
     "detalhe_raw": DETAIL_RAW,
+    "processos_raw": PROCESSES_RAW,
 }
 
 SPARK_VIEWS = {"attempts": ATTEMPTS_SPARK}

@@ -8,6 +8,9 @@ executor and the driver share (the same kind of place as
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,6 +47,22 @@ def read_stage(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.
+
+    For a small aggregate that the rest of a plan refers to several times: its base is evaluated once, whatever its
+    size, and the lineage is cut.  Only a session that names no shared folder (a local test) gets a temporary one.
+    """
+    spark = df.sparkSession
+    root = checkpoint_dir(spark)
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plenaria-ckpt-"))
+        root = checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/plenaria/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, if the session names one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

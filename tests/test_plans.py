@@ -44,3 +44,14 @@ def test_scans_read_only_needed_columns(spark):
     plan = _plan(QUERIES["exclude_subject"](spark, SF))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
+
+
+@pytest.mark.parametrize("name", ["type_mix", "party_author_tree", "party_term_matrix", "party_type_flow"])
+def test_views_that_reread_their_counts_compute_the_base_once(spark, name):
+    # the base is evaluated into the written counts; what is left reads only them
+    assert "orders" not in _plan(QUERIES[name](spark, SF))
+
+
+def test_resumed_scores_parse_each_response_once(spark):
+    plan = _plan(QUERIES["score_resume"](spark, SF))
+    assert plan.count("orders.parquet") == 2      # the keys and the responses

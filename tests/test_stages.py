@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from plenaria.catalog import proposals, status_source
-from plenaria.plans import collect, runner, scoring
+from plenaria.plans import collect, mart, runner, scoring
 from plenaria.sources import bridge, stages, survey
 from plenaria.streaming import incremental
 
@@ -178,3 +178,36 @@ def test_read_landing_files(spark):
     pages = landing.read_landing(spark, d, key="pagina")
     recs = landing.chamber_records(pages, keep=("pagina",))
     assert [(r["id_interno"], r["tipo"], r["ano"]) for r in recs.collect()] == [("7", "PEC", "1999")]
+
+
+def test_resumed_scores_equal_the_merge_of_two_runs(spark):
+    import random
+    rng = random.Random(4)
+    said = ["erro", '{"nota": 3}', '{"nota": 8}', '{"nota": null}', '{"categoria": "x"}']
+    rows = [(k, a, rng.choice(said)) for k in range(60) for a in range(1, 5) if rng.random() < 0.7]
+    parsed = scoring.parse_attempts(spark.createDataFrame(rows, "seq long, attempt int, raw string"))
+    keys = spark.range(60).withColumnRenamed("id", "seq")
+    previous = keys.join(scoring.first_scored(parsed.filter(F.col("attempt") == 1)), "seq", "left")
+    fresh = scoring.first_scored(parsed.join(scoring.pending(previous).select("seq"), "seq", "left_semi"))
+    assert _rows(scoring.scored_with_retries(keys, parsed, "seq")) == _rows(scoring.resume(previous, fresh, "seq"))
+
+
+def test_houses_unite_and_feed_the_chain(spark):
+    p = proposals(spark, SF)
+    senate = p.filter(F.col("origem") != "CD").drop("nota_bruta")
+    both = collect.both_houses(p.filter(F.col("origem") == "CD"), senate)
+    assert both.count() == p.count() and both.filter(F.col("nota_bruta").isNull()).count() == senate.count()
+
+
+def test_kpis_with_nulls_and_summary_of_nothing(spark):
+    base = spark.createDataFrame(
+        [("CD", "PL", 2001, "PT", "Ana", True, "Promulgada"), ("SF", "SUG", 2001, "Popular; Comissão", None, False, None),
+         ("CD", "MPV", None, "PT", None, True, "Arquivada"), (None, None, 2002, None, "Bia", False, "Arquivada")],
+        "origem string, tipo string, ano_int int, tipo_autor string, parlamentar string, e_parlamentar boolean, situacao_norm string")
+    k = mart.kpis(base).first()
+    assert (k["total"], k["media_ano"], k["pct_cd"], k["pct_sf"], k["pct_cn"]) == (4, 2.0, 50.0, 25.0, 0.0)
+    assert (k["n_parlamentares"], k["por_parlamentar"], k["pct_promulgada"]) == (1, 2.0, 25.0)
+    assert (k["pct_popular"], k["pct_mpv"]) == (25.0, 25.0)
+    none = spark.createDataFrame([], "situacao_norm string, llm_decisao string, llm_categoria string, espectro string, "
+                                     "score_lr double, llm_nota double")
+    assert _rows(mart.stage_summary(none)) == [("avaliacao", "com_nota", 0), ("cobertura", "com_score", 0)]

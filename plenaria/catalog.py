@@ -96,8 +96,7 @@ def q_worklist(spark, d):
 
 def q_term_match_first(spark, d):
     docs = bridge.table(spark, d, "documents")
-    return (docs.select("doc_id", term_match.first_term("text", DOCUMENT_TERMS).alias("termo"))
-            .filter(F.col("termo").isNotNull()))
+    return term_match.with_first_term(docs.select("doc_id", "text"), "text", DOCUMENT_TERMS).select("doc_id", "termo")
 
 
 def q_term_match_all(spark, d):

@@ -35,6 +35,16 @@ def first_term(text, terms) -> Column:
     return F.nullif(F.lower(found), F.lit(""))
 
 
+def with_first_term(df: DataFrame, text: str, terms, out: str = "termo") -> DataFrame:
+    """The rows that match a term, with their first one.
+
+    A filter on a projected match is pushed below the projection and searches every text again; a generator's
+    output cannot be, so each text is searched once.
+    """
+    found = F.array(F.lower(F.regexp_extract(col(text), term_pattern(terms), 0)))
+    return df.withColumn(out, F.explode(found)).filter(F.col(out) != "")
+
+
 def all_terms(df: DataFrame, text: str, terms, keep: list[str], out: str = "termo") -> DataFrame:
     """One row per (row, term occurrence): every non-overlapping match, lower-cased."""
     hits = F.regexp_extract_all(col(text), F.lit(term_pattern(terms)), 0)

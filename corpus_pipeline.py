@@ -28,10 +28,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     groups = jaccard_join.joined(docs, NEAR_WORDS, NEAR_PERCENT)
     rest = written(groups.where(F.col("n_shingles") > 0), "pipeline-groups")
     # a component's first row: smallest id, then smallest text hash; documents without words are no one's copies
-    first = rest.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
-                                             .alias("first"))
-    first = first.select(F.col("component_id").alias("c"), "first.*").withColumnsRenamed({"doc_id": "f_id", "text_hash": "f_hash"})
-    gone = (rest.join(first, F.col("component_id").eqNullSafe(F.col("c")))
+    first = rest.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+                                          .alias("first"))
+    first = first.select("component", F.col("first.doc_id").alias("f_id"), F.col("first.text_hash").alias("f_hash"))
+    gone = (rest.join(first, "component")
             .where(~F.col("doc_id").eqNullSafe(F.col("f_id")) | (F.col("text_hash") != F.col("f_hash"))))
     again = (rest.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).limit(1).count() > 0)
     kept = drop_rows(docs, gone.select("doc_id", "text_hash"))

@@ -268,7 +268,9 @@ def open_rows(shared: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataF
 
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, n_shingles, component_id for every row; component_id is the smallest doc_id reachable by links."""
+    """doc_id, text_hash, n_shingles, component_id, component for every row; component_id is the smallest doc_id reachable
+    by links, component the smallest fingerprint (null for an empty set).  Only component tells groups apart: null and
+    repeated ids can give several groups one component_id."""
     rows = written(signed(docs, words, id_col, text_col), "jaccard-sets")
     some = rows.where(F.col("fp").isNotNull())
     classes = some.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("held"),
@@ -318,10 +320,10 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     named = (classes.select("fp", "first_id").join(parts.withColumnRenamed("node", "fp"), "fp", "left")
              .select("fp", "first_id", F.coalesce("component", "fp").alias("component")))
     lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(lowest, "component").select(F.col("fp").alias("c_fp"), F.col("component_id").alias("c_id"))
+    named = named.join(lowest, "component").select(F.col("fp").alias("c_fp"), F.col("component_id").alias("c_id"), "component")
     return (rows.join(named, F.col("fp") == F.col("c_fp"), "left")
             .select("doc_id", "text_hash", "n_shingles",
-                    F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("c_id")).alias("component_id")))
+                    F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("c_id")).alias("component_id"), "component"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

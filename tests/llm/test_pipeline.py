@@ -58,3 +58,15 @@ def test_stages_take_an_empty_table(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_with_null_and_repeated_ids(spark):
+    rng = random.Random(3)
+    texts = [words(rng, 60) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6]]                            # unrelated, none with an id
+    rows += [(7, texts[6]), (7, texts[7])]                           # unrelated, one id
+    rows += [(8, texts[8]), (8, texts[9])]                           # two groups whose smallest id is the same
+    copies = [(9, texts[8] + " more"), (None, texts[9] + " more"), (None, texts[0])]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string")
+    kept = corpus_pipeline.without_near_copies(spark, docs, "")
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(rows)

@@ -2,7 +2,8 @@
 
 ``STAGES`` are (name, function) pairs; each function takes (spark, docs, sf_dir) and returns a DataFrame, which
 is written as Parquet and reread as the next one's docs.  All but the last return the columns of documents, whatever
-they are; the last adds the shard.  Rows are known by id and text, so null and repeated ids are safe.
+they are; the last adds the shard and puts the rows of a shard in the order of the mixture.  ``run`` also returns
+each row's slot and seq in the mixture.  Rows are known by id and text, so null and repeated ids are safe.
 """
 
 from __future__ import annotations
@@ -48,12 +49,22 @@ def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_order(docs, mixing.SHARES, mixing.OTHER_SHARE)
 
 
-def in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their shard."""
-    name = "shard"
+def free_name(docs: DataFrame, name: str) -> str:
     while name in docs.columns:
         name += "_"
-    return sharding.assigned(docs, shard_col=name)
+    return name
+
+
+def placed(docs: DataFrame) -> DataFrame:
+    """All documents with their shard and their slot and seq in the mixture, ordered by these three."""
+    shard, slot, seq = (free_name(docs, name) for name in ("shard", "slot", "seq"))
+    rows = mixing.with_place(sharding.assigned(docs, shard_col=shard), mixing.SHARES, mixing.OTHER_SHARE, slot, seq)
+    return rows.repartitionByRange(shard, slot, seq).sortWithinPartitions(shard, slot, seq)
+
+
+def in_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents with their shard, the rows of a shard in the order of the mixture."""
+    return placed(docs).select(*docs.columns, free_name(docs, "shard"))
 
 
 STAGES = [
@@ -69,7 +80,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are left, with shard, slot and seq: ordered by slot and seq, a shard follows the mixture.  The
+    order of files is not one that a reader must keep, so the places are columns here."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return written(placed(docs), "pipeline-shards")

@@ -119,16 +119,24 @@ def mix(docs: DataFrame, shares: dict[str, int], other_share: int, block_size: i
                     (F.col("at") % F.lit(block_size)).cast("long").alias("seq")))
 
 
-def mixed_order(docs: DataFrame, shares: dict[str, int], other_share: int, **options) -> DataFrame:
-    """The rows as they are, sorted into the order of the mixture: partition by partition, file by file when written.
-    Equal rows stand together."""
+def with_place(docs: DataFrame, shares: dict[str, int], other_share: int, slot_col: str = "slot", seq_col: str = "seq",
+               **options) -> DataFrame:
+    """The rows as they are, with their slot and seq in the mixture after all other columns.  Equal rows have the first
+    of their places."""
     place = (mix(docs, shares, other_share, **options).groupBy("doc_id", "text_hash")
              .agg(F.min(F.struct("slot", "seq")).alias("__place"))
              .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__place"))
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     joined = docs.join(place, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash")))
-    return (joined.repartitionByRange(F.col("__place")).sortWithinPartitions("__place")
-            .select(*(docs[c] for c in docs.columns)))
+    return joined.select(*(docs[c] for c in docs.columns), F.col("__place.slot").alias(slot_col),
+                         F.col("__place.seq").alias(seq_col))
+
+
+def mixed_order(docs: DataFrame, shares: dict[str, int], other_share: int, **options) -> DataFrame:
+    """The rows as they are, sorted into the order of the mixture: partition by partition, file by file when written.
+    Equal rows stand together."""
+    return (with_place(docs, shares, other_share, "__slot", "__seq", **options)
+            .repartitionByRange("__slot", "__seq").sortWithinPartitions("__slot", "__seq").drop("__slot", "__seq"))
 
 
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -70,3 +70,25 @@ def test_near_copies_with_null_and_repeated_ids(spark):
     docs = spark.createDataFrame(rows + copies, "doc_id long, text string")
     kept = corpus_pipeline.without_near_copies(spark, docs, "")
     assert Counter(tuple(r) for r in kept.collect()) == Counter(rows)
+
+
+def test_mixture_reaches_the_result(spark, tmp_path, monkeypatch):
+    rng = random.Random(4)
+    docs = [(i, words(rng, rng.randint(20, 60)), "en", rng.choice(["src0", "src0", "src1", "z"]), 0) for i in range(240)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").withColumn("slot", F.lit("own"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    monkeypatch.setattr(mixing.mix, "__defaults__", (1000, *mixing.mix.__defaults__[1:]))     # small blocks for a small corpus
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == [*docs.columns, "shard", "slot_", "seq"]
+    rows = got.collect()
+    plan = {r["doc_id"]: (r["slot"], r["seq"]) for r in mixing.mix(got.select(docs.columns), mixing.SHARES, mixing.OTHER_SHARE).collect()}
+    assert len(rows) == 240 and {r["doc_id"]: (r["slot_"], r["seq"]) for r in rows} == plan
+    assert len({r["slot_"] for r in rows}) > 20
+
+    # the last stage has no column for it: there the files hold each shard's rows in that order
+    corpus_pipeline.in_shards(spark, got.select(docs.columns), "").write.parquet(str(tmp_path / "out"))
+    import pyarrow.parquet as pq
+    files = [pq.read_table(f) for f in sorted(p for p in (tmp_path / "out").iterdir() if p.suffix == ".parquet")]
+    order = [(s, *plan[i]) for f in files for s, i in zip(f["shard"].to_pylist(), f["doc_id"].to_pylist())]
+    assert len(order) == 240 and order == sorted(order)

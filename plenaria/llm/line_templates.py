@@ -5,7 +5,8 @@ next LEAD levels the leading tokens, tokens with digits being variable from the
 token stays constant at its position if lines of MIN_DOCS documents or more have it there, else the position is
 variable for the line; what results is the line's template.  A template counts if SIMILARITY of its tokens are
 constant.  Lines whose template recurs in MIN_DOCS documents or more (equal texts count as one document) are
-dropped from all of them.
+dropped from all of them.  A line of more than LONG_WORDS words is no chance repetition: it is dropped from LONG_DOCS
+documents on.
 
 The original grows its templates line by line; here all levels are grouped counts, so the result does not
 depend on the order of the lines and no leaf meets in one task.  Most lines are settled by one narrow row each (leaf and
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from plenaria.llm.common import broadcast_if_small, in_slices, ship, table, written
 
 MIN_DOCS = 10
+LONG_WORDS, LONG_DOCS = 50, 2    # a line of more words recurs from so many documents on
 LEAD = 3
 SIMILARITY = 0.7
 
@@ -44,27 +46,29 @@ def parsed(line: str) -> list[str]:
 
 
 def lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, place, leaf, line (hashes) for every line that is not blank."""
+    """doc_id, text_hash, place, leaf, line (hashes), words for every line that is not blank."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in in_slices(batches):
-            at, places, leaves, found = [], [], [], []
+            at, places, leaves, found, sizes = [], [], [], [], []
             for row, text in enumerate(b["text"]):
                 for place, line in enumerate(text.split("\n") if text else ()):
                     tokens = parsed(line)
                     if tokens:
                         at.append(row)
                         places.append(place)
+                        sizes.append(len(tokens))
                         leaves.append(xxhash.xxh3_64_intdigest(f"{len(tokens)} {' '.join(tokens[:LEAD])}".encode()))
                         found.append(xxhash.xxh3_64_intdigest(" ".join(tokens).encode()))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64").iloc[at].to_numpy() if at else [],
                                 "text_hash": b["text_hash"].iloc[at].to_numpy(), "place": places,
                                 "leaf": np.array(leaves, dtype=np.uint64).view(np.int64),
-                                "line": np.array(found, dtype=np.uint64).view(np.int64)}).astype({"doc_id": "Int64", "place": "int32"})
+                                "line": np.array(found, dtype=np.uint64).view(np.int64),
+                                "words": sizes}).astype({"doc_id": "Int64", "place": "int32", "words": "int32"})
 
-    return rows.mapInPandas(keys, "doc_id long, text_hash long, place int, leaf long, line long")
+    return rows.mapInPandas(keys, "doc_id long, text_hash long, place int, leaf long, line long, words int")
 
 
 def tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,12 +90,13 @@ def tokens_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, similarity: float = SIMILARITY, id_col: str = "doc_id",
-              text_col: str = "text") -> DataFrame:
+              text_col: str = "text", long_words: int = LONG_WORDS, long_docs: int = LONG_DOCS) -> DataFrame:
     """doc_id, text_hash, places: the lines to drop, by row."""
     keys = written(lines(docs, id_col, text_col), "line-keys")
-    once = keys.select("leaf", "line", "text_hash").distinct()
-    counted = written(once.groupBy("leaf", "line").agg(F.count("*").alias("docs")), "line-counts")
-    often = counted.where(F.col("docs") >= min_docs).select("line")
+    once = keys.select("leaf", "line", "words", "text_hash").distinct()
+    counted = written(once.groupBy("leaf", "line", "words").agg(F.count("*").alias("docs")), "line-counts")
+    long = (F.col("words") > long_words) & (F.col("docs") >= long_docs)
+    often = counted.where((F.col("docs") >= min_docs) | long).select("line")
 
     # lines that do not recur themselves, in leaves where enough such lines are
     rare = counted.where(F.col("docs") < min_docs)

@@ -322,6 +322,15 @@ def test_line_templates_match_brute_force(spark, none):
     assert line_templates.cleaned(none).count() == 0
 
 
+def test_long_lines_recur_from_two_texts_on(spark):
+    rng = random.Random(21)
+    passage, at_most = words(rng, line_templates.LONG_WORDS + 1), words(rng, line_templates.LONG_WORDS)
+    docs = [(1, f"{passage}\none here"), (2, f"and two here\n{passage}\n{at_most}"), (3, f"three now\n{at_most}"),
+            (4, words(rng, 60)), (5, twice := words(rng, 60)), (6, twice)]        # exact copies are one text
+    got = {r["doc_id"]: (r["n_dropped"], r["text"]) for r in line_templates.cleaned(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (1, "one here"), 2: (1, f"and two here\n{at_most}")} | {i: (0, t) for i, t in docs[2:]}
+
+
 # -- op 8
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -331,6 +331,53 @@ def test_long_lines_recur_from_two_texts_on(spark):
     assert got == {1: (1, "one here"), 2: (1, f"and two here\n{at_most}")} | {i: (0, t) for i, t in docs[2:]}
 
 
+def test_templates_count_over_all_lines_of_a_leaf(spark):
+    rng = random.Random(22)
+    footer = "all rights are kept by the house of one press and print".split()
+    docs = []
+
+    def add(line):
+        docs.append((len(docs), f"{words(rng, 7)} {len(docs)}\n{' '.join(line)}"))
+
+    for _ in range(30):
+        add(footer)
+    for i in range(9):                                         # one other word, the same in all: 39 texts have the template
+        add([*footer[:8], "two", *footer[9:]])
+    for i in range(3):                                         # two other words
+        add([*footer[:7], f"x{'abc'[i]}", "of", *footer[9:]])
+    for i in range(4):                                         # too few constant tokens
+        add([*footer[:3], *words(rng, 8).split(), footer[-1]])
+    for i in range(6):                                         # leaf of 12 texts in which nothing recurs by itself
+        add("see also the pages on red".split())
+        add("see also the pages on blue".split())
+    for i in range(3):                                         # and one of 9 texts
+        for colour in ("red", "blue", "green"):
+            add(f"look up all pages on {colour}".split())
+    for _ in range(150):
+        add([rng.choice("pq"), "a", "b", *(rng.choice("cccccccde") + rng.choice("fffg") for _ in range(5))])
+    low, texts = line_templates.MIN_DOCS, defaultdict(set)
+    for _, t in docs:
+        for line in t.split("\n"):
+            texts[tuple(line_templates.parsed(line))].add(t)
+    often = {k for k, v in texts.items() if len(v) >= low}
+    gone, template, spread = set(often), {}, defaultdict(set)
+    for k in texts:
+        like = [x for x in texts if (len(x), x[:line_templates.LEAD]) == (len(k), k[:line_templates.LEAD])]
+        fixed = [j for j, x in enumerate(k) if x != "<*>" and sum(len(texts[y]) for y in like if y[j] == x) >= low]
+        if len(like) > 1 and len(fixed) >= line_templates.SIMILARITY * len(k):
+            template[k] = len(k), k[:line_templates.LEAD], tuple((j, k[j]) for j in fixed)
+            for y in like:
+                if y == k or y in often and all(y[j] == k[j] for j in fixed):
+                    spread[template[k]] |= texts[y]
+    gone |= {k for k, t in template.items() if len(spread[t]) >= low}
+    assert (*footer[:8], "two", *footer[9:]) in gone and tuple("see also the pages on red".split()) in gone
+    assert tuple("look up all pages on red".split()) not in gone
+    assert len(gone) < len(texts) - len(docs)                  # the first lines and others stay
+    want = {i: "\n".join(x for x in t.split("\n") if tuple(line_templates.parsed(x)) not in gone) for i, t in docs}
+    got = line_templates.cleaned(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == want
+
+
 # -- op 8
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

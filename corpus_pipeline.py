@@ -46,7 +46,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture."""
-    return mixing.mixed_order(docs, mixing.SHARES, mixing.OTHER_SHARE)
+    return mixing.mixed_order(docs, *mixing.source_shares(docs, mixing.SHARES, mixing.OTHER_SHARE))
 
 
 def free_name(docs: DataFrame, name: str) -> str:
@@ -58,7 +58,8 @@ def free_name(docs: DataFrame, name: str) -> str:
 def placed(docs: DataFrame) -> DataFrame:
     """All documents with their shard and their slot and seq in the mixture, ordered by these three."""
     shard, slot, seq = (free_name(docs, name) for name in ("shard", "slot", "seq"))
-    rows = mixing.with_place(sharding.assigned(docs, shard_col=shard), mixing.SHARES, mixing.OTHER_SHARE, slot, seq)
+    shares = mixing.source_shares(docs, mixing.SHARES, mixing.OTHER_SHARE)
+    rows = mixing.with_place(sharding.assigned(docs, shard_col=shard), *shares, slot, seq)
     return rows.repartitionByRange(shard, slot, seq).sortWithinPartitions(shard, slot, seq)
 
 

@@ -10,8 +10,10 @@ the data is scheduled on the driver.
 When a source runs out, a new phase starts with the shares of the sources that are left; there are at most as many
 phases as sources.  No row is dropped or repeated.
 
-Sources without a share of their own form one more stream, with ``other_share`` (null sources too), so the
-number of streams is bounded by the parameters.  Row order inside a stream follows a hash of the id (ties: id,
+In ``mix``, sources without a share of their own form one more stream, with ``other_share`` (null sources too).
+``source_shares`` gives every source of a table its own share, so that only null sources (and one named like the pool)
+are pooled; the registered query and the pipeline use it.  The schedule on the driver then grows with the number of
+sources, not with the rows.  Row order inside a stream follows a hash of the id (ties: id,
 text hash), by buckets of bounded size whose running sums are added up in a grouped table.
 
 Edge cases: null texts count as one unit; a text longer than a block takes the slots of the blocks that it spans;
@@ -21,6 +23,7 @@ must be a positive whole number.
 
 from __future__ import annotations
 
+import heapq
 import math
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -41,17 +44,28 @@ def period(shares: dict[str, int]) -> list[tuple[str, int]]:
     """One period of the schedule: slot -> (stream, its block within the period), earliest deadline first among the
     released blocks; ties go to the name that sorts first."""
     total = sum(shares.values())
-    done = dict.fromkeys(shares, 0)
-    slots = []
+    due = lambda s, j: (-(-(j + 1) * total // shares[s]), s, j)
+    released, waiting, slots = [], [(0, *due(s, 0)) for s in shares], []
+    heapq.heapify(waiting)
     for t in range(total):
-        ready = [(-(-(done[s] + 1) * total // a), s) for s, a in shares.items()
-                 if done[s] < a and done[s] * total // a <= t]
-        stream = min(ready)[1]
-        slots.append((stream, done[stream]))
-        done[stream] += 1
+        while waiting and waiting[0][0] <= t:
+            heapq.heappush(released, heapq.heappop(waiting)[1:])
+        _, s, j = heapq.heappop(released)
+        slots.append((s, j))
+        if j + 1 < shares[s]:
+            heapq.heappush(waiting, ((j + 1) * total // shares[s], *due(s, j + 1)))
     return slots
 
 
+def source_shares(docs: DataFrame, shares: dict[str, int], other_share: int, source_col: str = "source") -> tuple[dict[str, int], int]:
+    """Shares for ``mix`` in which every source of the table has its own: the listed ones theirs, all others equal parts of
+    ``other_share``, null sources one such part.  Returned with that part, as whole numbers in the same proportions."""
+    found = [r[0] for r in docs.groupBy(source_col).count().collect()]      # a row per source
+    others = sorted(s for s in found if s is not None and s not in shares and s != OTHER)
+    parts = len(others) + (None in found or OTHER in found) or 1
+    return {s: a * parts for s, a in shares.items()} | dict.fromkeys(others, other_share), other_share
+
+
 def phases(blocks: dict[str, int], shares: dict[str, int]) -> list[dict]:
     """The phases of the schedule for streams of ``blocks`` blocks: per stream the first block and slot of the phase
     and its slots within a period.  At most one phase per stream, each over one period."""
@@ -140,4 +154,5 @@ def mixed_order(docs: DataFrame, shares: dict[str, int], other_share: int, **opt
 
 
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), SHARES, OTHER_SHARE)
+    docs = table(spark, sf_dir, "documents")
+    return mix(docs, *source_shares(docs, SHARES, OTHER_SHARE))

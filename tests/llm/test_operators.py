@@ -69,6 +69,25 @@ def test_mixture_is_whole_and_near_its_weights(spark, unit):
         assert max(by_slot) + 1 == len(by_slot)      # no slot stays empty
 
 
+def test_every_source_has_its_own_share(spark, none, tmp_path):
+    rng = random.Random(31)
+    names = ["src0", "src1", *(f"n{i}" for i in range(6)), None]
+    rows = [(i, "t" * 50_000, rng.choice(["n0"] * 4 + names), "en") for i in range(600)]
+    docs = spark.createDataFrame(rows, DOC)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    weight, other = mixing.source_shares(docs, {"src0": 6, "src1": 3}, 14)
+    assert weight == {"src0": 42, "src1": 21} | {f"n{i}": 14 for i in range(6)} and other == 14
+    weight[mixing.OTHER] = other
+    got = mixing.mix(docs, {s: a for s, a in weight.items() if s != mixing.OTHER}, other, 1, "rows").collect()
+    assert {(r["doc_id"], r["stream"]) for r in got} == {(i, s or mixing.OTHER) for i, _, s, _ in rows}
+    count = Counter()
+    for t, r in enumerate(sorted((r for r in got if r["phase"] == 0), key=lambda r: r["slot"]), 1):
+        count[r["stream"]] += 1
+        assert all(abs(count[s] * sum(weight.values()) - a * t) < sum(weight.values()) for s, a in weight.items())
+    assert {r["stream"] for r in mixing.op1_pfair_mix(spark, str(tmp_path)).collect()} == {s or mixing.OTHER for s in names}
+    assert mixing.mix(none, *mixing.source_shares(none, {"a": 1}, 1)).count() == 0
+
+
 def test_mixture_edge_cases(spark, hostile, none):
     assert mixing.mix(hostile, {"a": 1}, 1).count() == len(HOSTILE)
     assert mixing.mix(none, {"a": 1}, 1).count() == 0

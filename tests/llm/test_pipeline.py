@@ -82,7 +82,7 @@ def test_mixture_reaches_the_result(spark, tmp_path, monkeypatch):
     got = corpus_pipeline.run(spark, str(tmp_path))
     assert got.columns == [*docs.columns, "shard", "slot_", "seq"]
     rows = got.collect()
-    plan = {r["doc_id"]: (r["slot"], r["seq"]) for r in mixing.mix(got.select(docs.columns), mixing.SHARES, mixing.OTHER_SHARE).collect()}
+    plan = {r["doc_id"]: (r["slot"], r["seq"]) for r in mixing.mix(got.select(docs.columns), *mixing.source_shares(got, mixing.SHARES, mixing.OTHER_SHARE)).collect()}
     assert len(rows) == 240 and {r["doc_id"]: (r["slot_"], r["seq"]) for r in rows} == plan
     assert len({r["slot_"] for r in rows}) > 20
 

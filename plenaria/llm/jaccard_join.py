@@ -13,8 +13,12 @@ Candidates meet in a window over the entries' hash; every link is verified on th
 a set are one class from the start.  Candidates meet under an entry's hash and must pass a bound that never errs: a
 parity sketch of SKETCH bits per set, of which two sets that differ in d shingles differ in d bits at most.  Every
 link is verified on the shingles themselves.  Only components are wanted, so two rounds first verify each class
-against one leader (the one it shares most entries with); then the pairs under an entry that are still in different
-components are verified.  Nothing emits the pairs inside a group of near copies.
+against one leader (the one it shares most entries with).  In entries that more than CROWD classes of different
+components still share, each class counts its own shingles, those of no other crowded class.  Classes with too many of
+them to link with any other go: in a group of near copies that are no links to each other, whose pairs grow with the
+square, this tells each apart by itself.  The rest are verified against the most central class, the one with the smallest
+share of own shingles.  Then the pairs under an entry that are still in different components and that sketches and own
+shingles allow are verified.  Nothing emits the pairs inside a group of near copies.
 
 Words are maximal runs of other bytes than blank, tab, newline, vertical tab, form feed and return, after A-Z are
 lower-cased.  A class is known by a 64-bit fingerprint of its shingle hashes.
@@ -43,10 +47,12 @@ PERCENT = 85
 BAND_RATIO = 1.4
 SEEDS = 3
 SKETCH = 512    # bits, a multiple of 64
+CROWD = 8       # open classes of an entry up to which all their pairs are formed at once
 RARE = 0.01    # share of a band's sets that may need another hash
 
+_BLANK = bytes([9, 10, 11, 12, 13, 32])
 _SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE[list(_BLANK)] = True
 _BASE, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -71,7 +77,7 @@ def _power_table(n: int) -> np.ndarray:
 @np.errstate(over="ignore")
 def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
     """Distinct 64-bit hashes of the text's word shingles."""
-    data = np.frombuffer((text or "").encode().lower(), dtype=np.uint8)
+    data = np.frombuffer((text or "").encode().lower().lstrip(_BLANK), dtype=np.uint8)
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
@@ -79,8 +85,7 @@ def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
     if not n:
         return np.zeros(0, dtype=np.uint64)
     sizes = ends - starts
-    place = np.arange(len(data)) - np.repeat(np.concatenate([[0], starts[1:]]),
-                                             np.diff(np.concatenate([[0], starts[1:], [len(data)]])))
+    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))    # the text starts with a word
     held = inside[1:-1]
     value = np.zeros(len(data), dtype=np.uint64)
     value[held] = (data[held].astype(np.uint64) + np.uint64(1)) * _power_table(int(sizes.max()))[place[held]]
@@ -213,14 +218,20 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
 
 
 def indexed(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFrame:
-    """fp, entry: the index entries of every set.  They are hashed from the texts again rather than kept from
+    """fp, entry: the index entries of every set, of copies in one task only once (a task keeps the fingerprints of its
+    rows), so that a large group of copies is as many rows of an entry as there are tasks at most.  They are hashed from the texts again rather than kept from
     ``signed``: on disk they would take more room than the texts."""
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for b in in_slices(batches):
-            found = [h for h in (shingle_hashes(text, words) for text in b[text_col]) if len(h)]
+            found = {}
+            for text in b[text_col]:
+                h = shingle_hashes(text, words)
+                if len(h) and (fp := fingerprint(h)) not in seen:
+                    seen.add(fp)
+                    found[fp] = entries(h, percent).view(np.int64)
             if found:
-                yield pd.DataFrame({"fp": [fingerprint(h) for h in found],
-                                    "entries": [entries(h, percent).view(np.int64) for h in found]})
+                yield pd.DataFrame({"fp": list(found), "entries": list(found.values())})
 
     return (docs.select(text_col).mapInPandas(index, "fp long, entries array<long>")
             .select("fp", F.explode("entries").alias("entry")))
@@ -266,6 +277,35 @@ def open_rows(shared: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataF
             .join(sketches, "fp"))
 
 
+def favourites(led: DataFrame) -> DataFrame:
+    """a, b: every class b with the leader a that it shares most entries with."""
+    return (led.groupBy("fp", F.col("leader.fp").alias("leader")).agg(F.count("*").alias("n"))
+            .groupBy(F.col("fp").alias("b")).agg(F.max(F.struct("n", "leader")).alias("m"))
+            .select(F.col("m.leader").alias("a"), "b"))
+
+
+def own_shingles(crowded: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """fp, own: how many shingles of each ``crowded`` class (fp) no other of them has."""
+    ship(crowded.sparkSession)
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in in_slices(batches):
+            yield pd.DataFrame({"fp": b["fp"], "shingles": [shingle_hashes(t, words).view(np.int64) for t in b["text"]]})
+
+    own = (texts.join(broadcast_if_small(crowded), "fp", "left_semi").mapInPandas(cut, "fp long, shingles array<long>")
+           .select("fp", F.explode("shingles").alias("shingle"))
+           .groupBy("shingle").agg(F.count("*").alias("n"), F.min("fp").alias("fp"))
+           .where(F.col("n") == 1).groupBy("fp").agg(F.count("*").alias("own")))
+    return crowded.join(own, "fp", "left").select("fp", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def within(x, y, percent: int):
+    """Whether own shingles allow a link: neither side's are common, and the others differ by their number at least.
+    True if one class was in no crowded entry, so that its shingles were not counted (own is null)."""
+    apart = x("own") + y("own") + F.abs(x("n_shingles") - x("own") - y("n_shingles") + y("own"))
+    return F.coalesce(apart * (100 + percent) <= (x("n_shingles") + y("n_shingles")) * (100 - percent), F.lit(True))
+
+
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, component for every row; component_id is the smallest doc_id reachable
@@ -299,20 +339,35 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
                .withColumn("leader", F.min(F.struct("part", "fp", "n_shingles", *BITS)).over(by_entry))
                .where((F.col("part") != F.col("leader.part"))
                       & near(F.col, lambda c: F.col(f"leader.{c}"), percent)))
-        stars = (led.groupBy("fp", F.col("leader.fp").alias("leader")).agg(F.count("*").alias("n"))
-                 .groupBy(F.col("fp").alias("b")).agg(F.max(F.struct("n", "leader")).alias("m"))
-                 .select(F.col("m.leader").alias("a"), "b"))
-        links = written(verified(stars, texts, words).where(is_link).select("a", "b"), "jaccard-stars")
+        links = written(verified(favourites(led), texts, words).where(is_link).select("a", "b"), "jaccard-stars")
         found = links if found is None else found.unionAll(links)
         parts = written(components(found), "jaccard-parts")
 
+    # crowded entries: classes that can link there, against the entry's most central one
+    rest = written(open_rows(shared, parts, sketches).withColumn("crowd", F.count("*").over(by_entry)), "jaccard-open")
+    crowded = written(rest.where(F.col("crowd") > CROWD).select("fp").distinct(), "jaccard-crowded")
+    own = written(own_shingles(crowded, texts, words), "jaccard-own")
+    sketches = sketches.join(own, "fp", "left")
+    least = F.greatest(F.min("n_shingles").over(by_entry), F.col("n_shingles") * percent / 100)    # a partner's size
+    rest = written(rest.join(own, "fp", "left").withColumn("least", least)
+                   .where((F.col("crowd") <= CROWD) | ((100 + percent) * F.col("own")
+                                                       <= 100 * F.col("n_shingles") - percent * F.col("least"))),
+                   "jaccard-linkable")
+    central = F.struct((F.col("own") / F.col("n_shingles")).alias("share"), "fp", "part", "n_shingles", "own", *BITS)
+    led = (rest.where(F.col("crowd") > CROWD).withColumn("leader", F.min(central).over(by_entry))
+           .where((F.col("part") != F.col("leader.part")) & near(F.col, lambda c: F.col(f"leader.{c}"), percent)
+                  & within(F.col, lambda c: F.col(f"leader.{c}"), percent)))
+    links = written(verified(favourites(led), texts, words).where(is_link).select("a", "b"), "jaccard-centres")
+    found = found.unionAll(links)
+    parts = written(components(found), "jaccard-parts")
+
     # what still shares an entry across components
-    rest = written(open_rows(shared, parts, sketches), "jaccard-open")
-    x, y = (rest.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", *BITS)))
+    rest = written(open_rows(rest.select("entry", "fp"), parts, sketches), "jaccard-rest")
+    x, y = (rest.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", "own", *BITS)))
             for side in "xy")
+    pair = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
     rest = (x.join(y, "entry")
-            .where((F.col("x_part") < F.col("y_part"))
-                   & near(lambda c: F.col(f"x_{c}"), lambda c: F.col(f"y_{c}"), percent))
+            .where((F.col("x_part") < F.col("y_part")) & near(*pair, percent) & within(*pair, percent))
             .select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")).distinct())
     more = written(verified(rest, texts, words).where(is_link).select("a", "b"), "jaccard-more")
 

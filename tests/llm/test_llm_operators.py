@@ -3,7 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -517,6 +520,37 @@ def test_jaccard_join_matches_brute_force(spark, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs, n, percent)
 
 
+def test_leading_white_space_does_not_count():
+    code = ("from plenaria.llm.jaccard_join import shingle_hashes as h\n"
+            "for t in (' 9', '\\n' * 10_000 + 'a b c d e f', ' a b c d e f ', '\\t\\v x'):\n"
+            "    assert list(h(t)) == list(h(t.strip())) and len(h(t)), t\n")
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(jaccard_join.__file__).parents[2])    # a fresh worker
+
+
+def test_jaccard_join_of_leading_blanks(spark):
+    base = "the quick brown fox jumps over the lazy dog"
+    docs = [(1, base), (2, " " + base), (3, "\n" * 10_000 + base), (4, " " * 2_000 + base + " again"), (5, " 9"), (6, "9 ")]
+    got = jaccard_join.joined(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs, 4, 85)
+
+
+@pytest.mark.parametrize("centre", [True, False])
+def test_crowded_entries_match_brute_force(spark, centre):
+    """Near copies round one text, on both sides of the threshold, with and without the text itself."""
+    rng, base = random.Random(41), words(random.Random(40), 300).split()
+    docs = [(0, " ".join(base))] if centre else []
+    while len(docs) < 90:
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), rng.randint(2, 18)):
+            copy[at] = rng.choice(["same", words(rng, 1)])
+        docs.append((len(docs) + 1, " ".join(copy)))
+    for n, percent in ((4, 85), (5, 80)):
+        got = jaccard_join.joined(spark.createDataFrame(docs, "doc_id long, text string"), n, percent)
+        want = brute_components(docs, n, percent)
+        assert len({c for _, c in want.values()}) > 5
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+
+
 def test_entries_never_miss_a_pair():
     rng = np.random.default_rng(13)
     for size in (1, 2, 3, 4, 5, 6, 7, 9, 11, 12, 15, 19, 25, 40, 70, 100, 130, 180, 300, 500, 900):

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from plenaria.llm import (chat, decontaminate, embedding_dedup, jaccard_join, language, line_templates, mixing, packing,
-                          pii, sharding, token_counts)
+from plenaria.llm import (chat, decontaminate, embedding_dedup, jaccard_join, language, line_templates, manifest,
+                          mixing, packing, pii, sharding, token_counts)
 
 QUERIES = {
     "op1_pfair_mix": mixing.op1_pfair_mix,
@@ -17,9 +17,11 @@ QUERIES = {
     "op8_weak_supervision_pii": pii.op8_weak_supervision_pii,
     "op9_chat_tokens": chat.op9_chat_tokens,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op12_interval_manifest": manifest.op12_interval_manifest,
     "op13_square_sum_packing": packing.op13_square_sum_packing,
 }
 
 ORACLE_SQL = {
     "op9_chat_tokens": chat.OP9_SQL,
+    "op12_interval_manifest": manifest.OP12_SQL,
 }

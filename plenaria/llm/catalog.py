@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from plenaria.llm import (chat, decontaminate, embedding_dedup, jaccard_join, language, line_templates, manifest,
+from plenaria.llm import (alignment, chat, decontaminate, embedding_dedup, jaccard_join, language, line_templates, manifest,
                           mixing, packing, pii, sharding, token_counts)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op8_weak_supervision_pii": pii.op8_weak_supervision_pii,
     "op9_chat_tokens": chat.op9_chat_tokens,
     "op10_jaccard_join": jaccard_join.op10_jaccard_join,
+    "op11_spill_alignment": alignment.op11_spill_alignment,
     "op12_interval_manifest": manifest.op12_interval_manifest,
     "op13_square_sum_packing": packing.op13_square_sum_packing,
 }

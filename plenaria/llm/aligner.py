@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from plenaria.llm.word_tokens import gather
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 JOINED = 1 << 20         # bytes of words encoded in one string
 WIDE = 1 << 14           # links of a group from which they are counted by distinct ids
 B_BITS = 16              # a pair of ids is a << B_BITS | b

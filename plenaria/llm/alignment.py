@@ -36,7 +36,7 @@ from plenaria.llm.aligner import B_BITS, Words, aligner, default_paths, summed
 from plenaria.llm.common import ship, table, written
 from plenaria.llm.word_tokens import gather, slices
 
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 6 << 20
 RADIX = 16         # partitions of the A ids
 FAN_IN = 512       # runs merged at once
 BLOCK = 4096       # entries of a run decompressed at once

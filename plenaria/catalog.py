@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions import authors, text
-from plenaria.operators import term_match
+from plenaria.operators import term_index, term_match
 from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
@@ -104,6 +104,22 @@ def q_term_match_all(spark, d):
     return term_match.term_counts(docs, "text", DOCUMENT_TERMS, ["doc_id"])
 
 
+def benchmark_terms(spark, d):
+    """A large term list: every two and three words in a row of the benchmark's texts."""
+    items = spark.read.parquet(f"{d}/benchmark.parquet")
+    return term_index.runs(items, ["item_id"], "text", [2, 3]).select(F.col("run").alias("termo")).distinct()
+
+
+def q_term_index_first(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return term_index.first_index_term(docs, benchmark_terms(spark, d), ["doc_id"], "text")
+
+
+def q_term_index_all(spark, d):
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    return term_index.index_term_counts(docs, benchmark_terms(spark, d), ["doc_id"], "text")
+
+
 def q_two_route_capture(spark, d):
     out = two_route_capture(_b(spark, d, "captura"), _b(spark, d, "captura_detalhe"), DOCUMENT_TERMS,
                             doc_types=CAPTURE_DOC_TYPES, columns=["tipo_doc", "tipo_conteudo"])
@@ -315,6 +331,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "worklist_crossjoin": q_worklist,
     "term_match_first": q_term_match_first,
     "term_match_all": q_term_match_all,
+    "term_index_first": q_term_index_first,
+    "term_index_all": q_term_index_all,
     "two_route_capture": q_two_route_capture,
     "dedup_first": q_dedup_first,
     "exclude_subject": q_exclude_subject,

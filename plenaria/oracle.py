@@ -382,6 +382,20 @@ def build() -> dict[str, str]:
                              f"FROM documents) WHERE termo <> ''")
     o["term_match_all"] = (f"SELECT doc_id, lower(m) AS termo, count(*) AS n FROM (SELECT doc_id, "
                            f"unnest(regexp_extract_all(text, {dp}, 0)) AS m FROM documents) GROUP BY ALL")
+    # words and runs of words with DuckDB's lists; matches that overlap an earlier one go in a fold over a text's matches
+    words = "list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x))"
+    index = (f"WITH d AS (SELECT doc_id, {words} AS w FROM documents), b AS (SELECT {words} AS w FROM benchmark), "
+             "s AS (SELECT w, unnest([2, 3]) AS n FROM b), p AS (SELECT w, n, unnest(range(len(w) - n + 1)) AS i FROM s), "
+             "t AS (SELECT DISTINCT n, list_slice(w, i + 1, i + n) AS g FROM p), "
+             "ds AS (SELECT doc_id, w, unnest([2, 3]) AS n FROM d), dp AS (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS i FROM ds), "
+             "h AS (SELECT doc_id, i, n, g FROM (SELECT doc_id, n, i, list_slice(w, i + 1, i + n) AS g FROM dp) JOIN t USING (n, g)), "
+             "m AS (SELECT doc_id, i, max(n) AS n, arg_max(array_to_string(g, ' '), n) AS run FROM h GROUP BY doc_id, i) ")
+    o["term_index_first"] = index + "SELECT doc_id, arg_min(run, i) AS termo FROM m GROUP BY doc_id"
+    o["term_index_all"] = (index + ", f AS (SELECT doc_id, list_reduce(list({'free': i, 'kept': [run, CAST(n AS VARCHAR)]} ORDER BY i), "
+                           "lambda a, x: CASE WHEN x.free >= a.free THEN {'free': x.free + CAST(x.kept[2] AS BIGINT), "
+                           "'kept': list_append(a.kept, x.kept[1])} ELSE a END, {'free': CAST(0 AS BIGINT), 'kept': CAST([] AS VARCHAR[])}) "
+                           "AS r FROM m GROUP BY doc_id) SELECT doc_id, termo, count(*) AS n FROM (SELECT doc_id, unnest(r.kept) AS termo "
+                           "FROM f) GROUP BY ALL")
     o["two_route_capture"] = sql(views("captura", "captura_detalhe") + [
         f"c AS (SELECT *, nullif(lower(regexp_extract(ementa, {dp}, 0)), '') AS t1 FROM captura "
         f"WHERE tipo_doc IN {lst(CAPTURE_DOC_TYPES)} AND cod IS NOT NULL)",

@@ -170,6 +170,16 @@ def q_status_json(spark, d):
     return landing.senate_status(_b(spark, d, "status_raw"))
 
 
+def q_status_table(spark, d):
+    return status.status_table(_b(spark, d, "status_respostas"))
+
+
+def q_status_enrich_raw(spark, d):
+    """Stage 2 from the landed responses of both houses."""
+    table = status.status_table(_b(spark, d, "status_respostas"))
+    return status.enrich_status(stage1(spark, d), table).select("id_interno", "origem", "situacao", "situacao_norm")
+
+
 def q_chamber_json(spark, d):
     return landing.chamber_records(_b(spark, d, "pagina_raw"), keep=("pagina",))
 
@@ -342,6 +352,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crosstab_margins": q_crosstab_margins,
     "status_enrich": q_status_enrich,
     "status_json": q_status_json,
+    "status_table": q_status_table,
+    "status_enrich_raw": q_status_enrich_raw,
     "chamber_json": q_chamber_json,
     "detail_json": q_detail_json,
     "author_enrich": q_author_enrich,

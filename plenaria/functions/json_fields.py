@@ -54,10 +54,10 @@ def _result(obj: Column, nota: Column, cutoff: float) -> Column:
                     decision.alias("llm_decisao"), text("justificativa").alias("llm_justificativa"))
 
 
-def as_texts(json_text: Column) -> Column:
-    """Object-or-array JSON text -> array of its elements' JSON texts (an object becomes one element)."""
-    wrapped = F.when(json_text.startswith("["), json_text).otherwise(F.concat(F.lit("["), json_text, F.lit("]")))
-    return F.from_json(wrapped, "array<string>")
+def as_records(value: Column, path: str) -> Column:
+    """Array of the records at a path of keys in a variant: those of an array, or a bare object as the only one; null if missing."""
+    found = F.try_variant_get(value, f"$.{path}", "variant")
+    return F.coalesce(F.try_variant_get(value, f"$.{path}", "array<variant>"), F.when(found.isNotNull(), F.array(found)))
 
 
 def last_present(values: Column) -> Column:
@@ -71,22 +71,22 @@ def status_fields(raw, materia: str = "m", autuacao: str = "a", situacao: str =
 
     Each level is a path of keys ("SituacaoAtual.Autuacoes.Autuacao") to a bare object or an array; the first record
     of the top level is used, all records below it are scanned, and each field keeps its last non-missing
-    value on its own.  Anything missing or malformed gives ''.
+    value on its own.  Anything missing or malformed gives ''.  The text is parsed once, to a variant that all paths walk.
     """
-    none = F.array().cast("array<string>")
-    top = F.get(as_texts(F.get_json_object(col(raw), f"$.{materia}")), 0)
-    second = as_texts(F.get_json_object(top, f"$.{autuacao}"))
-    leaves = F.flatten(F.transform(
-        second, lambda x: F.coalesce(as_texts(F.get_json_object(x, f"$.{situacao}")), none)))
+    none = F.array().cast("array<variant>")
+
+    def leaves(value: Column) -> Column:
+        second = as_records(F.get(as_records(value, materia), 0), autuacao)
+        return F.flatten(F.transform(second, lambda x: F.coalesce(as_records(x, situacao), none)))
 
     def fields(found: Column) -> Column:
         def last(path: str) -> Column:
-            values = F.transform(found, lambda y: F.get_json_object(y, f"$.{path}"))
+            values = F.transform(found, lambda y: F.try_variant_get(y, f"$.{path}", "string"))
             return F.coalesce(last_present(values), F.lit(""))
 
         return F.struct(last(desc).alias("situacao"), last(date).alias("data_situacao"))
 
-    return let(leaves, fields)
+    return let(let(F.try_parse_json(col(raw)), leaves), fields)
 
 
 def field_or(c: Column, default: str = "") -> Column:

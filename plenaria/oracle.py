@@ -282,6 +282,25 @@ def mart_ctes() -> list[str]:
         ] + scored_ctes()
 
 
+def senate_status_ctes(source: str, key: str) -> list[str]:
+    """Senate status responses of ``source`` (key, raw) -> CTE ``senate_status``; objects or arrays at every level."""
+    def records(j: str, path: str) -> str:
+        return (f"CASE json_type({j}, '{path}') WHEN 'ARRAY' THEN json_extract({j}, '{path}[*]') "
+                f"WHEN 'OBJECT' THEN [json_extract({j}, '{path}')] ELSE CAST([] AS JSON[]) END")
+
+    def last(field: str) -> str:
+        return (f"coalesce(list_filter(list_transform(sits, lambda y: json_extract_string(y, '$.{field}')), "
+                "lambda z: z IS NOT NULL)[-1], '')")
+
+    return [
+        f"s0 AS (SELECT {key}, CASE WHEN json_valid(raw) THEN raw END AS j FROM {source})",
+        f"s1 AS (SELECT {key}, ({records('j', '$.SituacaoAtualMateria.Materias.Materia')})[1] AS m FROM s0)",
+        f"s2 AS (SELECT {key}, {records('m', '$.SituacaoAtual.Autuacoes.Autuacao')} AS auts FROM s1)",
+        f"s3 AS (SELECT {key}, flatten(list_transform(auts, lambda x: {records('x', '$.Situacoes.Situacao')})) AS sits FROM s2)",
+        f"senate_status AS (SELECT {key}, {last('DescricaoSituacao')} AS situacao, {last('DataSituacao')} AS data_situacao FROM s3)",
+    ]
+
+
 def status_ctes() -> list[str]:
     """Stages 1 and 2 -> CTE ``st``."""
     eligible_status = ("(cons.origem = 'CD' OR (cons.origem IN ('SF', 'CN') AND cons.id_processo IS NOT NULL "
@@ -429,17 +448,19 @@ def build() -> dict[str, str]:
         "SELECT id_interno, origem, origem_extenso, tipo, tipo_extenso, numero, ano_int, data_apre, uf, regiao, legislatura, "
         "e_parlamentar, situacao_norm, llm_nota, llm_categoria, partido_bls, score_lr, espectro FROM mart"))
 
-    o["status_json"] = sql(views("status_raw") + [
-        "s AS (SELECT seq, CASE WHEN json_valid(raw) THEN raw END AS j FROM status_raw)",
-        "m AS (SELECT seq, CASE json_type(j, '$.m') WHEN 'ARRAY' THEN json_extract(j, '$.m[0]') "
-        "WHEN 'OBJECT' THEN json_extract(j, '$.m') END AS m0 FROM s)",
-        "a AS (SELECT seq, CASE json_type(m0, '$.a') WHEN 'ARRAY' THEN json_extract(m0, '$.a[*]') "
-        "WHEN 'OBJECT' THEN [json_extract(m0, '$.a')] END AS auts FROM m)",
-        "l AS (SELECT seq, flatten(list_transform(auts, lambda x: CASE json_type(x, '$.s') WHEN 'ARRAY' THEN "
-        "json_extract(x, '$.s[*]') WHEN 'OBJECT' THEN [json_extract(x, '$.s')] ELSE CAST([] AS JSON[]) END)) AS sits FROM a)",
-    ], "SELECT seq, coalesce(list_filter(list_transform(sits, lambda y: json_extract_string(y, '$.d')), "
-       "lambda z: z IS NOT NULL)[-1], '') AS situacao, coalesce(list_filter(list_transform(sits, lambda y: "
-       "json_extract_string(y, '$.t')), lambda z: z IS NOT NULL)[-1], '') AS data_situacao FROM l")
+    o["status_json"] = sql(views("status_raw") + senate_status_ctes("status_raw", "seq"), "SELECT * FROM senate_status")
+    table = views("status_respostas") + ["sf AS (SELECT chave, raw FROM status_respostas WHERE casa <> 'CD')"] + senate_status_ctes(
+        "sf", "chave") + [
+        "cd AS (SELECT chave, CASE WHEN json_valid(raw) THEN raw END AS j FROM status_respostas WHERE casa = 'CD')",
+        "stab AS (SELECT concat('SF-', chave) AS id_interno, situacao, data_situacao AS norma_data_pub, '' AS norma_url "
+        "FROM senate_status UNION ALL SELECT chave, coalesce(json_extract_string(j, '$.dados.statusProposicao.descricaoSituacao'), ''), "
+        "'', coalesce(json_extract_string(j, '$.dados.statusProposicao.url'), '') FROM cd)",
+    ]
+    o["status_table"] = sql(table, "SELECT * FROM stab")
+    eligible = "(cons.origem = 'CD' OR (cons.origem IN ('SF', 'CN') AND coalesce(cons.id_processo, '') NOT IN ('', '—')))"
+    o["status_enrich_raw"] = sql(table + consolidated_ctes() + [
+        f"r AS (SELECT cons.id_interno, cons.origem, CASE WHEN {eligible} THEN coalesce(t.situacao, '') ELSE '' END AS situacao "
+        "FROM cons LEFT JOIN stab t USING (id_interno))"], f"SELECT *, {status('situacao')} AS situacao_norm FROM r")
     o["chamber_json"] = sql(views("pagina_raw") + [
         "e AS (SELECT pagina, unnest(json_extract(raw, '$.dados[*]')) AS x FROM pagina_raw WHERE json_valid(raw))",
     ], "SELECT pagina, 'CD' AS origem, json_extract_string(x, '$.siglaTipo') AS tipo, "

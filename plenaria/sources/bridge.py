@@ -106,16 +106,40 @@ ATTEMPTS_SPARK = ATTEMPTS.replace(
     "FROM @@orders LATERAL VIEW explode(array(1, 2, 3, 4)) a AS attempt")
 assert ATTEMPTS_SPARK != ATTEMPTS
 
-STATUS_RAW = """
-SELECT o_orderkey AS seq,
-  CASE o_orderkey % 4
-    WHEN 0 THEN '{"m":{"a":{"s":{"d":"Arquivada","t":"2001-01-01"}}}}'
-    WHEN 1 THEN '{"m":[{"a":[{"s":[{"d":"Aguardando Parecer","t":"2001-01-01"},{"t":"2002-02-02"}]},{"s":{"d":"Norma"}}]}]}'
-    WHEN 2 THEN '{"m":[]}'
-    ELSE '{"broken":' END AS raw
+def _senate_status(key: str) -> str:
+    """The Senate's status payload in the shapes that the service gives, by ``key``."""
+    one = '{"SituacaoAtualMateria":{"Materias":{"Materia":'
+    return f"""CASE {key} % 8
+    WHEN 0 THEN '{one}{{"SituacaoAtual":{{"Autuacoes":{{"Autuacao":{{"Situacoes":{{"Situacao":{{"DescricaoSituacao":"Arquivada","DataSituacao":"2001-01-01"}}}}}}}}}}}}}}}}}}'
+    WHEN 1 THEN '{one}[{{"SituacaoAtual":{{"Autuacoes":{{"Autuacao":[{{"Situacoes":{{"Situacao":[{{"DescricaoSituacao":"Aguardando Parecer","DataSituacao":"2001-01-01"}},{{"DataSituacao":"2002-02-02"}}]}}}},{{"Situacoes":{{"Situacao":{{"DescricaoSituacao":"Norma"}}}}}}]}}}}}}]}}}}}}'
+    WHEN 2 THEN '{one}[]}}}}}}'
+    WHEN 3 THEN '{{"broken":'
+    WHEN 4 THEN '{one}[{{"SituacaoAtual":{{"Autuacoes":{{"Autuacao":[{{"Situacoes":{{"Situacao":{{"DescricaoSituacao":"Retirada pelo Autor","DataSituacao":"2010-10-10"}}}}}},{{"Numero":2}},{{"Situacoes":{{"Situacao":[]}}}}]}}}}}},{{"SituacaoAtual":{{"Autuacoes":{{"Autuacao":{{"Situacoes":{{"Situacao":{{"DescricaoSituacao":"Outra"}}}}}}}}}}}}]}}}}}}'
+    WHEN 5 THEN '{one}{{"Identificacao":"PLS 1/2001"}}}}}}}}'
+    WHEN 6 THEN '{{"SituacaoAtualMateria":{{"Materias":{{}}}}}}'
+    ELSE '{{}}' END"""
+
+
+STATUS_RAW = f"""
+SELECT o_orderkey AS seq, {_senate_status("o_orderkey")} AS raw
 FROM @@orders
 """
 
+# Both houses' status responses as they land: the Chamber's proposal detail by id, the Senate's status by matter code.
+STATUS_RESPONSES = f"""
+SELECT 'CD' AS casa, CAST(o_orderkey AS STRING) AS chave,
+  CASE o_orderkey % 5
+    WHEN 0 THEN '{{"dados":{{"statusProposicao":{{"descricaoSituacao":"Transformado em Norma Jurídica","url":"http://example.org/n"}}}}}}'
+    WHEN 1 THEN '{{"dados":{{"statusProposicao":{{"descricaoSituacao":"Pronta para Pauta","url":null}}}}}}'
+    WHEN 2 THEN '{{"dados":{{"statusProposicao":{{}}}}}}'
+    WHEN 3 THEN 'timeout'
+    ELSE '{{"dados":{{"statusProposicao":{{"descricaoSituacao":"Arquivada"}}}}}}' END AS raw
+FROM @@orders WHERE o_orderstatus = 'P'
+UNION ALL
+SELECT 'SF' AS casa, CAST(o_orderkey AS STRING) AS chave, {_senate_status("o_orderkey")} AS raw
+FROM @@orders WHERE o_orderstatus <> 'P'
+"""
+
 AUTHOR_TEXT = """
 SELECT o_orderkey AS seq,
   split_part('Senador Zé da Silva (UNIÃO/SP)#Senadora Ana (PT/BA)#Presidência da República#Comissão de Assuntos Sociais#STF#stf#Ministério Público da União#Câmara dos Deputados#Senador Fulano#Fulano##Senador João (MDB/PA)', '#', CAST(1 + o_orderkey % 12 AS INT)) AS autoria,
@@ -191,6 +215,7 @@ VIEWS = {
     "survey": SURVEY,
     "attempts": ATTEMPTS,
     "status_raw": STATUS_RAW,
+    "status_respostas": STATUS_RESPONSES,
     "autoria_bruta": AUTHOR_TEXT,
     "captura": CAPTURE,
     "captura_detalhe": CAPTURE_DETAIL,

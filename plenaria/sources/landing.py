@@ -56,6 +56,11 @@ def chamber_records(pages: DataFrame, raw: str = "raw", keep=("pagina",),
         F.lit("").alias("assunto_especifico"))
 
 
+#: Paths of the Senate's status service (fixed values).
+SENATE_STATUS = {"materia": "SituacaoAtualMateria.Materias.Materia", "autuacao": "SituacaoAtual.Autuacoes.Autuacao",
+                 "situacao": "Situacoes.Situacao", "desc": "DescricaoSituacao", "date": "DataSituacao"}
+
+
 def senate_detail(details: DataFrame, raw: str = "raw", keep=("seq",)) -> DataFrame:
     """Senate process detail -> (indexacao, assunto_geral, assunto_especifico), '' when missing."""
     d = F.from_json(F.col(raw), SENATE_DETAIL)
@@ -67,8 +72,8 @@ def senate_detail(details: DataFrame, raw: str = "raw", keep=("seq",)) -> DataFr
 
 
 def senate_status(responses: DataFrame, raw: str = "raw", keep=("seq",), **paths) -> DataFrame:
-    """Senate status (object-or-array at each level) -> (situacao, data_situacao)."""
-    parsed = responses.select(*keep, status_fields(F.col(raw), **paths).alias("_s"))
+    """Senate status (object-or-array at each level) -> (situacao, data_situacao); ``paths`` other than the service's."""
+    parsed = responses.select(*keep, status_fields(F.col(raw), **(SENATE_STATUS | paths)).alias("_s"))
     return parsed.select(*keep, "_s.situacao", "_s.data_situacao")
 
 

@@ -19,7 +19,7 @@ from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
 from plenaria.plans import collect, consolidate as c1, ideology, mart, runner, scoring, status
-from plenaria.sources import bridge, landing
+from plenaria.sources import bridge, landing, ledger, stages
 
 # Search terms used on the driver's document texts (the configured Portuguese
 # terms do not occur in them); the same list feeds the oracle.
@@ -287,6 +287,32 @@ def mart_counts(base: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+UNIT = ["origem", "ano"]
+
+
+def collected_units(spark, d):
+    """A table of house-year units on shared storage, from proposals: all years that 3 does not divide were collected,
+    then the replacement of those that 5 divides broke off.  Returns its path and the whole work list."""
+    rows = proposals(spark, d).select("seq", "id_interno", "tipo", *UNIT)
+    houses = F.explode(F.array(*(F.lit(h) for h in ("CD", "SF", "CN"))))
+    years = F.explode(F.sequence(F.lit(vocab.YEAR_START), F.lit(vocab.YEAR_END)).cast("array<string>"))
+    work = spark.range(1).select(houses.alias("origem")).select("origem", years.alias("ano"))
+    path = stages.shared_path(spark, "units")
+    ledger.write_units(rows, work.where("CAST(ano AS INT) % 3 <> 0"), path, UNIT)
+    ledger.begin_units(work.where("CAST(ano AS INT) % 5 = 0"), path, UNIT)
+    return path, work, rows.schema
+
+
+def q_units_pending(spark, d):
+    path, work, _ = collected_units(spark, d)
+    return ledger.pending_units(work, path, UNIT)
+
+
+def q_units_read(spark, d):
+    path, _, schema = collected_units(spark, d)
+    return ledger.read_units(spark, path, UNIT, schema)
+
+
 def q_collect_senate(spark, d):
     details = landing.senate_detail(_b(spark, d, "detalhe_raw")).withColumn(
         "id_processo", (F.col("seq") + bridge.PROCESS_ID_BASE).cast("string"))
@@ -368,6 +394,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_parse": q_score_parse,
     "score_resume": q_score_resume,
     "stage_summary": q_stage_summary,
+    "units_pending": q_units_pending,
+    "units_read": q_units_read,
     "collect_senate": q_collect_senate,
     "pipeline_final": q_pipeline_final,
 } | {name: _on_mart(view) for name, view in VIEWS.items()}

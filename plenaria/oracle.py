@@ -499,6 +499,12 @@ def build() -> dict[str, str]:
         "b AS (SELECT seq, coalesce(autoria, '') AS a, tipo_doc FROM autoria_bruta)",
     ], f"SELECT seq, {senate_author_columns('a', 'tipo_doc')} FROM b")
     pt = q(pat(vocab.SEARCH_TERMS))
+    years = (f"work AS (SELECT h AS origem, CAST(y AS VARCHAR) AS ano FROM (SELECT unnest(['CD', 'SF', 'CN']) AS h), "
+             f"(SELECT unnest(range({vocab.YEAR_START}, {vocab.YEAR_END} + 1)) AS y))")
+    o["units_pending"] = sql([years], "SELECT origem, ano, CASE WHEN CAST(ano AS INTEGER) % 5 = 0 THEN 'begun' END AS state FROM work "
+                             "WHERE CAST(ano AS INTEGER) % 3 = 0 OR CAST(ano AS INTEGER) % 5 = 0")
+    o["units_read"] = sql(views("proposals") + [years], "SELECT seq, id_interno, tipo, p.origem, p.ano FROM proposals p "
+                          "SEMI JOIN work USING (origem, ano) WHERE CAST(ano AS INTEGER) % 3 <> 0 AND CAST(ano AS INTEGER) % 5 <> 0")
     o["collect_senate"] = sql(views("processos_raw", "detalhe_raw") + [
         "pe AS (SELECT unnest(CASE json_type(raw) WHEN 'ARRAY' THEN json_extract(raw, '$[*]') "
         "WHEN 'OBJECT' THEN [CAST(raw AS JSON)] END) AS x FROM processos_raw WHERE json_valid(raw))",

@@ -29,8 +29,8 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
     """Overwrite a stage table (Parquet, optionally partitioned, e.g. by house and year).
 
     With ``replace_partitions`` only the partitions present in ``df`` are replaced
-    (a re-collected year replaces that year and keeps the others); completion is
-    then judged per partition directory rather than by a root ``_SUCCESS``.
+    (a re-collected year replaces that year and keeps the others).  The root ``_SUCCESS`` says nothing about a
+    single partition then; ``sources.ledger`` keeps which units of such a table are complete.
     """
     w = df.write.mode("overwrite")
     if partition_by:
@@ -54,13 +54,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     size, and the lineage is cut.  Only a session that names no shared folder (a local test) gets a temporary one.
     """
     spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder."""
     root = checkpoint_dir(spark)
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plenaria-ckpt-"))
         root = checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/plenaria/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{root.rstrip('/')}/plenaria/{name}-{uuid.uuid4().hex}"
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:

@@ -64,14 +64,23 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it; names are the same in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drop_rows(docs: DataFrame, bad: DataFrame) -> DataFrame:
     """Rows of ``docs`` that ``bad`` (doc_id, text_hash) does not list; keyed by id and text, null ids included.
 
     Every column of ``docs`` stays as it is, whatever its name.
     """
-    gone = written(bad.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash")).distinct(), "gone")
-    return docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(F.col("__gone_id"))
-                     & (F.xxhash64(docs["text"]) == F.col("__gone_hash")), "left_anti")
+    g_id, g_hash = free_name(docs, "gone_id"), free_name(docs, "gone_hash")
+    gone = written(bad.select(F.col("doc_id").alias(g_id), F.col("text_hash").alias(g_hash)).distinct(), "gone")
+    return docs.join(broadcast_if_small(gone), docs["doc_id"].eqNullSafe(F.col(g_id))
+                     & (F.xxhash64(docs["text"]) == F.col(g_hash)), "left_anti")
 
 
 def components(edges: DataFrame) -> DataFrame:

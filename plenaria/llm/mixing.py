@@ -29,7 +29,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import table, written
+from plenaria.llm.common import free_name, table, written
 
 OTHER = "*other*"
 BLOCK_BYTES = 65_536
@@ -137,20 +137,22 @@ def with_place(docs: DataFrame, shares: dict[str, int], other_share: int, slot_c
                **options) -> DataFrame:
     """The rows as they are, with their slot and seq in the mixture after all other columns.  Equal rows have the first
     of their places."""
+    p_id, p_hash, p_place = (free_name(docs, name) for name in ("mix_id", "mix_hash", "mix_place"))
     place = (mix(docs, shares, other_share, **options).groupBy("doc_id", "text_hash")
-             .agg(F.min(F.struct("slot", "seq")).alias("__place"))
-             .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__place"))
+             .agg(F.min(F.struct("slot", "seq")).alias(p_place))
+             .select(F.col("doc_id").alias(p_id), F.col("text_hash").alias(p_hash), p_place))
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    joined = docs.join(place, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash")))
-    return joined.select(*(docs[c] for c in docs.columns), F.col("__place.slot").alias(slot_col),
-                         F.col("__place.seq").alias(seq_col))
+    joined = docs.join(place, docs[id_col].eqNullSafe(F.col(p_id)) & (F.xxhash64(docs[text_col]) == F.col(p_hash)))
+    return joined.select(*(docs[c] for c in docs.columns), F.col(f"{p_place}.slot").alias(slot_col),
+                         F.col(f"{p_place}.seq").alias(seq_col))
 
 
 def mixed_order(docs: DataFrame, shares: dict[str, int], other_share: int, **options) -> DataFrame:
     """The rows as they are, sorted into the order of the mixture: partition by partition, file by file when written.
     Equal rows stand together."""
-    return (with_place(docs, shares, other_share, "__slot", "__seq", **options)
-            .repartitionByRange("__slot", "__seq").sortWithinPartitions("__slot", "__seq").drop("__slot", "__seq"))
+    slot, seq = free_name(docs, "mix_slot"), free_name(docs, "mix_seq")
+    return (with_place(docs, shares, other_share, slot, seq, **options)
+            .repartitionByRange(slot, seq).sortWithinPartitions(slot, seq).drop(slot, seq))
 
 
 def op1_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

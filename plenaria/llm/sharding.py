@@ -18,7 +18,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plenaria.llm.common import table, written
+from plenaria.llm.common import free_name, table, written
 
 N_SLOTS = 8192
 N_SHARDS = 24
@@ -121,11 +121,12 @@ def assigned(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS,
     """The rows as they are, with their shard after all other columns; only the map is joined."""
     sums = (records(docs, n_slots, id_col, text_col).groupBy("virtual_slot")
             .agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows")))
+    m_slot, m_shard = free_name(docs, "map_slot"), free_name(docs, "map_shard")
     last = (build_map(docs.sparkSession, sums, n_slots, n_shards).where(F.col("version") == 1)
-            .select(F.col("slot").alias("__slot"), F.col("shard").alias("__shard")))
+            .select(F.col("slot").alias(m_slot), F.col("shard").alias(m_shard)))
     slot = F.pmod(F.xxhash64(docs[id_col], docs[text_col]), F.lit(n_slots)).cast("int")
-    return (docs.join(F.broadcast(last), slot == F.col("__slot"))     # n_slots rows, a parameter
-            .select(*(docs[c] for c in docs.columns), F.col("__shard").alias(shard_col)))
+    return (docs.join(F.broadcast(last), slot == F.col(m_slot))     # n_slots rows, a parameter
+            .select(*(docs[c] for c in docs.columns), F.col(m_shard).alias(shard_col)))
 
 
 def op6_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ def test_pipeline(spark, tmp_path):
     odd = [(300, None, "en", "z", 0), (301, "*** 123", None, None, None), (None, words(rng, 50), "en", "z", 0),
            (302, "one two", "en", "z", 0), (302, "one two", "en", "z", 0)]
     docs = spark.createDataFrame(clean + copies + leaks + odd, "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.withColumn("shard", F.lit("own")).withColumn("text_hash", F.lit(1))
+    docs = docs.withColumn("Shard", F.lit("own")).withColumns({c: F.lit(1) for c in (
+        "text_hash", "SLOT", "seq", "gone_id", "__gone_id", "__id", "__hash", "__slot", "MAP_SLOT", "mix_id", "mix_place", "Mix_Slot")})
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
 
@@ -42,6 +43,15 @@ def test_pipeline(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == now.count()
 
 
+def test_repeated_rows_without_words_stay(spark, tmp_path):
+    """Whether or not a row with words repeats too."""
+    blank = [(1, " \n", "en"), (1, " \n", "en"), (2, None, "en"), (2, None, "en"), (3, "one two three", "en")]
+    for rows in (blank, [*blank, blank[-1]]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        left = corpus_pipeline.without_near_copies(spark, docs, str(tmp_path)).collect()
+        assert Counter(r["doc_id"] for r in left) == {1: 2, 2: 2, 3: 1}
+
+
 def test_mixture_order_is_the_schedule(spark, tmp_path):
     rng = random.Random(2)
     docs = spark.createDataFrame([(i, "x" * rng.randint(1, 2000), rng.choice("ab")) for i in range(500)], "doc_id long, text string, source string")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plenaria.llm import decontaminate, jaccard_join, language, mixing, sharding
-from plenaria.llm.common import drop_rows, table, written
+from plenaria.llm.common import drop_rows, free_name, table, written
 
 #: Near-duplicates: shingles of five words, Jaccard similarity 0.8 or more.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
@@ -25,7 +25,8 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays, once."""
+    """Of every group of near copies the document with the smallest id stays, once.  Rows without words are no one's copies
+    and all stay, repeated ones too."""
     groups = jaccard_join.joined(docs, NEAR_WORDS, NEAR_PERCENT)
     rest = written(groups.where(F.col("n_shingles") > 0), "pipeline-groups")
     # a component's first row: smallest id, then smallest text hash; documents without words are no one's copies
@@ -36,7 +37,10 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
             .where(~F.col("doc_id").eqNullSafe(F.col("f_id")) | (F.col("text_hash") != F.col("f_hash"))))
     again = (rest.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).limit(1).count() > 0)
     kept = drop_rows(docs, gone.select("doc_id", "text_hash"))
-    return kept.dropDuplicates(["doc_id", "text"]) if again else kept
+    if not again:
+        return kept
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return kept.where(worded).dropDuplicates(["doc_id", "text"]).unionAll(kept.where(~worded))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +53,6 @@ def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_order(docs, *mixing.source_shares(docs, mixing.SHARES, mixing.OTHER_SHARE))
 
 
-def free_name(docs: DataFrame, name: str) -> str:
-    while name in docs.columns:
-        name += "_"
-    return name
-
-
 def placed(docs: DataFrame) -> DataFrame:
     """All documents with their shard and their slot and seq in the mixture, ordered by these three."""
     shard, slot, seq = (free_name(docs, name) for name in ("shard", "slot", "seq"))

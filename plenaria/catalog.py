@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions import authors, text
-from plenaria.operators import term_index, term_match
+from plenaria.operators import ordered, term_index, term_match
 from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
-from plenaria.plans import collect, consolidate as c1, ideology, mart, runner, scoring, status
-from plenaria.sources import bridge, landing, ledger, stages
+from plenaria.plans import collect, consolidate as c1, contexts, ideology, mart, runner, scoring, status
+from plenaria.sources import bridge, families, landing, ledger, stages
+from plenaria.streaming import merge
 
 # Search terms used on the driver's document texts (the configured Portuguese
 # terms do not occur in them); the same list feeds the oracle.
@@ -313,6 +314,48 @@ def q_units_read(spark, d):
     return ledger.read_units(spark, path, UNIT, schema)
 
 
+FAMILY_YEARS = (1995, 2010)
+
+
+def q_year_families(spark, d):
+    """The years 1995 to 2010 of the two families of year files; they differ in columns, the Senate's also by year."""
+    base = stages.shared_path(spark, "families")
+    p = proposals(spark, d)
+    rows = p.select("seq", "id_interno", "tipo", "id_processo", "tramitando", "ano")
+    families.write_family(rows.where(p["origem"] == "CD").drop("id_processo"), base, "camara")
+    senate = rows.where(p["origem"] != "CD")
+    families.write_family(senate.where("CAST(ano AS INT) < 2000").drop("tramitando"), base, "senado")
+    families.write_family(senate.where("CAST(ano AS INT) >= 2000"), base, "senado")
+    return families.read_families(spark, base, ["camara", "senado", "mista"], *FAMILY_YEARS)
+
+
+def q_merge_batches(spark, d):
+    """Pages landed in several files, merged over two runs of the stream: the second one finds the rest of the files."""
+    landed, root = _b(spark, d, "paginas_por_termo"), stages.shared_path(spark, "merge")
+    for run in (0, 1):
+        landed.where((F.col("pagina") < "2") == (run == 0)).write.mode("append").partitionBy("pagina").parquet(f"{root}/landed")
+        pages = spark.readStream.schema(landed.select("termo_busca", "raw", "pagina").schema).parquet(f"{root}/landed")
+        records = landing.chamber_records(pages, keep=("termo_busca",)).select(*MERGED_COLUMNS)
+        merge.merge_stream(records, f"{root}/out", f"{root}/checkpoint")
+    return merge.merged(spark, f"{root}/out")
+
+
+MERGED_COLUMNS = ["id_interno", "termo_busca", "tipo", "numero", "ano", "ementa"]
+
+
+def q_context_table(spark, d):
+    return contexts.context_table(_b(spark, d, "contexto_respostas"))
+
+
+def q_context_texts(spark, d):
+    p = stage1(spark, d).select("id_interno", "origem", "tipo", "numero", "ano", "ementa", "uri")
+    return contexts.context_texts(p, contexts.context_table(_b(spark, d, "contexto_respostas")), "id_interno")
+
+
+def q_consolidate_ordered(spark, d):
+    return ordered.with_ordinal(stage1(spark, d).select("id_interno", *c1.SORT), [*c1.SORT, "id_interno"])
+
+
 def q_collect_senate(spark, d):
     details = landing.senate_detail(_b(spark, d, "detalhe_raw")).withColumn(
         "id_processo", (F.col("seq") + bridge.PROCESS_ID_BASE).cast("string"))
@@ -345,6 +388,10 @@ VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "term_mix": mart.term_mix,
     "top_authors": mart.top_authors,
     "party_term_matrix": mart.party_term_matrix,
+    "party_term_ordered": lambda base: ordered.matrix_order(
+        mart.party_term_matrix(base), "p_plot", "termo_busca", "row_total", "col_total"),
+    "category_counts_ordered": lambda base: ordered.value_counts(base, "llm_categoria"),
+    "facet_options_ordered": lambda base: ordered.with_ordinal(mart.facet_options(base), ["faceta", "valor", "rotulo"]),
     "party_type_flow": mart.party_type_flow,
     "latest_rows": mart.latest_rows,
     "ideology_by_leg_group": mart.ideology_by_leg_group,
@@ -396,6 +443,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_summary": q_stage_summary,
     "units_pending": q_units_pending,
     "units_read": q_units_read,
+    "year_families": q_year_families,
+    "merge_batches": q_merge_batches,
+    "context_table": q_context_table,
+    "context_texts": q_context_texts,
+    "consolidate_ordered": q_consolidate_ordered,
     "collect_senate": q_collect_senate,
     "pipeline_final": q_pipeline_final,
 } | {name: _on_mart(view) for name, view in VIEWS.items()}

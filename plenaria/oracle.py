@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from plenaria import vocab
 from plenaria.functions.text import WHITESPACE
-from plenaria.catalog import CAPTURE_DOC_TYPES, DOCUMENT_TERMS, FACETS, FACETS_PEOPLE
+from plenaria.catalog import CAPTURE_DOC_TYPES, DOCUMENT_TERMS, FACETS, FACETS_PEOPLE, FAMILY_YEARS
 from plenaria.operators.term_match import alternation
 from plenaria.plans.prompt_text import PROMPT_PARTS, PROMPT_SLOTS
 from plenaria.sources.bridge import PROCESS_ID_BASE, duckdb_sql
@@ -503,6 +503,45 @@ def build() -> dict[str, str]:
              f"(SELECT unnest(range({vocab.YEAR_START}, {vocab.YEAR_END} + 1)) AS y))")
     o["units_pending"] = sql([years], "SELECT origem, ano, CASE WHEN CAST(ano AS INTEGER) % 5 = 0 THEN 'begun' END AS state FROM work "
                              "WHERE CAST(ano AS INTEGER) % 3 = 0 OR CAST(ano AS INTEGER) % 5 = 0")
+    first, last = FAMILY_YEARS
+    o["year_families"] = sql(views("proposals"), (
+        "SELECT seq, id_interno, tipo, CASE WHEN origem <> 'CD' THEN id_processo END AS id_processo, "
+        "CASE WHEN origem = 'CD' OR CAST(ano AS INTEGER) >= 2000 THEN tramitando END AS tramitando, ano, CAST(ano AS INTEGER) AS ano_coleta, "
+        "CASE WHEN origem = 'CD' THEN 'camara' ELSE 'senado' END AS familia FROM proposals "
+        f"WHERE CAST(ano AS INTEGER) BETWEEN {first} AND {last}"))
+    position = case_map("termo_busca", {t: i for i, t in enumerate(vocab.SEARCH_TERMS)}, str(len(vocab.SEARCH_TERMS)))
+    o["merge_batches"] = sql(views("paginas_por_termo") + [
+        "x AS (SELECT termo_busca, unnest(json_extract(raw, '$.dados[*]')) AS x FROM paginas_por_termo WHERE json_valid(raw))",
+        "r AS (SELECT json_extract_string(x, '$.id') AS id_interno, termo_busca, json_extract_string(x, '$.siglaTipo') AS tipo, "
+        "coalesce(json_extract_string(x, '$.numero'), '') AS numero, json_extract_string(x, '$.ano') AS ano, "
+        "coalesce(json_extract_string(x, '$.ementa'), '') AS ementa FROM x)",
+    ], (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id_interno ORDER BY {position}, termo_busca, "
+        "tipo NULLS LAST, numero, ano NULLS LAST, ementa) AS rn FROM r) WHERE rn = 1"))
+    j = "CASE WHEN json_valid(raw) THEN raw END"
+
+    def page(path):
+        return f"coalesce(json_extract_string({j}, '$.{path}'), '')"
+
+    materia = "DetalheMateria.Materia"
+    indexing = (f"CASE WHEN {page(materia + '.IndexacaoMateria')} <> '' THEN {page(materia + '.IndexacaoMateria')} "
+                f"ELSE {page(materia + '.EmentaMateria')} END")
+    contexts = views("contexto_respostas") + [
+        f"ctx AS (SELECT uri, origem = 'CD' AS casa_cd, CASE WHEN origem = 'CD' THEN {page('dados.keywords')} END AS keywords, "
+        f"CASE WHEN origem = 'CD' THEN {page('dados.ementaDetalhada')} END AS ementa_detalhada, "
+        f"CASE WHEN origem <> 'CD' THEN {indexing} END AS indexacao FROM contexto_respostas)"]
+    o["context_table"] = sql(contexts, "SELECT * FROM ctx")
+
+    def line(label, c):
+        return f"CASE WHEN coalesce({c}, '') <> '' THEN {q(label)} || {c} END"
+
+    o["context_texts"] = sql(contexts + consolidated_ctes(), (
+        "SELECT id_interno, concat_ws(chr(10), 'Casa:      ' || coalesce(origem, ''), 'Proposta:  ' || coalesce(tipo, '') || ' ' || "
+        "coalesce(numero, '') || '/' || coalesce(ano, ''), 'Ementa:    ' || coalesce(ementa, ''), "
+        f"{line('Indexação: ', 'keywords')}, {line('Ementa detalhada: ', 'ementa_detalhada')}, {line('Indexação: ', 'indexacao')}) "
+        "AS contexto FROM cons LEFT JOIN ctx ON cons.uri = ctx.uri AND (cons.origem = 'CD') = ctx.casa_cd"))
+    o["consolidate_ordered"] = sql(consolidated_ctes(), (
+        "SELECT id_interno, origem, ano, tipo, row_number() OVER (ORDER BY origem NULLS FIRST, ano NULLS FIRST, "
+        "tipo NULLS FIRST, id_interno) AS ordem FROM cons"))
     o["units_read"] = sql(views("proposals") + [years], "SELECT seq, id_interno, tipo, p.origem, p.ano FROM proposals p "
                           "SEMI JOIN work USING (origem, ano) WHERE CAST(ano AS INTEGER) % 3 <> 0 AND CAST(ano AS INTEGER) % 5 <> 0")
     o["collect_senate"] = sql(views("processos_raw", "detalhe_raw") + [
@@ -692,6 +731,14 @@ def build() -> dict[str, str]:
         counts("llm_categoria", "llm_categoria"), counts("espectro", "espectro"),
         "SELECT 'cobertura' AS resumo, 'com_score' AS chave, count(score_lr) AS n FROM scored",
         "SELECT 'avaliacao' AS resumo, 'com_nota' AS chave, count(llm_nota) AS n FROM scored"]))
+    o["party_term_ordered"] = (
+        "SELECT *, dense_rank() OVER (ORDER BY row_total DESC, p_plot) AS linha, dense_rank() OVER (ORDER BY col_total DESC, "
+        f"termo_busca) AS coluna FROM ({o['party_term_matrix']})")
+    o["category_counts_ordered"] = on_mart(
+        "SELECT llm_categoria, n, row_number() OVER (ORDER BY n DESC, llm_categoria) AS ordem FROM (SELECT llm_categoria, "
+        "count(*) AS n FROM mart WHERE llm_categoria IS NOT NULL GROUP BY 1)")
+    o["facet_options_ordered"] = ("SELECT *, row_number() OVER (ORDER BY faceta, valor, rotulo NULLS FIRST) AS ordem "
+                                  f"FROM ({o['facet_options']})")
     return o
 
 

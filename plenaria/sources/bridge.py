@@ -170,6 +170,32 @@ SELECT o_orderkey AS pagina,
 FROM @@orders
 """
 
+# Pages as they land, with the term that found them: each term's search gives a proposal again, in other words.
+LANDED_PAGES = f"""
+SELECT split_part('{_TERMS}', '#', CAST(1 + o_custkey % 12 AS INT)) AS termo_busca,
+  CAST(o_orderkey % 4 AS STRING) AS pagina,
+  CASE WHEN o_orderkey % 9 = 0 THEN 'erro' ELSE concat('{{"dados":[{{"id":', CAST(o_custkey AS STRING), ',"siglaTipo":"PL","numero":',
+    CAST(o_custkey AS STRING), ',"ano":2001,"ementa":"Dispõe sobre renda ', CAST(o_orderkey % 3 AS STRING), '"}},{{"id":',
+    CAST(o_orderkey % 1000 AS STRING), ',"siglaTipo":"PEC","ementa":null}}]}}') END AS raw
+FROM @@orders
+"""
+
+# The proposals' pages of both houses by uri, some fetched without result, some never.
+CONTEXT_RESPONSES = """
+SELECT concat('http://example.org/', CAST(o_orderkey AS STRING)) AS uri,
+  CASE o_orderstatus WHEN 'P' THEN 'CD' WHEN 'F' THEN 'SF' ELSE 'CN' END AS origem,
+  CASE WHEN o_orderkey % 6 = 0 THEN 'erro'
+    WHEN o_orderstatus = 'P' THEN CASE o_orderkey % 4
+      WHEN 0 THEN '{"dados":{"keywords":"renda, pobreza","ementaDetalhada":null}}'
+      WHEN 1 THEN concat('{"dados":{"keywords":"","ementaDetalhada":"Institui o programa ', CAST(o_custkey AS STRING), '"}}')
+      WHEN 2 THEN '{"dados":{}}' ELSE '{"dados":{"keywords":"fome","ementaDetalhada":"Altera a lei"}}' END
+    ELSE CASE o_orderkey % 4
+      WHEN 0 THEN '{"DetalheMateria":{"Materia":{"IndexacaoMateria":"","EmentaMateria":"Ementa longa"}}}'
+      WHEN 1 THEN concat('{"DetalheMateria":{"Materia":{"IndexacaoMateria":"INDEX ', CAST(o_custkey AS STRING), '"}}}')
+      WHEN 2 THEN '{"DetalheMateria":{}}' ELSE '{}' END END AS raw
+FROM @@orders WHERE o_orderkey % 5 <> 0
+"""
+
 #: A proposal's Senate process id is this plus its sequence number, as in the proposals view.
 PROCESS_ID_BASE = 700000
 
@@ -221,6 +247,8 @@ VIEWS = {
     "captura_detalhe": CAPTURE_DETAIL,
     "pagina_raw": PAGE_RAW,
     "detalhe_raw": DETAIL_RAW,
+    "paginas_por_termo": LANDED_PAGES,
+    "contexto_respostas": CONTEXT_RESPONSES,
     "processos_raw": PROCESSES_RAW,
 }
 

@@ -18,7 +18,7 @@ from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
-from plenaria.plans import collect, consolidate as c1, contexts, ideology, mart, runner, scoring, status
+from plenaria.plans import collect, consolidate as c1, contexts, dashboard, ideology, mart, runner, scoring, status
 from plenaria.sources import bridge, families, landing, ledger, stages
 from plenaria.streaming import merge
 
@@ -370,6 +370,11 @@ def q_pipeline_final(spark, d):
         "legislatura", "e_parlamentar", "situacao_norm", "llm_nota", "llm_categoria", "partido_bls", "score_lr", "espectro")
 
 
+def q_dashboard_selected(spark, d):
+    """Every chart table over a selection of the finished chain's base."""
+    return dashboard.long_form(dashboard.selected_views(final_mart(spark, d), FACETS))
+
+
 def q_stage_summary(spark, d):
     return mart.stage_summary(scored(spark, d))
 
@@ -450,4 +455,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "consolidate_ordered": q_consolidate_ordered,
     "collect_senate": q_collect_senate,
     "pipeline_final": q_pipeline_final,
+    "dashboard_selected": q_dashboard_selected,
 } | {name: _on_mart(view) for name, view in VIEWS.items()}

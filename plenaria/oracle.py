@@ -12,6 +12,7 @@ from plenaria import vocab
 from plenaria.functions.text import WHITESPACE
 from plenaria.catalog import CAPTURE_DOC_TYPES, DOCUMENT_TERMS, FACETS, FACETS_PEOPLE, FAMILY_YEARS
 from plenaria.operators.term_match import alternation
+from plenaria.plans.dashboard import VIEWS as DASHBOARD_VIEWS
 from plenaria.plans.prompt_text import PROMPT_PARTS, PROMPT_SLOTS
 from plenaria.sources.bridge import PROCESS_ID_BASE, duckdb_sql
 
@@ -731,6 +732,20 @@ def build() -> dict[str, str]:
         counts("llm_categoria", "llm_categoria"), counts("espectro", "espectro"),
         "SELECT 'cobertura' AS resumo, 'com_score' AS chave, count(score_lr) AS n FROM scored",
         "SELECT 'avaliacao' AS resumo, 'com_nota' AS chave, count(llm_nota) AS n FROM scored"]))
+    # the views' SQL again, over a selection of the finished chain's base instead of the base of raw proposals
+    prefix = sql(mart_ctes(), "")[:-1]
+    bodies = {name: o[name].removeprefix(prefix) for name in DASHBOARD_VIEWS if name != "author_groups"}
+    bodies["author_groups"] = f"SELECT {author_group('tipo_autor')} AS categoria, count(*) AS n FROM mart GROUP BY 1"
+    chain = final_ctes()
+    chain[-1] = "all_" + chain[-1]
+    cells = []
+    for name, (_, keys, count, value) in DASHBOARD_VIEWS.items():
+        body = "WITH " + bodies[name][2:] if bodies[name].startswith(",\n") else bodies[name]
+        k1, k2 = (*(f"CAST({k} AS VARCHAR)" for k in keys), "CAST(NULL AS VARCHAR)")[:2]
+        cells.append(f"SELECT {q(name)} AS visao, {k1} AS chave1, {k2} AS chave2, CAST({count or 'NULL'} AS BIGINT) AS n, "
+                     f"CAST({value or 'NULL'} AS DOUBLE) AS valor FROM ({body})")
+    o["dashboard_selected"] = sql([*chain, f"mart AS (SELECT * FROM all_mart WHERE {facet_where(FACETS)})"], " UNION ALL ".join(cells))
+
     o["party_term_ordered"] = (
         "SELECT *, dense_rank() OVER (ORDER BY row_total DESC, p_plot) AS linha, dense_rank() OVER (ORDER BY col_total DESC, "
         f"termo_busca) AS coluna FROM ({o['party_term_matrix']})")

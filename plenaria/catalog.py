@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions import authors, text
-from plenaria.operators import ordered, term_index, term_match
+from plenaria.operators import ordered, term_index, term_match, token_index
 from plenaria.operators.capture import two_route_capture
 from plenaria.operators.dedup import first_per_key
 from plenaria.operators.filters import FacetSpec, exclude_pattern, exclude_values, facet_filter
 from plenaria.operators.rollup import author_rollup, enrich_authors
-from plenaria.plans import collect, consolidate as c1, contexts, dashboard, ideology, mart, runner, scoring, status
+from plenaria.plans import cells, collect, consolidate as c1, contexts, dashboard, ideology, mart, runner, scoring, status
 from plenaria.sources import bridge, families, landing, ledger, stages
 from plenaria.streaming import merge
 
@@ -283,6 +283,18 @@ def facet_people_rows(base: DataFrame) -> DataFrame:
     return facet_filter(base, FACETS_PEOPLE).select("seq", "parlamentar", "tipo_extenso", "termo_busca")
 
 
+def facet_indexed_rows(base: DataFrame, spec: FacetSpec, columns: list[str]) -> DataFrame:
+    """A selection of the base whose token facets are answered by an inverted index of it."""
+    held = stages.written(base.select(*INDEXED_COLUMNS), "indexed")
+    path = stages.shared_path(base.sparkSession, "token-index")
+    token_index.write_index(held, "seq", path)
+    return token_index.select_rows(held, spec, "seq", path).select(*columns)
+
+
+INDEXED_COLUMNS = ["seq", "origem", "origem_extenso", "tipo", "tipo_extenso", "ano_int", "legislatura", "regiao", "uf",
+                   "termo_busca", "tipo_autor", "espectro", "parlamentar"]
+
+
 def mart_counts(base: DataFrame) -> DataFrame:
     return (base.groupBy("origem_extenso", "tipo_extenso", "legislatura", "regiao", "e_parlamentar")
             .agg(F.count(F.lit(1)).alias("n")))
@@ -407,6 +419,13 @@ VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "facet_options": mart.facet_options,
     "facet_filter": facet_rows,
     "facet_people": facet_people_rows,
+    "kpis_cells": lambda base: cells.kpis_from_cells(cells.kpi_cells(base)),
+    "kpis_cells_filtered": lambda base: cells.kpis_from_cells(cells.kpi_cells(base), FACETS),
+    "members_by_level": lambda base: cells.members_by(cells.kpi_cells(base), ["legislatura", "origem", "tipo"]),
+    "facet_filter_indexed": lambda base: facet_indexed_rows(
+        base, FACETS, ["seq", "origem", "tipo", "ano_int", "uf", "tipo_autor", "espectro", "legislatura"]),
+    "facet_people_indexed": lambda base: facet_indexed_rows(
+        base, FACETS_PEOPLE, ["seq", "parlamentar", "tipo_extenso", "termo_busca"]),
     "mart_base": mart_counts,
 }
 

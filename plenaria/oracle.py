@@ -623,6 +623,7 @@ def build() -> dict[str, str]:
                                 f"WHERE {facet_where(FACETS)}")
     o["facet_people"] = on_mart(f"SELECT seq, parlamentar, tipo_extenso, termo_busca FROM mart "
                                 f"WHERE {facet_where(FACETS_PEOPLE)}")
+    o["facet_filter_indexed"], o["facet_people_indexed"] = o["facet_filter"], o["facet_people"]
     o["mart_base"] = on_mart("SELECT origem_extenso, tipo_extenso, legislatura, regiao, e_parlamentar, count(*) AS n "
                              "FROM mart GROUP BY ALL")
 
@@ -640,6 +641,10 @@ def build() -> dict[str, str]:
     o["kpis"] = on_mart(f"SELECT {kpi_cols} FROM mart")
     o["kpis_empty"] = on_mart(f"SELECT {kpi_cols} FROM mart WHERE origem = 'nenhuma'")
     o["kpis_filtered"] = on_mart(f"SELECT {kpi_cols} FROM mart WHERE {facet_where(FACETS)}")
+    o["kpis_cells"], o["kpis_cells_filtered"] = o["kpis"], o["kpis_filtered"]
+    o["members_by_level"] = on_mart(
+        "SELECT CAST(3 - grouping(legislatura) - grouping(origem) - grouping(tipo) AS INTEGER) AS nivel, legislatura, origem, tipo, "
+        f"count(*) AS n, {n_parl} AS n_parlamentares FROM mart GROUP BY ROLLUP (legislatura, origem, tipo)")
     leg_rows = ", ".join(f"({q(lab)}, {i})" for i, (_, lab) in enumerate(vocab.LEGISLATURES))
     o["by_legislature"] = on_mart(
         f"SELECT dim.legislatura, dim.ordem, coalesce(c.n, 0) AS n FROM (SELECT * FROM (VALUES {leg_rows}) t(legislatura, ordem)) dim "

@@ -269,6 +269,10 @@ def q_score_parse(spark, d):
     return scoring.parse_attempts(_b(spark, d, "attempts"))
 
 
+def q_category_check(spark, d):
+    return scores_by_seq(spark, d).select("seq", "llm_categoria", scoring.valid_category("llm_categoria").alias("categoria_valida"))
+
+
 def q_score_resume(spark, d):
     parsed = scoring.parse_attempts(_b(spark, d, "attempts"))
     return scoring.scored_with_retries(proposals(spark, d).select("seq"), parsed, "seq")
@@ -419,6 +423,9 @@ VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "facet_options": mart.facet_options,
     "facet_filter": facet_rows,
     "facet_people": facet_people_rows,
+    "by_state_split": lambda base: mart.by_state(base, explode_states=True),
+    "ideology_by_state_split": lambda base: mart.ideology_by_state(base, explode_states=True),
+    "fixed_orders": mart.fixed_orders,
     "kpis_cells": lambda base: cells.kpis_from_cells(cells.kpi_cells(base)),
     "kpis_cells_filtered": lambda base: cells.kpis_from_cells(cells.kpi_cells(base), FACETS),
     "members_by_level": lambda base: cells.members_by(cells.kpi_cells(base), ["legislatura", "origem", "tipo"]),
@@ -464,6 +471,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_table": q_prompt_table,
     "score_parse": q_score_parse,
     "score_resume": q_score_resume,
+    "category_check": q_category_check,
     "stage_summary": q_stage_summary,
     "units_pending": q_units_pending,
     "units_read": q_units_read,

@@ -609,6 +609,9 @@ def build() -> dict[str, str]:
     ], f"SELECT seq, {' || '.join(pieces)} AS prompt FROM pp")
 
     o["score_parse"] = sql(views("attempts") + [parsed_cte()], "SELECT * FROM parsed")
+    o["category_check"] = sql(views("attempts") + [parsed_cte(), first_success_cte("first3", "parsed", "attempt <= 3")],
+                              "SELECT seq, llm_categoria, CASE WHEN llm_categoria <> '' THEN llm_categoria IN "
+                              f"{lst([*vocab.CATEGORIES, vocab.CATEGORY_REVIEW])} END AS categoria_valida FROM first3")
     o["score_resume"] = sql(views("proposals", "attempts") + [
         parsed_cte(), first_success_cte("first1", "parsed", "attempt = 1"),
         "prev AS (SELECT p.seq, f.llm_nota, f.llm_categoria, f.llm_decisao, f.llm_justificativa FROM proposals p "
@@ -668,6 +671,22 @@ def build() -> dict[str, str]:
         f"UNION ALL SELECT 'Outros' AS partido, '—' AS parlamentar, {_bigint_sum('total')} AS n FROM tot "
         "WHERE partido NOT IN (SELECT partido FROM topg) HAVING sum(total) > 0"))
     o["by_state"] = on_mart("SELECT uf, count(*) AS n FROM mart WHERE uf IS NOT NULL AND uf NOT IN ('', '—') GROUP BY uf")
+    each_state = ("(SELECT DISTINCT seq, score_lr, t AS uf FROM (SELECT seq, score_lr, " + strip("t0") + " AS t FROM (SELECT seq, "
+                  "score_lr, unnest(string_split(uf, ';')) AS t0 FROM mart)) WHERE t NOT IN ('', '—'))")
+    o["by_state_split"] = on_mart(f"SELECT uf, count(*) AS n FROM {each_state} GROUP BY uf")
+    o["ideology_by_state_split"] = on_mart(
+        "SELECT uf, round(CAST(sum(CAST(score_lr AS DECIMAL(38,2))) AS DOUBLE) / count(score_lr), 4) AS score_lr "
+        f"FROM {each_state} WHERE score_lr IS NOT NULL GROUP BY uf")
+
+    def places(column, order):
+        return f"CASE {column} " + " ".join(f"WHEN {q(v)} THEN {i}" for i, v in enumerate(order, 1)) + " END"
+
+    o["fixed_orders"] = on_mart(" UNION ALL ".join(
+        f"SELECT {q(name)} AS dimensao, v AS valor, count(*) AS n, CAST({places('v', order)} AS INTEGER) AS ordem "
+        f"FROM (SELECT {value} AS v FROM mart) GROUP BY v" for name, value, order in (
+            ("espectro", f"coalesce(espectro, {q(vocab.IDEOLOGY_UNKNOWN)})", vocab.IDEOLOGY_BAND_ORDER),
+            ("regiao", "regiao", vocab.REGION_ORDER),
+            ("grupo", f"coalesce({type_group('tipo')}, 'Outros')", vocab.TYPE_GROUP_ORDER))))
     o["top_states"] = on_mart("SELECT uf, count(*) AS n FROM mart WHERE uf IS NOT NULL AND uf NOT IN ('', '—') "
                               "GROUP BY uf ORDER BY n DESC, uf LIMIT 15")
     o["term_mix"] = on_mart(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions import authors, labels, text
-from plenaria.functions.util import in_list, lookup
+from plenaria.functions.util import in_list, lit_array, lookup
 from plenaria.operators import grouping, ranking
 from plenaria.operators.filters import exclude_institutional, fill_missing
 from plenaria.plans.consolidate import FILL
@@ -136,9 +136,16 @@ def party_author_tree(d: DataFrame, n_groups: int = 10, n_items: int = 10) -> Da
     return ranking.tree_top_n(written(counts, "party-author"), "partido", "parlamentar", "n", n_groups, n_items)
 
 
-def by_state(d: DataFrame) -> DataFrame:
-    """Count per state text (a multi-state text is its own key)."""
-    return (d.filter(text.is_present("uf")).groupBy("uf").agg(F.count(F.lit(1)).alias("n")))
+def _states(d: DataFrame, explode_states: bool) -> DataFrame:
+    """Rows with a state text; with ``explode_states`` a row for each state that the text names, once if it repeats."""
+    if explode_states:
+        d = d.withColumn("uf", F.explode(F.array_distinct(text.tokens("uf"))))
+    return d.filter(text.is_present("uf"))
+
+
+def by_state(d: DataFrame, explode_states: bool = False) -> DataFrame:
+    """Count per state text; a multi-state text is its own key unless ``explode_states`` counts it for each state."""
+    return _states(d, explode_states).groupBy("uf").agg(F.count(F.lit(1)).alias("n"))
 
 
 def top_states(d: DataFrame, k: int = 15) -> DataFrame:
@@ -243,9 +250,24 @@ def by_band(d: DataFrame) -> DataFrame:
     return d.groupBy(band).agg(F.count(F.lit(1)).alias("n"))
 
 
-def ideology_by_state(d: DataFrame) -> DataFrame:
-    """Mean ideology per state text."""
-    return (_with_score(d).filter(text.is_present("uf")).groupBy("uf")
+def fixed_orders(d: DataFrame) -> DataFrame:
+    """Counts of band, region and type group (dimensao, valor, n, ordem) with each value's place in its fixed order.
+
+    One pass; a value that the fixed order does not list comes after it (ordem null), a value without rows has none.
+    """
+    dims = {"espectro": (F.coalesce("espectro", F.lit(vocab.IDEOLOGY_UNKNOWN)), vocab.IDEOLOGY_BAND_ORDER),
+            "regiao": (F.col("regiao"), vocab.REGION_ORDER),
+            "grupo": (F.coalesce(labels.type_group("tipo"), F.lit(vocab.OTHERS)), vocab.TYPE_GROUP_ORDER)}
+    pairs = F.array(*(F.struct(F.lit(name).alias("dimensao"), value.alias("valor")) for name, (value, _) in dims.items()))
+    counts = d.select(F.inline(pairs)).groupBy("dimensao", "valor").agg(F.count(F.lit(1)).alias("n"))
+    place = F.coalesce(*(F.when(F.col("dimensao") == name, F.nullif(F.array_position(lit_array(order), F.col("valor")), F.lit(0)))
+                         for name, (_, order) in dims.items()))
+    return counts.withColumn("ordem", place.cast("int"))
+
+
+def ideology_by_state(d: DataFrame, explode_states: bool = False) -> DataFrame:
+    """Mean ideology per state text, or per state that the texts name."""
+    return (_states(_with_score(d), explode_states).groupBy("uf")
             .agg(F.round(grouping.exact_mean("score_lr"), ROUND).alias("score_lr")))
 
 

@@ -6,12 +6,15 @@ table and responses arrive as a table of attempts (key, attempt, raw JSON).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plenaria import vocab
 from plenaria.functions import text
 from plenaria.functions.json_fields import response_fields
+from plenaria.functions.util import col, in_list
 from plenaria.operators.dedup import first_success
 from plenaria.plans.prompt_text import PROMPT_PARTS, PROMPT_SLOTS
 
@@ -34,18 +37,33 @@ def context_block(origem="origem", tipo="tipo", numero="numero", ano="ano", emen
 
 
 def prompt_text(ctx: Column, categories=vocab.CATEGORIES, inclusion=vocab.INCLUSION_CRITERIA,
-                exclusion=vocab.EXCLUSION_CRITERIA, acronyms=vocab.ACRONYMS) -> Column:
-    """Full rubric prompt around a context block; list sections are constant-folded."""
+                exclusion=vocab.EXCLUSION_CRITERIA, acronyms=vocab.ACRONYMS, scale: dict | None = None) -> Column:
+    """Full rubric prompt around a context block; list sections are constant-folded.
+
+    ``scale`` (range -> meaning, highest first, as many as the rubric has) replaces the ranges and meanings of the rubric's own
+    scale, whose examples stay; without it the rubric's wording stands.
+    """
     slot = {"ctx": ctx, "cats": text.bullet_lines(categories), "inc": text.bullet_lines(inclusion),
             "exc": text.bullet_lines(exclusion), "siglas_fmt": text.keyed_lines(acronyms)}
-    parts = []
-    for piece, name in zip(PROMPT_PARTS, PROMPT_SLOTS):
+    parts, pieces = [], PROMPT_PARTS if scale is None else with_scale(PROMPT_PARTS, scale)
+    for piece, name in zip(pieces, PROMPT_SLOTS):
         parts += [F.lit(piece), slot[name]]
-    parts.append(F.lit(PROMPT_PARTS[-1]))
+    parts.append(F.lit(pieces[-1]))
     return F.concat(*parts)
 
 
-def prompt_table(stage: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
+SCALE_LINE = re.compile(r"^\d+\.\d+–\d+\.\d+: .*(?= Exemplos:$)", re.M)
+
+
+def with_scale(pieces: list[str], scale: dict) -> list[str]:
+    """The prompt's pieces with the lines of its scale replaced in order."""
+    if sum(len(SCALE_LINE.findall(p)) for p in pieces) != len(scale):
+        raise ValueError("the scale must have a range for each one of the rubric")
+    lines = iter(f"{between.replace('-', '–')}: {meaning}." for between, meaning in scale.items())
+    return [SCALE_LINE.sub(lambda _: next(lines), p) for p in pieces]
+
+
+def prompt_table(stage: DataFrame, contexts: DataFrame, key: str, scale: dict | None = None) -> DataFrame:
     """(key, prompt) for every proposal; ``contexts``: (key, keywords, ementa_detalhada, indexacao).
 
     Chamber rows use keywords and the detailed summary, the other houses the
@@ -58,7 +76,7 @@ def prompt_table(stage: DataFrame, contexts: DataFrame, key: str) -> DataFrame:
               .withColumn("keywords", F.when(is_cd, F.col("keywords")))
               .withColumn("ementa_detalhada", F.when(is_cd, F.col("ementa_detalhada")))
               .withColumn("indexacao", F.when(~is_cd, F.col("indexacao"))))
-    return joined.select(key, prompt_text(context_block()).alias("prompt"))
+    return joined.select(key, prompt_text(context_block(), scale=scale).alias("prompt"))
 
 
 def parse_attempts(attempts: DataFrame, cutoff: float = vocab.SCORE_CUTOFF,
@@ -104,6 +122,12 @@ def scored_with_retries(keys: DataFrame, parsed: DataFrame, key: str, attempt: s
                                        for c in SCORE_COLUMNS], "retomado")
 
 
+def valid_category(c, categories=vocab.CATEGORIES) -> Column:
+    """True for one of the categories or the one for human review, false for any other text; null for none ('' or null)."""
+    given = F.nullif(col(c), F.lit(""))
+    return F.when(given.isNotNull(), in_list(given, [*categories, vocab.CATEGORY_REVIEW]))
+
+
 def pending(stage3: DataFrame) -> DataFrame:
     """Rows still to be scored (one definition of pending: null score)."""
     return stage3.filter(F.col("llm_nota").isNull())

@@ -303,6 +303,7 @@ CATEGORIES = [
     "Transferência de Renda",
     "Vulnerabilidade Social",
 ]
+CATEGORY_REVIEW = "Indefinido - Revisão Humana"
 
 SCORE_SCALE = {
     "9.0-10.0": "Proposição trata do tema como objeto central e exclusivo",

@@ -91,6 +91,66 @@ def test_every_source_has_its_own_share(spark, none, tmp_path):
     assert mixing.mix(none, *mixing.source_shares(none, {"a": 1}, 1)).count() == 0
 
 
+def edf(blocks, shares):
+    """Slot by slot: the released block with the earliest deadline; a source that runs out starts a new phase."""
+    left, done, out = {s: n for s, n in blocks.items() if n}, Counter(), []
+    while left:
+        total, placed, t = sum(shares[s] for s in left), Counter(), 0
+        while all(placed[s] < n for s, n in left.items()):
+            ready = [(-(-(placed[s] + 1) * total // shares[s]), s) for s in left if placed[s] * total // shares[s] <= t]
+            s = min(ready)[1]
+            out.append((s, done[s] + placed[s]))
+            placed[s] += 1
+            t += 1
+        done += placed
+        left = {s: n - placed[s] for s, n in left.items() if n > placed[s]}
+    return out
+
+
+def slots(plan):
+    out = {}
+    for p in plan:
+        for s, n in p["used"].items():
+            for k in range(n):
+                a = p["shares"][s]
+                out[p["start"] + k // a * p["total"] + p["places"][s][k % a]] = (s, p["first"][s] + k)
+    return [out[t] for t in range(len(out))]
+
+
+def test_phases_are_the_schedule_followed_slot_by_slot():
+    rng = random.Random(17)
+    for _ in range(300):
+        names = [f"s{i}" for i in range(rng.randint(1, 9))]
+        shares = {s: rng.choice([1, 1, 2, 6, 35]) for s in names}
+        blocks = {s: rng.choice([0, 1, 2, 17, 90]) for s in names}
+        assert slots(mixing.phases(blocks, shares)) == edf(blocks, shares)
+
+
+def test_the_schedule_of_many_sources_is_no_longer_than_the_blocks():
+    shares = {f"h{i}": 6 + i % 2 for i in range(1500)}
+    blocks = {s: 1 + i % 3 for i, s in enumerate(shares)}
+    plan = mixing.phases(blocks, shares)
+    assert sum(len(p) for step in plan for p in step["places"].values()) <= sum(blocks.values())
+    assert slots(plan) == edf(blocks, shares)
+
+
+def test_long_schedules_are_joined_by_chunk(spark, monkeypatch):
+    rng = random.Random(23)
+    docs = spark.createDataFrame([(i, "t" * rng.randint(1, 40), f"n{min(rng.randint(0, 30), 12)}", "en") for i in range(700)], DOC)
+    shares, other = mixing.source_shares(docs, {"n1": 5, "n2": 3}, 9)
+    plain = {tuple(r) for r in mixing.mix(docs, shares, other, 50).collect()}
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(mixing, "CHUNKS", 7)
+    assert {tuple(r) for r in mixing.mix(docs, shares, other, 50).collect()} == plain and len(plain) == 700
+
+
+def test_equal_rows_do_not_fill_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_BUCKET", 20)
+    docs = spark.createDataFrame([(7, "same", "a", "en")] * 300 + [(i, f"text {i}", "ab"[i % 2], "en") for i in range(300)], DOC)
+    got = mixing.mix(docs, {"a": 2}, 1, 3, "rows").collect()
+    assert len(got) == 600 and len({(r["slot"], r["seq"]) for r in got}) == 600
+
+
 def test_mixture_edge_cases(spark, hostile, none):
     assert mixing.mix(hostile, {"a": 1}, 1).count() == len(HOSTILE)
     assert mixing.mix(none, {"a": 1}, 1).count() == 0

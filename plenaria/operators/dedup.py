@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _ordered_struct(columns: list[str]):
+def ordered_struct(columns: list[str]):
     """Struct that sorts ascending with nulls last, column by column."""
     fields = []
     for i, c in enumerate(columns):
@@ -29,7 +29,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     ordered = list(order) + rest
-    best = df.groupBy(*keys).agg(F.min(_ordered_struct(ordered)).alias("_first"))
+    best = df.groupBy(*keys).agg(F.min(ordered_struct(ordered)).alias("_first"))
     picked = [F.col("_first")[f"v{i}"].alias(c) for i, c in enumerate(ordered)]
     return best.select(*keys, *picked).select(*df.columns)
 

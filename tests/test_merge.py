@@ -63,3 +63,24 @@ def test_other_types_are_refused(spark):
     stream = spark.readStream.schema("id_interno string, termo_busca string, n int").parquet(root + "/landed")
     with pytest.raises(ValueError, match="text columns"):
         merge.improvements(stream)
+
+
+def test_improvements_are_aggregated_without_python_per_id(spark):
+    root = tempfile.mkdtemp(prefix="plenaria-merge-")
+    os.makedirs(root + "/landed")
+    plan = merge.improvements(spark.readStream.schema(SCHEMA).parquet(root + "/landed"))._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate [id_interno" in plan and "current_timestamp" in plan and "Pandas" not in plan and "Python" not in plan
+
+
+def test_a_repeated_batch_replaces_its_rows(spark):
+    root = tempfile.mkdtemp(prefix="plenaria-merge-")
+    best, worse = vocab.SEARCH_TERMS[0], vocab.SEARCH_TERMS[3]
+    for batch in ([("1", worse, "x"), (None, worse, "x")], [("1", best, "y"), (None, worse, "x"), ("2", worse, None)]):
+        land(spark, root + "/landed", batch)
+        run(spark, root)
+    before = rows(spark.read.parquet(root + "/out"))
+    assert len(before) == 4
+    for name in ("1", ".1.crc"):                                  # as if the driver were lost before the second commit
+        os.remove(f"{root}/ckpt/commits/{name}")
+    run(spark, root)
+    assert rows(spark.read.parquet(root + "/out")) == before

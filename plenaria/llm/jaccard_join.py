@@ -17,8 +17,11 @@ against one leader (the one it shares most entries with).  In entries that more
 components still share, each class counts its own shingles, those of no other crowded class.  Classes with too many of
 them to link with any other go: in a group of near copies that are no links to each other, whose pairs grow with the
 square, this tells each apart by itself.  The rest are verified against the most central class, the one with the smallest
-share of own shingles.  Then the pairs under an entry that are still in different components and that sketches and own
-shingles allow are verified.  Nothing emits the pairs inside a group of near copies.
+share of own shingles.  Near copies share many entries, so entries with the same classes become one.  Then the
+pairs under an entry that are still in different components and that own shingles and sketches, wide ones of WIDE bits
+too, allow are verified: a sketch of SKETCH bits is full long before the difference that large sets may have, and a group
+without a centre has a pair only where the wide ones are within that difference.  Nothing emits the pairs inside a group of near
+copies.
 
 Words are maximal runs of other bytes than blank, tab, newline, vertical tab, form feed and return, after A-Z are
 lower-cased.  A class is known by a 64-bit fingerprint of its shingle hashes.
@@ -47,6 +50,7 @@ PERCENT = 85
 BAND_RATIO = 1.4
 SEEDS = 3
 SKETCH = 512    # bits, a multiple of 64
+WIDE = 4096     # bits of the sketches of classes that are left at the end, a multiple of 64
 CROWD = 8       # open classes of an entry up to which all their pairs are formed at once
 RARE = 0.01    # share of a band's sets that may need another hash
 
@@ -190,9 +194,9 @@ def fingerprint(hashes: np.ndarray) -> int | None:
         return int(mixed(mixed(hashes).sum(keepdims=True)).view(np.int64)[0]) if len(hashes) else None
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
+def sketch(hashes: np.ndarray, bits: int = SKETCH) -> np.ndarray:
     """Parity of the number of shingles per bit, as longs."""
-    odd = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -306,6 +310,34 @@ def within(x, y, percent: int):
     return F.coalesce(apart * (100 + percent) <= (x("n_shingles") + y("n_shingles")) * (100 - percent), F.lit(True))
 
 
+def wide_sketches(some: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """fp, wide: the sketch of WIDE bits of each of ``some`` classes (fp)."""
+    ship(some.sparkSession)
+
+    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in in_slices(batches):
+            yield pd.DataFrame({"fp": b["fp"], "wide": [sketch(shingle_hashes(t, words), WIDE) for t in b["text"]]})
+
+    return texts.join(broadcast_if_small(some), "fp", "left_semi").mapInPandas(sign, "fp long, wide array<long>")
+
+
+def near_widely(x, y, percent: int):
+    """Whether wide sketches allow a link.  Never false for a link."""
+    apart = F.aggregate(F.zip_with(x("wide"), y("wide"), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, d: n + d)
+    return apart * (100 + percent) <= (x("n_shingles") + y("n_shingles")) * (100 - percent)
+
+
+def same_entries(rows: DataFrame) -> DataFrame:
+    """``rows`` (entry, fp and more of the fp; an fp once per entry) with one entry, n and h, for those that have the same fps.
+
+    Sets of fps are told apart by size and a sum of hashes; entries that these mistake for the same are united, so no pair
+    is lost."""
+    by_entry = Window.partitionBy("entry")
+    return (rows.withColumn("n", F.count("*").over(by_entry))
+            .withColumn("h", F.sum(F.xxhash64("fp").cast("decimal(20,0)")).over(by_entry))
+            .drop("entry").dropDuplicates(["n", "h", "fp"]))
+
+
 def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, component for every row; component_id is the smallest doc_id reachable
@@ -362,12 +394,14 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     parts = written(components(found), "jaccard-parts")
 
     # what still shares an entry across components
-    rest = written(open_rows(rest.select("entry", "fp"), parts, sketches), "jaccard-rest")
-    x, y = (rest.select("entry", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", "own", *BITS)))
+    rest = written(same_entries(open_rows(rest.select("entry", "fp"), parts, sketches.select("fp"))), "jaccard-same")
+    wide = wide_sketches(written(rest.select("fp").distinct(), "jaccard-left"), texts, words)
+    rest = written(rest.join(sketches.join(wide, "fp"), "fp"), "jaccard-rest")
+    x, y = (rest.select("n", "h", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", "own", *BITS, "wide")))
             for side in "xy")
     pair = (lambda c: F.col(f"x_{c}")), (lambda c: F.col(f"y_{c}"))
-    rest = (x.join(y, "entry")
-            .where((F.col("x_part") < F.col("y_part")) & near(*pair, percent) & within(*pair, percent))
+    rest = (x.join(y, ["n", "h"])
+            .where((F.col("x_part") < F.col("y_part")) & near(*pair, percent) & within(*pair, percent) & near_widely(*pair, percent))
             .select(F.col("x_fp").alias("a"), F.col("y_fp").alias("b")).distinct())
     more = written(verified(rest, texts, words).where(is_link).select("a", "b"), "jaccard-more")
 

@@ -611,6 +611,36 @@ def test_crowded_entries_match_brute_force(spark, centre):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
 
 
+def test_group_without_centre_verifies_only_pairs_near_the_threshold(spark, monkeypatch):
+    """Large near copies that share their changes, so that none has many own shingles and small sketches are full."""
+    rng, base = random.Random(42), words(random.Random(43), 1500).split()
+    docs = []
+    for i in range(60):
+        copy = list(base)
+        for at in rng.sample(range(250), 22):
+            copy[6 * at] = f"changed{at}"
+        docs.append((i, " ".join(copy)))
+    compared, verified = [], jaccard_join.verified
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(jaccard_join, "verified", counted)
+    got = jaccard_join.joined(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs, 5, 80)
+    assert compared[-1] < 60 * 59 / 2 / 4
+
+
+def test_entries_of_the_same_classes_are_one(spark):
+    rows = [(e, fp, fp % 2) for e, fps in ((1, [5, 6, 7]), (2, [5, 6, 7]), (3, [5, 6]), (4, [6, 7])) for fp in fps]
+    got = jaccard_join.same_entries(spark.createDataFrame(rows, "entry long, fp long, part long")).collect()
+    sets = {}
+    for r in got:
+        sets.setdefault((r["n"], r["h"]), []).append(r["fp"])
+    assert sorted(sorted(s) for s in sets.values()) == [[5, 6], [5, 6, 7], [6, 7]]
+
+
 def test_entries_never_miss_a_pair():
     rng = np.random.default_rng(13)
     for size in (1, 2, 3, 4, 5, 6, 7, 9, 11, 12, 15, 19, 25, 40, 70, 100, 130, 180, 300, 500, 900):

@@ -12,7 +12,10 @@ band's scheme, and the one below if a partner can be that small.
 Candidates meet in a window over the entries' hash; every link is verified on the shingles themselves.  Copies of
 a set are one class from the start.  Candidates meet under an entry's hash and must pass a bound that never errs: a
 parity sketch of SKETCH bits per set, of which two sets that differ in d shingles differ in d bits at most.  Every
-link is verified on the shingles themselves.  Only components are wanted, so two rounds first verify each class
+link is verified on the shingles themselves.  Links agree in more segments than one, as many as the scheme has above
+the differences that the largest partner may have: a class that shares fewer entries than that (``least_shared``) with
+classes of other components, as texts do that have only a common passage, has no link there and goes before its text or
+its shingles are read again.  Only components are wanted, so two rounds first verify each class
 against one leader (the one it shares most entries with).  In entries that more than CROWD classes of different
 components still share, each class counts its own shingles, those of no other crowded class.  Classes with too many of
 them to link with any other go: in a group of near copies that are no links to each other, whose pairs grow with the
@@ -153,25 +156,37 @@ def allocation(low: int, high: int, percent: int) -> tuple[int, int, int]:
     return best[1:]
 
 
+def schemes(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(band, low, high) of the schemes that a set of n > 0 shingles joins: the one below its own only if a partner can be
+    that small; its own is the last."""
+    edges = band_edges(1 << (n - 1).bit_length())
+    band = next(i for i in range(len(edges)) if edges[i + 1] > n) if len(edges) > 1 else 0
+    return [(b, edges[b], edges[b + 1] - 1)
+            for b in ([band] if not band or -(-n * percent // 100) > edges[band] - 1 else [band - 1, band])]
+
+
+@np.errstate(over="ignore")
+def segments(hashes: np.ndarray, band: int, seed: int, m: int) -> tuple[np.ndarray, np.ndarray, np.uint64]:
+    """Segment and salted hash of every shingle, and the tag of band and seed."""
+    tag = np.uint64((band * 8 + seed + 1) * 0x10001)
+    salted = mixed(hashes + tag * _MIX2)
+    return ((salted >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64), salted, tag
+
+
 @np.errstate(over="ignore")
 def entries(hashes: np.ndarray, percent: int) -> np.ndarray:
     """The index entries of a set."""
     n = len(hashes)
     if not n:
         return hashes
-    edges = band_edges(1 << (n - 1).bit_length())
-    band = next(i for i in range(len(edges)) if edges[i + 1] > n) if len(edges) > 1 else 0
     out = []
-    for b in ([band] if not band or -(-n * percent // 100) > edges[band] - 1 else [band - 1, band]):
-        exact, one, spare = allocation(edges[b], edges[b + 1] - 1, percent)
-        m = exact + one
+    for b, low, high in schemes(n, percent):
+        exact, one, spare = allocation(low, high, percent)
         for seed in range(SEEDS + 1):
-            tag = np.uint64((b * 8 + seed + 1) * 0x10001)
+            segment, salted, tag = segments(hashes, b, seed, exact + one)
             if seed == SEEDS:     # so many empty segments under every hash: all shingles
                 out.append(mixed(hashes * _MIX1 + tag))
                 break
-            salted = mixed(hashes + tag * _MIX2)
-            segment = ((salted >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(segment, kind="stable")
             segment, salted = segment[order], salted[order]
             first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
@@ -189,6 +204,22 @@ def entries(hashes: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(out))
 
 
+def least_shared(hashes: np.ndarray, percent: int) -> int:
+    """A number of entries that the set shares with every set that it links with.
+
+    Sets that differ in d shingles agree, within the tolerances, in segments of exact + 2 one - d units at least, of which
+    only ``lost`` ones are not indexed; d is largest for the largest partner.  One if the first hash lost too many."""
+    n, least = len(hashes), []
+    for b, low, high in schemes(n, percent) if n else []:
+        exact, one, spare = allocation(low, high, percent)
+        count = np.bincount(segments(hashes, b, 0, exact + one)[0], minlength=exact + one)
+        lost = int((count[one:] == 0).sum()) + 2 * int((count[:one] < 2).sum())
+        apart = (n + (n * 100 // percent if n <= high else high)) * (100 - percent) // (100 + percent)
+        units = exact + 2 * one - lost - apart if lost <= spare else 1
+        least.append(units if not one else -(-units // 2))
+    return max(1, min(least, default=1))
+
+
 def fingerprint(hashes: np.ndarray) -> int | None:
     with np.errstate(over="ignore"):
         return int(mixed(mixed(hashes).sum(keepdims=True)).view(np.int64)[0]) if len(hashes) else None
@@ -203,8 +234,8 @@ def sketch(hashes: np.ndarray, bits: int = SKETCH) -> np.ndarray:
 BITS = [f"bits{i}" for i in range(SKETCH // 64)]
 
 
-def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text_hash, n_shingles, fp (null for an empty set) and the sketch."""
+def signed(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_hash, n_shingles, min_shared (``least_shared``), fp (null for an empty set) and the sketch."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
@@ -214,10 +245,11 @@ def signed(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame
             bits = np.array([sketch(h) for h in found], dtype=np.int64).reshape(len(b), len(BITS))
             yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "text_hash": b["text_hash"],
                                 "n_shingles": [len(h) for h in found],
+                                "min_shared": [least_shared(h, percent) for h in found],
                                 "fp": pd.array([fingerprint(h) for h in found], dtype="Int64")}
                                | {c: bits[:, i] for i, c in enumerate(BITS)})
 
-    return rows.mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, fp long, "
+    return rows.mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, min_shared long, fp long, "
                             + ", ".join(f"{c} long" for c in BITS))
 
 
@@ -272,13 +304,19 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int) -> DataFrame:
 
 
 def open_rows(shared: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFrame:
-    """entry, fp, part and the sketch for entries whose classes are in more than one component so far."""
+    """entry, fp, part and the other columns of ``sketches`` for entries whose classes are in more than one component so
+    far, of the classes that are in ``min_shared`` such entries or more: the others link with no other component.
+
+    A class and any that it links with are in ``min_shared`` entries together, all of them open as long as the two are in
+    different components, so ``shared`` must hold all the entries of such pairs."""
     by_entry = Window.partitionBy("entry")
     return (shared.join(parts.select(F.col("node").alias("fp"), "component"), "fp", "left")
             .select("entry", "fp", F.coalesce("component", "fp").alias("part"))
             .withColumn("low", F.min("part").over(by_entry)).withColumn("high", F.max("part").over(by_entry))
             .where(F.col("low") != F.col("high")).drop("low", "high")
-            .join(sketches, "fp"))
+            .join(sketches, "fp")
+            .withColumn("n_open", F.count("*").over(Window.partitionBy("fp")))
+            .where(F.col("n_open") >= F.col("min_shared")).drop("n_open", "min_shared"))
 
 
 def favourites(led: DataFrame) -> DataFrame:
@@ -343,10 +381,10 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     """doc_id, text_hash, n_shingles, component_id, component for every row; component_id is the smallest doc_id reachable
     by links, component the smallest fingerprint (null for an empty set).  Only component tells groups apart: null and
     repeated ids can give several groups one component_id."""
-    rows = written(signed(docs, words, id_col, text_col), "jaccard-sets")
+    rows = written(signed(docs, words, percent, id_col, text_col), "jaccard-sets")
     some = rows.where(F.col("fp").isNotNull())
     classes = some.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "text_hash")).alias("held"),
-                                     *(F.min(c).alias(c) for c in ("n_shingles", *BITS)))
+                                     *(F.min(c).alias(c) for c in ("n_shingles", "min_shared", *BITS)))
     classes = written(classes, "jaccard-classes")
 
     # entries that more than one class has; `prev` drops the copies of a class
@@ -357,14 +395,15 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
         .withColumn("first", F.min("fp").over(by_entry)).withColumn("last", F.max("fp").over(by_entry))
         .where((F.col("first") != F.col("last")) & (F.col("prev").isNull() | (F.col("prev") != F.col("fp"))))
         .select("entry", "fp"), "jaccard-shared")
-    live = written(shared.select("fp").distinct().join(classes, "fp")
+    live = written(shared.groupBy("fp").agg(F.count("*").alias("n")).join(classes, "fp").where(F.col("n") >= F.col("min_shared"))
                    .select("fp", F.col("held.doc_id").alias("t_id"), F.col("held.text_hash").alias("t_hash")), "jaccard-live")
+    shared = written(shared.join(live.select("fp"), "fp", "left_semi"), "jaccard-kept")
     source = docs.select(F.col(id_col).alias("s_id"), F.xxhash64(text_col).alias("s_hash"), F.col(text_col).alias("text"))
     texts = written(source.join(broadcast_if_small(live), F.col("s_id").eqNullSafe(F.col("t_id")) & (F.col("s_hash") == F.col("t_hash")))
                     .select("fp", "text").dropDuplicates(["fp"]), "jaccard-texts")
 
     is_link = 100 * F.col("common") >= percent * F.col("union")
-    sketches = classes.select("fp", "n_shingles", *BITS)
+    sketches = classes.select("fp", "n_shingles", "min_shared", *BITS)
     found, parts = None, sketches.select(F.col("fp").alias("node"), F.col("fp").alias("component"))
     for _ in range(2):
         led = (open_rows(shared, parts, sketches)
@@ -394,7 +433,7 @@ def joined(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col:
     parts = written(components(found), "jaccard-parts")
 
     # what still shares an entry across components
-    rest = written(same_entries(open_rows(rest.select("entry", "fp"), parts, sketches.select("fp"))), "jaccard-same")
+    rest = written(same_entries(open_rows(rest.select("entry", "fp"), parts, sketches.select("fp", "min_shared"))), "jaccard-same")
     wide = wide_sketches(written(rest.select("fp").distinct(), "jaccard-left"), texts, words)
     rest = written(rest.join(sketches.join(wide, "fp"), "fp"), "jaccard-rest")
     x, y = (rest.select("n", "h", *(F.col(c).alias(f"{side}_{c}") for c in ("fp", "part", "n_shingles", "own", *BITS, "wide")))

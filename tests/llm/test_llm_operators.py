@@ -655,6 +655,47 @@ def test_entries_never_miss_a_pair():
                         assert len(np.intersect1d(jaccard_join.entries(x, percent), jaccard_join.entries(y, percent)))
 
 
+def test_links_share_as_many_entries_as_promised():
+    rng, linked, bounds = np.random.default_rng(14), 0, []
+    for size in (1, 2, 3, 5, 8, 12, 19, 30, 55, 90, 140, 200, 310, 500, 900, 2000):
+        for _ in range(20):
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            drop = int(len(x) * rng.uniform(0, 0.2))
+            for percent in (85, 80):
+                for add in {0, drop // 2, drop}:
+                    y = np.unique(np.concatenate([x[drop - add:], rng.integers(0, 2**63, add).astype(np.uint64)]))
+                    both = len(np.intersect1d(x, y))
+                    if 100 * both >= percent * (len(x) + len(y) - both):
+                        shared = np.intersect1d(jaccard_join.entries(x, percent), jaccard_join.entries(y, percent))
+                        bounds.append(max(jaccard_join.least_shared(s, percent) for s in (x, y)))
+                        assert len(shared) >= bounds[-1] >= 1
+                        linked += 1
+    assert linked > 500 and np.mean(np.array(bounds) > 3) > 0.3
+
+
+@pytest.mark.parametrize("n, percent", [(4, 85), (5, 80)])
+def test_texts_with_a_common_passage_are_not_taken_apart(spark, monkeypatch, n, percent):
+    """Unrelated texts that share a passage, and thus a few entries, beside near copies: only these are looked at again."""
+    rng = random.Random(44)
+    passage, base = words(rng, 60), words(rng, 300).split()
+    docs = [(i, f"{words(rng, 150)} {passage} {words(rng, 150)}") for i in range(40)]
+    for i in range(40, 52):
+        copy = list(base)
+        for at in rng.sample(range(len(copy)), 8):
+            copy[at] = words(rng, 1)
+        docs.append((i, " ".join(copy)))
+    crowded, own_shingles = [], jaccard_join.own_shingles
+
+    def counted(some, *rest):
+        crowded.append(some.count())
+        return own_shingles(some, *rest)
+
+    monkeypatch.setattr(jaccard_join, "own_shingles", counted)
+    got = jaccard_join.joined(spark.createDataFrame(docs, "doc_id long, text string"), n, percent)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(docs, n, percent)
+    assert len(crowded) == 1 and crowded[0] <= 12
+
+
 def test_jaccard_edge_cases(spark, hostile, none):
     got = jaccard_join.joined(hostile).collect()
     assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in got) == [
